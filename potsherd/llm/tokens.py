@@ -14,7 +14,7 @@ import numpy as np
 from potsherd.llm import chars
 
 #: Pieces, and words within them, that a worker remembers at most; beyond that it starts anew.
-PIECES, WORDS = 500_000, 250_000
+PIECES, WORDS = 1_200_000, 500_000
 #: Pieces of these letters only and of common marks are taken apart here, by the tokenizer's own pattern; all others go through it whole.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-įĲ-ſ]*")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įĲ-ſ]+|[0-9]|[^a-zß-öø-įĲ-ſ0-9]+")
@@ -77,16 +77,21 @@ class Pieces:
             slots[left] = (slots[left] + np.uint64(1)) & mask
 
     def ids(self, piece: str) -> list[int]:
+        lower = piece.lower()
+        if (got := self.words.get(lower)) is not None:
+            return got
+        if piece[-1] in ",." and piece[-2:-1].isalpha() and (got := self.words.get(lower[:-1])) is not None:
+            return got + self.spell(piece[-1])
         if not PLAIN.fullmatch(piece):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        out: list[int] = []
-        for part in PARTS.findall(piece.lower()):
-            got = self.words.get(part)
-            if got is None:
-                spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-                got = self.words[part] = [t.id for t in self.model.tokenize(spelled)]
-            out += got
-        return out
+        return [i for part in PARTS.findall(lower) for i in self.spell(part)]
+
+    def spell(self, part: str) -> list[int]:
+        got = self.words.get(part)
+        if got is None:
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            got = self.words[part] = [t.id for t in self.model.tokenize(spelled)]
+        return got
 
     def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         if self.n + len(pieces) > len(self.starts):
