@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from potsherd.llm import chat, exact_dedup, license_scan, packing
+from potsherd.llm import chat, decontamination, exact_dedup, license_scan, packing
 from potsherd.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_checksums(pieces)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -34,6 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_license_scan": op8_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
