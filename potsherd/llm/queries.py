@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from potsherd.llm import chat, decontamination, exact_dedup, license_scan, packing
+from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, oracles, packing, warc
 from potsherd.llm.common import table
 
 
@@ -28,10 +28,18 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("text_key")
 
 
+def op7_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.summary(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(line_dedup.annotate(table(spark, sf_dir, "documents")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"))
 
@@ -40,7 +48,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_warc_derivatives": op7_warc_derivatives,
     "op8_license_scan": op8_license_scan,
+    "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -65,6 +75,7 @@ ORACLES: dict[str, str] = {
                (sum(upto) FILTER (role = 'assistant' OR k = n))::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id
     """,
+    "op7_warc_derivatives": oracles.warc(),
     "op10_exact_dedup": r"""
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
              g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
