@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, oracles, packing, warc
+from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, oracles, packing, substring_dedup, warc
 from potsherd.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_checksums(pieces)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_key")
@@ -47,6 +51,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_warc_derivatives": op7_warc_derivatives,
     "op8_license_scan": op8_license_scan,
