@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, oracles, packing, substring_dedup, warc
+from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, oracles, packing, quality, substring_dedup, warc
 from potsherd.llm.common import table
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, quality.learn(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -49,6 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
     "op5_substring_dedup": op5_substring_dedup,
