@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, oracles, packing, quality, substring_dedup, warc
+from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, ngram_jaccard, oracles, packing, quality, substring_dedup, warc
 from potsherd.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.annotate(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links", "copies")
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.classify(docs, quality.learn(docs, table(spark, sf_dir, "labels"))).drop("text")
@@ -54,6 +58,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_packing": op4_packing,
