@@ -31,6 +31,7 @@ PERIODS = {
 }
 #: A value with such a part is no code, whatever numbers it has.
 ERA = r"(?i)v\.? ?chr|voor chr|\b(bc|bp)\b|±|\+ ?/ ?-|jaar geleden"
+MARGIN = re.compile(r"([0-9][0-9 .,]*?) *(?:±|\+ ?/? ?-) *([0-9]+)")
 #: Parts of a century: the words, years off its begin and years off its end.
 PARTS = (
     (("eerste helft", "1e helft"), 0, 50),
@@ -162,7 +163,9 @@ class Phrases:
 
     def read(self, phrase: str) -> tuple[int, int] | None:
         low = phrase.lower()
-        parts = [p for p in self.connective.split(low) if p.strip()]
+        # the sign of a margin is no connective
+        one = not self.strict_reference and MARGIN.search(low)
+        parts = [low] if one else [p for p in self.connective.split(low) if p.strip()]
         if len(parts) < 2:
             span = self.one(low, self.era(low))
             return self.corrected(*span, several=False) if span else None
@@ -174,6 +177,14 @@ class Phrases:
         span = begin or end or self.one(low, self.era(low))
         return self.corrected(*span, several=True) if span else None
 
+    def years(self, phrase: str) -> list[int]:
+        """First and last year. A plain number of at most 25 is a century; ``strict_reference`` takes any such year for one."""
+        span = self.read(phrase)
+        if not span:
+            return []
+        plain = self.strict_reference or re.fullmatch(r"[^0-9]*[0-9]{1,2}[^0-9]*", phrase) and "eeuw" not in phrase.lower() and "'" not in phrase
+        return [y * 100 if plain and -25 <= y <= 25 else y for y in span]
+
     def era(self, text: str) -> str:
         if any(w in text for w in BEFORE_CHRIST):
             return "BC"
@@ -224,7 +235,7 @@ class Phrases:
             year += (0 if len(day.group(1)) > 2 else 1900 if year > 25 else 2000)
         elif "jaar geleden" in text:
             year *= next((n for word, n in (("miljoen", 10**6), ("duizend", 1000), ("honderd", 100)) if word in text), 1)
-        elif margin := re.search(r"([0-9][0-9 .,]*?) *(?:±|\+ ?/? ?-) *([0-9]+)", text):
+        elif margin := MARGIN.search(text):
             year, off = int(re.sub(r"[ .,]", "", margin.group(1))), int(margin.group(2))
             return year + off, year - off
         elif "jaren " in text:
@@ -306,8 +317,7 @@ def phrases(phrases: Phrases):
             if phrase not in known:
                 if len(known) > 100_000:
                     known.clear()
-                span = phrases.read(phrase)
-                known[phrase] = [y * 100 if -25 <= y <= 25 else y for y in span] if span else []
+                known[phrase] = phrases.years(phrase)
             return known[phrase]
 
         for batch in batches:

@@ -16,9 +16,7 @@ DATE_FORMATS = ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy", "yyyy-M-d", "d-M-yy", "d/M/y
 
 def text_of(value: Column) -> Column:
     """Text of a number as it is written in keys: 12.0 as 12."""
-    number = value.try_cast("double")
-    whole = (number == F.floor(number)) & (F.abs(number) < 1e15) & value.cast("string").rlike(r"^-?[0-9]+\.0+$")
-    return F.when(whole, number.cast("bigint").cast("string")).otherwise(value.cast("string"))
+    return F.regexp_replace(value.cast("string"), r"^(-?[0-9]+)\.0$", "$1")
 
 
 def known(value: Column) -> Column:

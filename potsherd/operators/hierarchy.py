@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from functools import reduce
-
-#: Levels below a root at most; it ends the search where a table has a cycle.
-DEPTH = 100
+#: Levels below a root at most; it ends the search where a table has a cycle. (Spark itself ends a recursion at 100.)
+DEPTH = 64
 
 
 def descendants(tree: DataFrame, roots: Column, node: str = "primary_key", parent: str = "parentID", depth: int = DEPTH) -> DataFrame:

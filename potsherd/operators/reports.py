@@ -81,7 +81,7 @@ def flattened(df: DataFrame, group: str, lists: str) -> DataFrame:
 
 def longest(df: DataFrame, group: str, text: str) -> DataFrame:
     """Per group its longest text; of equally long ones the first in order."""
-    return df.groupBy(group).agg(F.min(F.struct((-F.length(text)).alias("size"), F.col(text).alias("text"))).alias("best")).select(group, F.col("best.text").alias("longest"))
+    return df.groupBy(group).agg(F.min(F.when(F.col(text).isNotNull(), F.struct((-F.length(text)).alias("size"), F.col(text).alias("text")))).alias("best")).select(group, F.col("best.text").alias("longest"))
 
 
 def frequencies(df: DataFrame, *columns: str) -> DataFrame:

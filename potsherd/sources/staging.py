@@ -31,7 +31,7 @@ def read_exports(spark: SparkSession, pattern: str, bron: str, loadtime: str, le
     fewer than ``least_rows`` rows are left out. Each file is read as one record, so its header applies to its own rows and
     values may hold line breaks in quotes; a file is one table of an office database, whose own format ends at 2 GB.
     """
-    read = spark.read.option("wholetext", True).text(pattern).select(source_path().alias("path"), "value")
+    read = spark.read.text(pattern, wholetext=True).select(source_path().alias("path"), "value")
     # lines end outside quotes only: an even number of quotes follows
     lines = F.filter(F.split(F.regexp_replace("value", "\r\n", "\n"), '\n(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda x: F.trim(x) != "")
     cut = read.select("path", F.slice(lines, 1, 1)[0].alias("header"), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("rows")).where(F.size("rows") >= least_rows)
