@@ -44,8 +44,8 @@ def gear_hashes(codes: np.ndarray) -> np.ndarray:
 def chunks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, begin, end, words, digest) of all chunks; begins and ends in characters of their text, digests without the last blank."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    starts = np.cumsum(sizes + len(BETWEEN)) - sizes - len(BETWEEN)
-    codes = chars.code_points(BETWEEN.join(texts) + BETWEEN)
+    starts = np.cumsum(sizes + len(BETWEEN)) - sizes
+    codes = chars.code_points(BETWEEN.join(["", *texts, ""]))  # the first text, too, has nothing but these before it
     blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
     cut = np.flatnonzero(blank & ((gear_hashes(codes) >> 8) % EVERY == 0)) + 1
     edges = np.union1d(np.union1d(cut, starts), starts + sizes)
