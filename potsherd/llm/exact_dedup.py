@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,14 +37,16 @@ def misra_gries(counts: Counter, counters: int) -> Counter:
 def summaries(digests: DataFrame, name: str, counters: int) -> DataFrame:
     """One Misra-Gries summary for each partition, as rows (digest, n)."""
 
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for b in batches:
-            counts.update(b[name].value_counts().to_dict())
+            found = b.column(0).value_counts()
+            counts.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True)))
             counts = misra_gries(counts, counters)
-        yield pd.DataFrame({name: list(counts), "n": list(counts.values())})
+        if counts:
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], [name, "n"])
 
-    return digests.select(name).mapInPandas(summarise, f"{name} string, n long")
+    return digests.select(name).mapInArrow(summarise, f"{name} string, n long")
 
 
 def heavy_winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
