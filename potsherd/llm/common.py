@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Broadcast a lookup only when its measured number of rows is at most this.
-BROADCAST_ROWS = 200_000
+#: Broadcast a lookup only when its measured number of rows and of bytes is at most this.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32_000_000
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -80,13 +80,30 @@ class Scratch:
                 delete(self.spark, path)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a written table has at most ``limit`` rows; reads no more than that."""
-    return df.limit(limit + 1).count() <= limit
+def weight(df: DataFrame) -> Column:
+    """Bytes of a row's values, nearly."""
+
+    def of(name: str, kind: str) -> Column:
+        if kind in ("string", "binary"):
+            return F.octet_length(col(name))
+        if kind.startswith("array") and "string" not in kind:
+            return 8 * F.size(col(name))
+        return F.octet_length(F.to_json(F.struct(col(name)))) if kind.startswith(("array", "map", "struct")) else F.lit(8)
+
+    total = F.lit(0).cast("long")
+    for name, kind in df.dtypes:
+        total = total + F.coalesce(of(name, kind), F.lit(0))
+    return total
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table has at most ``limit`` rows of at most ``size`` bytes together; reads no more than that many rows."""
+    told = df.limit(limit + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(weight(df)).alias("size")).first()
+    return told.n <= limit and (told.size or 0) <= size
 
 
 def joinable(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if its measured size allows it, else as it is."""
+    """``df`` marked for broadcast if its measured rows and bytes allow it, else as it is."""
     return F.broadcast(df) if small(df, limit) else df
 
 
