@@ -35,6 +35,6 @@ def spark() -> Iterator[SparkSession]:
 
 
 @pytest.fixture(scope="session")
-def small() -> str:
+def small_dir() -> str:
     """The driver's smallest tables."""
     return "/root/testdata/sf0.001"
