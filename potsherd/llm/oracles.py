@@ -47,3 +47,27 @@ def warc() -> str:
                'sha256:' || sha256(block) AS block_digest, source_payload_digest, source_block_digest
         FROM d
     """
+
+
+def jaccard(n: int, upper: int, lower: int) -> str:
+    """All links by brute force over shared n-grams (shared * upper >= lower * (sizes)), and the classes that they connect."""
+    return rf"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{{L}}\p{{M}}\p{{N}}_]+'), lambda x: x <> '') AS w FROM documents),
+        g AS (
+            SELECT doc_id, CASE WHEN len(w) < {n} THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(generate_series(1, len(w) - {n - 1}), lambda k: array_to_string(w[k : k + {n - 1}], ' ')))) END AS grams
+            FROM w WHERE len(w) > 0
+        ),
+        s AS (SELECT min(doc_id) AS rep, count(*) AS copies, any_value(grams) AS grams, len(any_value(grams)) AS size FROM g GROUP BY sha256(array_to_string(grams, chr(10)))),
+        member AS (SELECT g.doc_id, s.rep, s.copies FROM g JOIN s ON sha256(array_to_string(g.grams, chr(10))) = sha256(array_to_string(s.grams, chr(10)))),
+        t AS (SELECT rep, size, unnest(grams) AS gram FROM s),
+        link AS (
+            SELECT a.rep AS a, b.rep AS b FROM t a JOIN t b ON a.gram = b.gram AND a.rep <> b.rep
+            GROUP BY a.rep, b.rep, a.size, b.size HAVING count(*) * {upper} >= {lower} * (a.size + b.size)
+        ),
+        reach AS (SELECT rep AS node, rep AS met FROM s UNION SELECT reach.node, link.b FROM reach JOIN link ON reach.met = link.a),
+        class AS (SELECT node, min(met) AS class_id FROM reach GROUP BY node),
+        degree AS (SELECT a AS node, count(*) AS links FROM link GROUP BY a)
+        SELECT documents.doc_id, coalesce(class_id, documents.doc_id) AS class_id, coalesce(links, 0) AS links, coalesce(copies, 1) AS copies
+        FROM documents LEFT JOIN member USING (doc_id) LEFT JOIN class ON rep = class.node LEFT JOIN degree ON rep = degree.node
+    """

@@ -71,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": oracles.jaccard(ngram_jaccard.NGRAM, 9, 4),  # a similarity of 4/5: shared / (a + b - shared)
     # formatted_chars follows from the template: each turn adds its escaped role and text and 15 characters to every example that holds it
     "op3_chat_formatting": r"""
         WITH c AS (
