@@ -17,6 +17,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ BLOCK_TOKENS = 1_000_000
 #: Bits of a sketch, and standard deviations below the expected agreement at which a pair is still compared.
 BITS, SLACK = 128, 5.5
 SEED = 0xC0FFEE
+#: Bytes of text that are handled together.
+PIECE = 500_000
 
 TABLE = "doc_id long, text_key long, node binary, size int, s0 long, s1 long, paths array<long>"
 
@@ -116,16 +119,21 @@ def described(docs: DataFrame, n: int, similarity: float, branch: float, runs: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in chars.batches(np.fromiter(map(len, texts), np.int64, len(texts))):
+            for a, b in pieces(batch):
+                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("text_key").slice(a, b - a), *describe(texts[a:b])],
+                    [part.column("doc_id"), part.column("text_key"), *describe(part.column("text").to_pylist())],
                     ["doc_id", "text_key", "node", "size", "s0", "s1", "paths"],
                 )
 
     return docs.select("doc_id", "text_key", "text").mapInArrow(run, TABLE)
 
 
+def pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch's rows with about PIECE bytes of text each."""
+    yield from chars.batches(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64), PIECE)
+
+
 def grouped(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of whole groups and the groups' bounds, from batches that are sorted by ``name`` (a long)."""
     held: list[pa.RecordBatch] = []
@@ -192,12 +200,17 @@ def sketch_groups(s0: np.ndarray, s1: np.ndarray, sizes: np.ndarray, similarity:
 
 
 def plausible(rows: DataFrame, similarity: float) -> DataFrame:
-    """(meet, node): the sets of small buckets that may have a link there, in the groups that are compared exactly."""
+    """(meet, node): the sets of small buckets that may have a link there, in the groups that are compared exactly.
+
+    A group's number is a hash of its members, so that sets that meet in many buckets are compared once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in grouped(batches, "path"):
-            paths, sizes = table.column("path").to_numpy(), table.column("size").to_numpy()
+            sizes = table.column("size").to_numpy()
             s0, s1 = (table.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))
+            nodes = table.column("node").combine_chunks()
+            marks = chars.mix(np.frombuffer(nodes.cast(pa.binary(16)).buffers()[1], np.uint64)[::2])
             meet: list[np.ndarray] = []
             at: list[np.ndarray] = []
             many = np.flatnonzero(np.diff(bounds) > 1)
@@ -205,25 +218,27 @@ def plausible(rows: DataFrame, similarity: float) -> DataFrame:
                 groups = sketch_groups(s0[a:b], s1[a:b], sizes[a:b], similarity)
                 for g in range(groups.max() + 1):
                     own = np.flatnonzero(groups == g) + a
-                    for key, part in tiles(int(paths[a]) * 31 + g, sizes[own]):
-                        meet.append(np.full(len(part), key, np.int64))
+                    for part in tiles(sizes[own]):
+                        number = chars.mix(marks[own[part]].sum(keepdims=True, dtype=np.uint64) + np.uint64(len(part)))
+                        meet.append(np.repeat(number.view(np.int64), len(part)))
                         at.append(own[part])
             if at:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(meet)), table.column("node").combine_chunks().take(pa.array(np.concatenate(at)))], ["meet", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(meet)), nodes.take(pa.array(np.concatenate(at)))], ["meet", "node"])
 
-    return sorted_by(rows, "path").mapInArrow(run, "meet long, node binary")
+    return sorted_by(rows, "path").mapInArrow(run, "meet long, node binary").distinct()
 
 
-def tiles(key: int, sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(number, members) such that any two members of the group meet in one of them, each of bounded weight."""
+def tiles(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Members of parts of a group such that any two of the group meet in one of them, each part of bounded weight."""
     block = blocks(sizes)
     ids, first = np.unique(block, return_index=True)
     edges = [*first.tolist(), len(sizes)]
     spans = [np.arange(a, b) for a, b in zip(edges, edges[1:], strict=False)]
-    for i in range(len(ids)):
-        for j in range(i if len(ids) == 1 else i + 1, len(ids)):
-            number = chars.mix(np.array([(key * 1_000_003 + i * 65_537 + j) % 2**64], np.uint64)).view(np.int64)[0]
-            yield int(number), spans[i] if i == j else np.r_[spans[i], spans[j]]
+    if len(spans) == 1:
+        yield spans[0]
+    for i in range(len(spans)):
+        for j in range(i + 1, len(spans)):
+            yield np.r_[spans[i], spans[j]]
 
 
 class Compared:
@@ -294,11 +309,11 @@ def with_tokens(docs: DataFrame, reps: DataFrame, nodes: DataFrame, n: int, scra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in chars.batches(np.fromiter(map(len, texts), np.int64, len(texts))):
-                tokens, bounds = token_sets(texts[a:b], n)
+            for a, b in pieces(batch):
+                part = batch.slice(a, b - a)
+                tokens, bounds = token_sets(part.column("text").to_pylist(), n)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), lists], ["node", "tokens"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "tokens"])
 
     out = scratch.keep(read.mapInArrow(run, "node binary, tokens array<long>"))
     # rows that repeat both id and text give their node more than once
@@ -363,7 +378,7 @@ def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, bran
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out if len(found) == 1 else out.distinct()
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:

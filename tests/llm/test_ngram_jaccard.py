@@ -105,7 +105,7 @@ def test_tiles_bring_each_pair_together(monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 3)
     monkeypatch.setattr(ngram_jaccard, "BLOCK_TOKENS", 40)
     sizes = np.array([5, 5, 90, 1, 1, 1, 1, 1, 20, 30])
-    met = {p for _, part in ngram_jaccard.tiles(7, sizes) for p in combinations(sorted(part.tolist()), 2)}
+    met = {p for part in ngram_jaccard.tiles(sizes) for p in combinations(sorted(part.tolist()), 2)}
     assert met == set(combinations(range(10), 2))
 
 
