@@ -49,7 +49,8 @@ def outline_paths(outline: DataFrame, levels: list[str], order: str, scheme: str
     """``outline`` with ``uris``, the names from the top down to each row, and ``parent_uri``.
 
     A row of an indented list has a name in the column of its own level; a name counts for the rows below it until a row of
-    the same or a higher level comes. ``scheme`` names a column that tells lists apart, each of which is read by itself.
+    the same or a higher level comes. ``scheme`` names a column that tells lists apart, each of which is read by itself; a
+    list is read in order, and so by one task.
     """
     by = Window.partitionBy(scheme) if scheme else Window.partitionBy(F.lit(0))
     upto = by.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from potsherd.functions.values import text_of
@@ -60,21 +60,23 @@ def with_keys(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
     return kept.select(*df.columns, *[n for n in patterns if n not in df.columns])
 
 
+#: Rows whose order differs in these low bits only are numbered in one task.
+RUN_BITS = 20
+
+
 def with_surrogates(df: DataFrame, group: str = "soort", order: str = "_seq", own: str | None = None, start: int = 0) -> DataFrame:
     """``df`` with ``ID``: its own number if it has one, else its place in its group from ``start`` on.
 
-    Numbering is dealt over all partitions by range: rows are counted per range and group, so no group passes through one task.
+    Rows are numbered within runs of ``order`` (its high bits), and the runs' sizes are summed up before them, so no group
+    passes through one task. Rows of equal ``order`` follow their ``_id``, if there is one.
     """
-    spread = df.repartitionByRange(F.col(group), F.col(order), *([F.col("_id")] if "_id" in df.columns else []))
     ties = [F.col(order), *([F.col("_id")] if "_id" in df.columns else [])]
-    numbered = spread.withColumn("_part", F.spark_partition_id())
-    from pyspark.sql import Window
-
-    within = numbered.withColumn("_at", F.row_number().over(Window.partitionBy("_part", group).orderBy(*ties)))
-    counts = numbered.groupBy("_part", group).count()
-    before = counts.withColumn("_before", F.coalesce(F.sum("count").over(Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    offsets = F.broadcast(before.select(F.col("_part").alias("_p"), F.col(group).alias("_g"), "_before"))  # ranges times groups
-    placed = within.join(offsets, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    cut = df.withColumn("_run", F.shiftright(F.col(order).cast("bigint"), RUN_BITS))
+    within = cut.withColumn("_at", F.row_number().over(Window.partitionBy(group, "_run").orderBy(*ties)))
+    sizes = cut.groupBy(F.col(group).alias("_g"), F.col("_run").alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    placed = within.join(before, F.col(group).eqNullSafe(F.col("_g")) & F.col("_run").eqNullSafe(F.col("_r")))
     place = F.col("_at") + F.col("_before") - 1 + start
     number = F.coalesce(F.col(own).cast("bigint"), place) if own else place
     return placed.withColumn("ID", number.cast("bigint")).select(*[c for c in df.columns if c != "ID"], "ID")

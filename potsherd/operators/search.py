@@ -124,7 +124,8 @@ def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: fl
             wanted_terms = wanted_terms | part_fits(F.col("term"), p)
     scored = hits.where(wanted_terms).groupBy("pk", "term").agg(F.sum("tf").alias("tf"))
     in_rows = scored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    told = scored.join(F.broadcast(in_rows.limit(100_000)) if not any(re.search(r"[*?]", w) for p in parts for w in p.words) else in_rows, "term")
+    exact = not any(re.search(r"[*?]", w) for p in parts for w in p.words)
+    told = scored.join(F.broadcast(in_rows) if exact else in_rows, "term")  # without wildcards there are no more terms than words in the query
     joined = told.join(rows, "pk", "left_semi").join(sizes, "pk").crossJoin(F.broadcast(total))
     rarity = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / F.col("mean")))

@@ -108,7 +108,9 @@ def with_missing(clean: DataFrame, store: DataFrame, strict_reference: bool = Fa
             rows = store.withColumn("vondstkey_met_putnr", F.lit(False)) if "vondstkey_met_putnr" not in store.columns else store
             made = merge.generate_missing(rows, clean, list(spec.missing), keys.build(*keys.parse(spec.key)), spec.soort, spec.not_zero, strict_reference)
             refs = {f"key_{n}": keys.build(*keys.parse(p)) for n, p in spec.references.items() if {getattr(x, "segment", x).field for x in keys.parse(p)} <= set(spec.missing)}
-            last = made.withColumns(refs).withColumns({"_seq": F.lit(1 << 62), "_id": F.concat_ws(":", F.lit("generated"), "soort", "key")})
+            # they come last, dealt over a wide range of numbers
+            place = F.lit(1 << 62) + F.pmod(F.xxhash64("key"), F.lit(1 << 44))
+            last = made.withColumns(refs).withColumns({"_seq": place, "_id": F.concat_ws(":", F.lit("generated"), "soort", "key")})
             out = out.unionByName(last.dropDuplicates(["key"]), allowMissingColumns=True)
     return out
 
