@@ -123,3 +123,9 @@ def photo_kind(directory: Column) -> Column:
     of_object = low.contains("objectfoto") | low.contains("h object")
     kind = F.when(of_object, "Objectfoto").when(low.contains("opgravingsfoto"), "Opgravingsfoto").when(low.contains("velddocument"), "Velddocument").otherwise("Overige_afbeelding")
     return F.struct(kind.alias("fotosoort"), F.when(of_object, F.element_at(F.split(directory, "/"), -1)).alias("materiaal"))
+
+
+def photo_sort(photo_type: Column, directory: Column) -> Column:
+    """The sort of a photo by its type's letter and by its directory; a directory counts more, and of directories field documents do."""
+    low = F.lower(directory)
+    return F.when(low.contains("velddocument"), "Velddocument").when(low.contains("h object"), "Objectfoto").when(photo_type == "H", "Objectfoto").when(photo_type == "G", "Opgravingsfoto").otherwise("Overige_afbeelding")

@@ -209,6 +209,42 @@ def filename_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "f.soort", "f.fototype", "f.bestandsoort", "f.projectcd", "f.vondstnr", "f.fotonr", "f.tekeningcd", "f.rapportnr", "f.artefactsoort")
 
 
+@query
+def photo_sorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letter = F.substring("c_mktsegment", 1, 1)
+    kind = F.when(letter == "B", "H").when(letter == "A", "G").otherwise(letter)
+    directory = F.when(F.col("c_custkey") % 5 == 0, "/DC1/H Objectfotos").when(F.col("c_custkey") % 5 == 1, "/Velddocumenten/h object")
+    return read(spark, sf_dir, "customer").select("c_custkey", files.photo_sort(kind, directory).alias("fotosoort"))
+
+
+@query
+def first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first value that is no null, zero or empty text."""
+    line = read(spark, sf_dir, "lineitem")
+    texts = [(F.col("l_partkey") % 2).cast("string"), F.when(F.col("l_suppkey") % 3 == 0, F.lit("")).when(F.col("l_suppkey") % 3 == 1, "b"), F.col("l_returnflag")]
+    return line.select(values.first_known(*texts).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def drawing_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    code = F.concat(F.substring("c_mktsegment", 1, 1), F.when(F.col("c_custkey") % 2 == 0, "-").otherwise("?"), F.col("c_custkey").cast("string"), F.when(F.col("c_custkey") % 7 == 0, "x").otherwise("!"))
+    return read(spark, sf_dir, "customer").select("c_custkey", values.drawing_code(code).alias("tekeningcd"))
+
+
+@query
+def artefact_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = F.array(*map(F.lit, ("wi_kan-1", "GL-bek", "gl_x", "Kleipijp", "r-pot", "abc_d", "steen")))
+    code = F.element_at(codes, (F.col("p_partkey") % 7 + 1).cast("int"))
+    return read(spark, sf_dir, "part").select(values.artefact_kind(code).alias("kind")).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def table_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables sorted under the first pattern that fits their name's beginning."""
+    found = values.by_first_match(F.col("p_type"), [("ECON", "A"), ("S(MALL|TAND)", "B"), ("SMALL", "C")], "Geen")
+    return read(spark, sf_dir, "part").select(found.alias("object")).groupBy("object").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def report_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("dar "), F.col("c_custkey").cast("string"))).when(F.col("c_custkey") % 3 == 1, F.col("c_custkey").cast("string")).otherwise("zonder nr")

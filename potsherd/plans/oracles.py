@@ -112,6 +112,21 @@ ORACLES: dict[str, str] = {
                CASE WHEN k = 0 THEN 'Glas' END AS artefactsoort
         FROM o
     """,
+    "photo_sorts": """
+        SELECT c_custkey, CASE WHEN c_custkey % 5 = 1 THEN 'Velddocument' WHEN c_custkey % 5 = 0 OR c_mktsegment LIKE 'B%' OR c_mktsegment LIKE 'H%' THEN 'Objectfoto' WHEN c_mktsegment LIKE 'A%' OR c_mktsegment LIKE 'G%' THEN 'Opgravingsfoto' ELSE 'Overige_afbeelding' END AS fotosoort FROM customer
+    """,
+    "first_known": """
+        SELECT CASE WHEN l_partkey % 2 <> 0 THEN '1' WHEN l_suppkey % 3 = 1 THEN 'b' ELSE l_returnflag END AS value, count(*) AS n FROM lineitem GROUP BY 1
+    """,
+    "drawing_codes": """
+        SELECT c_custkey, substr(c_mktsegment, 1, 1) || CASE WHEN c_custkey % 7 = 0 THEN c_custkey || 'x' ELSE lpad(c_custkey::VARCHAR, greatest(3, length(c_custkey::VARCHAR))::INT, '0') END AS tekeningcd FROM customer
+    """,
+    "artefact_kinds": """
+        SELECT ['Aardewerk', 'Glas', 'Glas', 'Kleipijp', 'Aardewerk', NULL, NULL][(p_partkey % 7 + 1)::INT] AS kind, count(*) AS n FROM part GROUP BY 1
+    """,
+    "table_objects": """
+        SELECT CASE WHEN p_type LIKE 'ECON%' THEN 'A' WHEN p_type LIKE 'SMALL%' OR p_type LIKE 'STAND%' THEN 'B' ELSE 'Geen' END AS object, count(*) AS n FROM part GROUP BY 1
+    """,
     "report_numbers": """
         SELECT c_custkey, CASE c_custkey % 3 WHEN 2 THEN 'zondernr' ELSE (CASE c_custkey % 3 WHEN 0 THEN 'dar' ELSE 'DAN' END) || lpad(c_custkey::VARCHAR, greatest(3, length(c_custkey::VARCHAR))::INT, '0') END AS rapportnr FROM customer
     """,
