@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def merge_duplicates(df: DataFrame, keys: list[str], order: str = "_seq", lineage: list[str] | None = None, sources: str | None = None, null_keys: bool = False) -> DataFrame:
-    """One row per key: of each field the last known value by ``order``.
+    """One row per key: of each field the last known value by ``order``, which tells rows apart.
 
     ``lineage`` columns are gathered as a set of structs ``wasstraat``, ``sources`` (the source row) as an array of the
     different ones, with their number as ``brondata_count``. Rows whose key isn't complete stay as they are, unless
@@ -20,7 +20,7 @@ def merge_duplicates(df: DataFrame, keys: list[str], order: str = "_seq", lineag
         complete = complete & F.col(k).isNotNull()
     gathered = {*(lineage or []), *([sources] if sources else [])}
     fields = [c for c in df.columns if c not in {*keys, order, *gathered}]
-    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(order, F.col(c).cast("string")))).alias(c) for c in fields]
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in fields]
     extra: list[Column] = [F.max(order).alias(order)]
     if lineage:
         extra.append(F.array_sort(F.collect_set(F.struct(*lineage))).alias("wasstraat"))
