@@ -14,7 +14,7 @@ import numpy as np
 from potsherd.llm import chars
 
 #: Pieces, and words within them, that a worker remembers at most; beyond that it starts anew.
-PIECES, WORDS = 1_200_000, 500_000
+PIECES, WORDS = 800_000, 300_000
 #: Pieces of these letters only and of common marks are taken apart here, by the tokenizer's own pattern; all others go through it whole.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-įĲ-ſ]*")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įĲ-ſ]+|[0-9]|[^a-zß-öø-įĲ-ſ0-9]+")
