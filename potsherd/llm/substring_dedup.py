@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from potsherd.llm import chars
-from potsherd.llm.common import Scratch, col, fresh, joinable, whole_text
+from potsherd.llm.common import Scratch, col, fresh, whole_text
 
 #: A cut falls at one white space in so many; chunks have no more characters than the second number.
 EVERY, LONGEST = 8, 2000
@@ -83,7 +83,7 @@ def repeats(parts: DataFrame, scratch: Scratch) -> DataFrame:
     met = once.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.when(F.col("doc_id").isNull(), 1)).alias("nulls"))
     known = scratch.keep(met.where("first < last OR (first IS NOT NULL AND nulls > 0)").select(F.col("digest").alias("known"), "first"))
     each = parts.select("doc_id", "text_key", F.posexplode("digests").alias("place", "digest"))
-    later = each.join(joinable(known), (F.col("digest") == F.col("known")) & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first"))))
+    later = each.join(known, (F.col("digest") == F.col("known")) & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first"))))
     return scratch.keep(later.groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.collect_set("place").alias("places")))
 
 
@@ -118,7 +118,7 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: in
     own_id, own_key, there, key, places = fresh(docs, "own_id", "own_key", "id", "key", "places")
     marks = found.select(F.col("id").alias(there), F.col("key").alias(key), F.col("places").alias(places))
     named = docs.select(*[col(c) for c in names]).withColumn(own_id, col(doc_id).cast("long")).withColumn(own_key, F.xxhash64(whole_text(text)))
-    joined = named.join(joinable(marks), (F.col(own_key) == F.col(key)) & F.col(own_id).eqNullSafe(F.col(there)), "left")
+    joined = named.join(marks, (F.col(own_key) == F.col(key)) & F.col(own_id).eqNullSafe(F.col(there)), "left")
 
     @F.pandas_udf("array<struct<begin:int,end:int>>")
     def removed(text: pd.Series, places: pd.Series) -> pd.Series:
