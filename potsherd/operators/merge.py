@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def merge_duplicates(df: DataFrame, keys: list[str], order: str = "_seq", lineage: list[str] | None = None, sources: str | None = None, null_keys: bool = False) -> DataFrame:
     """One row per key: of each field the last known value by ``order``, which tells rows apart.
 
-    ``lineage`` columns are gathered as a set of structs ``wasstraat``, ``sources`` (the source row) as an array of the
+    ``lineage`` columns are gathered as a set of structs ``lineage``, ``sources`` (the source row) as an array of the
     different ones, with their number as ``brondata_count``. Rows whose key isn't complete stay as they are, unless
     ``null_keys`` makes them one group, too.
     """
@@ -23,7 +23,7 @@ def merge_duplicates(df: DataFrame, keys: list[str], order: str = "_seq", lineag
     latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in fields]
     extra: list[Column] = [F.max(order).alias(order)]
     if lineage:
-        extra.append(F.array_sort(F.collect_set(F.struct(*lineage))).alias("wasstraat"))
+        extra.append(F.array_sort(F.collect_set(F.struct(*lineage))).alias("lineage"))
     if sources:
         # maps can't be grouped or told apart; their sorted entries can
         extra.append(F.array_sort(F.collect_set(F.array_sort(F.map_entries(sources)))).alias("_sources"))
@@ -40,7 +40,7 @@ def merge_duplicates(df: DataFrame, keys: list[str], order: str = "_seq", lineag
     alone = df.where(~complete)
     singles = alone.select(*keys, *fields, order)
     if lineage:
-        singles = alone.select(*keys, *fields, order, F.array(F.struct(*lineage)).alias("wasstraat"), *([sources] if sources else []))
+        singles = alone.select(*keys, *fields, order, F.array(F.struct(*lineage)).alias("lineage"), *([sources] if sources else []))
     elif sources:
         singles = alone.select(*keys, *fields, order, sources)
     if sources:
@@ -50,7 +50,7 @@ def merge_duplicates(df: DataFrame, keys: list[str], order: str = "_seq", lineag
 
 def lineage_set(df: DataFrame, keys: list[str], parts: list[str]) -> DataFrame:
     """Per key the different tuples of ``parts``, and their number."""
-    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*parts))).alias("wasstraat")).withColumn("brondata_count", F.size("wasstraat"))
+    return df.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*parts))).alias("lineage")).withColumn("brondata_count", F.size("lineage"))
 
 
 def to_merge(excluded_tables: Iterable[str] = (), excluded_projects: Iterable[str] = (), artefact_table: str = "ARTEFACT") -> Column:

@@ -363,8 +363,8 @@ def merge_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lineage_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = merge.lineage_set(read(spark, sf_dir, "lineitem"), ["l_orderkey"], ["l_returnflag", "l_linestatus"])
-    shown = F.array_join(F.transform("wasstraat", lambda s: F.concat_ws(":", s.l_returnflag, s.l_linestatus)), ",")
-    return out.select("l_orderkey", shown.alias("wasstraat"), F.col("brondata_count").cast("bigint").alias("brondata_count"))
+    shown = F.array_join(F.transform("lineage", lambda s: F.concat_ws(":", s.l_returnflag, s.l_linestatus)), ",")
+    return out.select("l_orderkey", shown.alias("lineage"), F.col("brondata_count").cast("bigint").alias("brondata_count"))
 
 
 @query
@@ -533,7 +533,7 @@ def load_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def explode_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = merge.lineage_set(read(spark, sf_dir, "lineitem"), ["l_partkey"], ["l_returnflag", "l_linestatus"])
-    return sets.select("l_partkey", F.explode("wasstraat").alias("w")).select("l_partkey", "w.l_returnflag", "w.l_linestatus")
+    return sets.select("l_partkey", F.explode("lineage").alias("w")).select("l_partkey", "w.l_returnflag", "w.l_linestatus")
 
 
 @query

@@ -92,7 +92,7 @@ def move_and_merge(store: DataFrame, excluded_tables: Iterable[str] = (), exclud
         out = merge.merge_duplicates(rows, list(spec.merge_by), "_seq", [f"_{c}" for c in lineage], "brondata", null_keys)
         merged.append(out)
     rest = df.where(~F.col("soort").isin([s.soort for s in merging]) | ((F.col("soort") == "Artefact") & merge.to_move(excluded_tables, excluded_projects)))
-    moved = rest.withColumns({"wasstraat": F.array(F.struct(*[f"_{c}" for c in lineage])), "brondata": F.array("brondata"), "brondata_count": F.lit(1)}).drop(*[f"_{c}" for c in lineage])
+    moved = rest.withColumns({"lineage": F.array(F.struct(*[f"_{c}" for c in lineage])), "brondata": F.array("brondata"), "brondata_count": F.lit(1)}).drop(*[f"_{c}" for c in lineage])
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), merged, moved)
     filed = F.col("soort").isin(*model.FILES)
     kind = F.when(filed, F.coalesce(column(out, "bestandsoort"), F.col("soort")))

@@ -177,7 +177,7 @@ ORACLES: dict[str, str] = {
         FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL GROUP BY user_id, event_type
     """,
     "lineage_set": """
-        SELECT l_orderkey, string_agg(s, ',' ORDER BY s) AS wasstraat, count(*) AS brondata_count FROM (SELECT DISTINCT l_orderkey, l_returnflag || ':' || l_linestatus AS s FROM lineitem) GROUP BY l_orderkey
+        SELECT l_orderkey, string_agg(s, ',' ORDER BY s) AS lineage, count(*) AS brondata_count FROM (SELECT DISTINCT l_orderkey, l_returnflag || ':' || l_linestatus AS s FROM lineitem) GROUP BY l_orderkey
     """,
     "uniqueness_flags": """
         SELECT l_suppkey, count(p) = count(DISTINCT p) AS is_unique FROM (SELECT l_suppkey, CASE WHEN l_quantity > 5 THEN l_partkey END AS p FROM lineitem) GROUP BY l_suppkey

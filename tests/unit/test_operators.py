@@ -48,7 +48,7 @@ def test_merge(spark):
         [("k", "S", "x", None, 1, "T1", {"p": "1"}), ("k", "S", None, 5, 2, "T2", {"p": "2"}), ("k", "S", "y", None, 3, "T2", {"p": "2"}), (None, "S", "z", 1, 4, "T3", {"p": "3"}), (None, "S", "w", 2, 5, "T3", None)], schema
     )
     out = merge.merge_duplicates(df, ["key"], "_seq", ["table"], "brondata")
-    got = sorted(((r.key, r.a, r.n, [w.table for w in r.wasstraat], r.brondata, r.brondata_count) for r in out.collect()), key=str)
+    got = sorted(((r.key, r.a, r.n, [w.table for w in r.lineage], r.brondata, r.brondata_count) for r in out.collect()), key=str)
     assert got == sorted([("k", "y", 5, ["T1", "T2"], [{"p": "1"}, {"p": "2"}], 2), (None, "z", 1, ["T3"], [{"p": "3"}], 1), (None, "w", 2, ["T3"], [], 0)], key=str)
     assert merge.merge_duplicates(df, ["key"], "_seq", null_keys=True).count() == 2
     again = merge.merge_duplicates(out.select("key", "soort", "a", "n", "_seq"), ["key"])
