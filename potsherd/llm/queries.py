@@ -33,7 +33,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return substring_dedup.dedup_whole(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

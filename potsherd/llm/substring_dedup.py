@@ -4,11 +4,16 @@ A gear rolling hash over the last sixteen characters cuts a text at white space,
 alone and an insertion shifts none but its own. Chunks are compared by digest over the whole corpus. A chunk that also
 stands in a document of smaller id is a repeat; runs of repeated chunks with enough words are removed, and the document
 of smallest id keeps its own.
+
+Whole chunks alone (``dedup``) lose short passages and the edges of long ones. ``dedup_whole`` finds every shared passage
+of ``words + WINDOW - 1`` words, with its exact edges: of each ``WINDOW`` consecutive grams (``words`` words in a row) the
+one with the least hash is compared over the corpus, so such a passage has one that all its documents choose. Around
+those that are shared, all grams are compared.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,9 +28,13 @@ from potsherd.llm.common import Scratch, col, fresh, whole_text
 EVERY, LONGEST = 8, 2000
 #: Words that a run of repeated chunks must have to be removed.
 WORDS = 25
+#: Of so many consecutive grams one is compared over the whole corpus.
+WINDOW = 16
 SEED = 0x5EED
 #: Stands between texts: as many characters as the hash looks back, so that none sees the text before it.
 BETWEEN = "\0" * 16
+#: Digest of a place where no gram begins, larger than all others.
+NONE = np.uint64(2**64 - 1)
 
 
 def gear() -> np.ndarray:
@@ -103,6 +112,128 @@ def spans(texts: list[str], places: list[np.ndarray], words: int) -> list[list[t
     return out
 
 
+def sliding(values: np.ndarray, size: int, least: np.ufunc) -> np.ndarray:
+    """The minimum or maximum of each ``size`` consecutive values."""
+    out, have = values, 1
+    while have < size:
+        step = min(have, size - have)
+        out, have = least(out[: len(out) - step], out[step:]), have + step
+    return out
+
+
+def grams(texts: list[str], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, begin, end, digest) of each word of the texts, in order, where the digest is that of the gram of ``words`` words from there, NONE if its text ends before.
+
+    Words stand between blanks, as they are; the blanks themselves don't count.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    codes = chars.code_points("\n".join(texts) + "\n")
+    begins, ends = chars.runs((codes != 32) & ((codes < 9) | (codes > 13)))
+    text = np.searchsorted(starts, begins, "right") - 1
+    hashes, forward = chars.span_hashes(codes, begins, ends), chars.powers(words)[0]
+    digests = np.full(len(begins), NONE)
+    whole = max(len(begins) - words + 1, 0)
+    rolled = np.zeros(whole, np.uint64)
+    for k in range(words):
+        rolled += hashes[k : k + whole] * forward[k]
+    digests[:whole] = np.where(text[:whole] == text[len(begins) - whole :], np.minimum(chars.mix(rolled), NONE - np.uint64(1)), NONE)
+    return text, begins - starts[text], ends - starts[text], digests
+
+
+def chosen(digests: np.ndarray) -> np.ndarray:
+    """Whether each gram is the least of some window; at a text's edges windows may be shorter, which chooses more."""
+    edge = np.full(WINDOW - 1, NONE)
+    lows = sliding(np.concatenate([edge, digests, edge]), WINDOW, np.minimum)
+    return (sliding(np.where(lows == NONE, np.uint64(0), lows), WINDOW, np.maximum) == digests) & (digests != NONE)
+
+
+def near(text: np.ndarray, digests: np.ndarray, owner: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Whether each gram stands less than WINDOW words from a gram whose digest is among those that are ``shared`` in its text."""
+    at = np.flatnonzero(among(text, digests, owner, shared))
+    size = len(digests) + 1
+    steps = np.bincount(np.maximum(at - WINDOW + 1, 0), minlength=size) - np.bincount(np.minimum(at + WINDOW, size - 1), minlength=size)
+    return (np.cumsum(steps)[: len(digests)] > 0) & (digests != NONE)
+
+
+def among(text: np.ndarray, digests: np.ndarray, owner: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether each (text, digest) is one of the pairs (owner, wanted)."""
+    both = lambda t, d: chars.mix(d + (t.astype(np.uint64) + np.uint64(1)) * np.uint64(chars.SPREAD))
+    return np.isin(both(text, digests), both(owner, wanted)) & (digests != NONE)
+
+
+def flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the list, value) of all values of lists of digests."""
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    return owner, (np.concatenate([np.asarray(x, np.int64) for x in lists]) if lists else np.empty(0, np.int64)).view(np.uint64)
+
+
+def digested(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text_key, digests) of each row of (doc_id, text_key, text): its chosen grams or, if there is a column ``shared``, those near a shared one."""
+    around = "shared" in docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for a, b in chars.batches(np.fromiter(map(len, texts), np.int64, len(texts))):
+                text, _, _, digests = grams(texts[a:b], words)
+                keep = near(text, digests, *flat([np.asarray(x.values) for x in batch.column("shared").slice(a, b - a)])) if around else chosen(digests)
+                offsets = np.searchsorted(text[keep], np.arange(b - a + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(digests[keep].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("text_key").slice(a, b - a), lists], ["doc_id", "text_key", "digests"])
+
+    return docs.select("doc_id", "text_key", "text", *["shared"] * around).mapInArrow(run, "doc_id long, text_key long, digests array<long>")
+
+
+def met_again(parts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(known, first) of the digests that several documents have. A null id is the largest."""
+    once = parts.select("doc_id", F.explode(F.array_distinct("digests")).alias("digest"))
+    met = once.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.when(F.col("doc_id").isNull(), 1)).alias("nulls"))
+    return scratch.keep(met.where("first < last OR (first IS NOT NULL AND nulls > 0)").select(F.col("digest").alias("known"), "first"))
+
+
+def held(parts: DataFrame, known: DataFrame, later: bool, scratch: Scratch) -> DataFrame:
+    """(id, key, digests) of the rows with their digests that are known, or only those that a smaller id has."""
+    each = parts.select("doc_id", "text_key", F.explode(F.array_distinct("digests")).alias("digest"))
+    on = F.col("digest") == F.col("known")
+    if later:
+        on = on & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first")))
+    return scratch.keep(each.join(known, on).groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).agg(F.collect_set("digest").alias("digests")))
+
+
+def whole_spans(texts: list[str], repeated: list, words: int) -> list[list[tuple[int, int]]]:
+    """For each text the runs of words that stand in repeated grams, as (begin, end) in characters."""
+    text, begins, ends, digests = grams(texts, words)
+    at = np.flatnonzero(among(text, digests, *flat(repeated)))
+    steps = np.bincount(at, minlength=len(text) + 1) - np.bincount(at + words, minlength=len(text) + 1)
+    inside = np.cumsum(steps) > 0
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    bounds = np.searchsorted(text, np.arange(len(texts) + 1))
+    for k in np.unique(text[at]):
+        a, b = chars.runs(inside[bounds[k] : bounds[k + 1]])
+        out[k] = [(int(begins[bounds[k] + x]), int(ends[bounds[k] + y - 1])) for x, y in zip(a, b, strict=True)]
+    return out
+
+
+def dedup_whole(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS) -> DataFrame:
+    """As ``dedup``, but every passage of ``words + WINDOW - 1`` words or more that a document shares with one of smaller id goes, from its first word to its last.
+
+    Passages from ``words`` words on go as well where they have a chosen gram. Words are compared as they stand, blanks
+    between them may differ; the blanks around a passage stay. Nothing goes that isn't part of ``words`` equal words.
+    """
+    scratch = Scratch(docs.sparkSession)
+    keyed = docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    sparse = scratch.keep(digested(keyed, words))
+    shared = held(sparse, met_again(sparse, scratch), False, scratch).withColumnRenamed("digests", "shared")
+    one = F.col("text_key") == F.col("key")
+    around = keyed.join(shared, one & F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text_key", "text", "shared")
+    dense = scratch.keep(digested(around, words))
+    scratch.drop(sparse, shared)
+    found = held(dense, met_again(dense, scratch), True, scratch).withColumnRenamed("digests", "places")
+    scratch.drop(dense)
+    return cleaned(docs, found, lambda texts, digests: whole_spans(texts, digests, words), text, doc_id)
+
+
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS) -> DataFrame:
     """``docs`` with ``text`` cleaned, and two more columns: removed (array of begin, end in the old text), removed_chars.
 
@@ -114,6 +245,11 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: in
     scratch = Scratch(docs.sparkSession)
     keyed = docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
     found = repeats(scratch.keep(chunked(keyed)), scratch)
+    return cleaned(docs, found, lambda texts, places: spans(texts, places, words), text, doc_id)
+
+
+def cleaned(docs: DataFrame, found: DataFrame, runs: Callable[[list[str], list], list[list[tuple[int, int]]]], text: str, doc_id: str) -> DataFrame:
+    """``docs`` without the runs that ``runs`` gives for texts and what ``found`` (id, key, places) holds of them."""
     names = [c for c in docs.columns if c.lower() not in ("removed", "removed_chars")]
     own_id, own_key, there, key, places = fresh(docs, "own_id", "own_key", "id", "key", "places")
     marks = found.select(F.col("id").alias(there), F.col("key").alias(key), F.col("places").alias(places))
@@ -127,7 +263,7 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: in
         sizes = np.fromiter((len(text.iloc[k]) for k in marked), np.int64, len(marked))
         for a, b in chars.batches(sizes):
             rows = marked[a:b]
-            for k, s in zip(rows, spans([text.iloc[k] for k in rows], [places.iloc[k] for k in rows], words), strict=True):
+            for k, s in zip(rows, runs([text.iloc[k] for k in rows], [places.iloc[k] for k in rows]), strict=True):
                 out[k] = [{"begin": x, "end": y} for x, y in s]
         return pd.Series(out)
 
@@ -137,6 +273,6 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: in
     begins = F.concat(F.array(F.lit(0)), F.transform("removed", lambda s: s.end))
     stays = F.concat(F.transform("removed", lambda s: s.begin), F.array(size))
     clean = F.array_join(F.zip_with(begins, stays, lambda a, b: F.substr(whole_text(text), a + 1, b - a)), "")
-    cleaned = F.when(F.size("removed") > 0, clean).otherwise(col(text))
+    clear = F.when(F.size("removed") > 0, clean).otherwise(col(text))
     gone = F.aggregate("removed", F.lit(0), lambda n, s: n + s.end - s.begin)
-    return judged.select(*[cleaned.alias(c) if c == text else col(c) for c in names], "removed", gone.alias("removed_chars"))
+    return judged.select(*[clear.alias(c) if c == text else col(c) for c in names], "removed", gone.alias("removed_chars"))

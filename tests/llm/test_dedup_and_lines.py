@@ -165,6 +165,38 @@ def test_substring_edges(spark):
     assert {r.doc_id: len(r.text) > 0 for r in substring_dedup.dedup(twice).collect()} == {1: True, 2: False, None: False}
 
 
+def test_whole_passages_go_with_exact_edges(spark):
+    rng = random.Random(10)
+    passages = [prose(rng, rng.randrange(51, 61)) for _ in range(60)] + [prose(rng, substring_dedup.WORDS + substring_dedup.WINDOW - 1) for _ in range(60)]
+    around = [[(prose(rng, rng.randrange(1, 60)), prose(rng, rng.randrange(1, 60))) for _ in range(3)] for _ in passages]
+    rows = [(3 * k + i, f"{a} {p} {b}") for k, p in enumerate(passages) for i, (a, b) in enumerate(around[k])]
+    want = {3 * k + i: f"{a} {p} {b}" if i == 0 else f"{a}  {b}" for k, p in enumerate(passages) for i, (a, b) in enumerate(around[k])}
+    random.Random(11).shuffle(rows)
+    got = {r.doc_id: r for r in substring_dedup.dedup_whole(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    assert {i: r.text for i, r in got.items()} == want
+    assert all(len(text) - len(got[i].text) == got[i].removed_chars == sum(s.end - s.begin for s in got[i].removed) for i, text in rows)
+
+
+def test_whole_passages_may_come_from_several_documents(spark):
+    rng = random.Random(12)
+    p = [prose(rng, 60) for _ in range(3)]
+    short = " ".join(p[0].split()[20:50])
+    rows = [(1, f"{prose(rng, 9)} {short} {prose(rng, 9)}"), (2, p[0]), (3, "\n".join(["new one", p[0].replace(" ", "\n"), p[1], "last"])), (4, p[1]), (5, p[2]), (5, p[2] + " x")]
+    got = {(r.doc_id, len(r.text)): r.text for r in substring_dedup.dedup_whole(spark.createDataFrame(rows, SCHEMA)).collect()}
+    texts = sorted(got.values(), key=len)
+    assert f"new one\n\n{p[1]}\nlast" in texts and p[2] in texts and p[2] + " x" in texts and "" in texts
+
+
+def test_whole_edges(spark):
+    docs = edge_docs(spark)
+    out = substring_dedup.dedup_whole(docs)
+    assert out.columns == [*[c for c in docs.columns if c != "removed"], "removed", "removed_chars"]
+    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted((str(i), t) for i, t in EDGES)
+    assert substring_dedup.dedup_whole(docs.limit(0)).count() == 0
+    twice = spark.createDataFrame([(2, prose(random.Random(1), 60)), (1, prose(random.Random(1), 60)), (None, prose(random.Random(1), 60))], SCHEMA)
+    assert {r.doc_id: len(r.text) > 0 for r in substring_dedup.dedup_whole(twice).collect()} == {1: True, 2: False, None: False}
+
+
 # line dedup
 
 
