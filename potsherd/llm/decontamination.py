@@ -3,7 +3,8 @@
 Words become template words: numbers, names and units turn into typed placeholders, all others into small letters. Windows
 of template words are joined by hash with those of the benchmark. Where windows with placeholders meet, the values in the
 slots are compared: a copy has the same ones, a re-parameterised question has others, but one value in the document for
-each value of the item. Windows whose slots contradict each other are no evidence.
+each value of the item. Windows whose slots contradict each other are no evidence. Windows of an item with too few words
+that are no placeholders are joined by their real words instead, so only verbatim copies of them are evidence.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from potsherd.llm.common import Scratch, col, fresh, joinable, small, whole_text
 
-#: Words of a window, and how many of them may not be placeholders at least.
+#: Words of a window, and how many of them may not be placeholders at least where slots may differ.
 WINDOW, LITERALS = 8, 5
 #: A document holds an item if its consistent windows cover so great a share of the item's words, or so many words.
 SHARE, COVERED = 0.5, 13
@@ -57,55 +58,76 @@ def values(mark: Column) -> Column:
     return split_words(mark)
 
 
+def spoken(mark: Column) -> Column:
+    """The real words of a marked text in small letters, one for each template word."""
+    return split_words(F.lower(F.translate(mark, NUMBER + NAME + UNIT + BEGIN, "")))
+
+
+def hashed(words: Column, salt: int | None = None) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w) if salt is None else F.xxhash64(w, F.lit(salt)))
+
+
 def windows(words: Column, size: int) -> Column:
     """Hashes of all windows, in order; empty if there are fewer words."""
     none = F.array().cast("array<bigint>")
     return F.when(F.size(words) >= size, F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda k: F.xxhash64(*[F.get(words, k + i) for i in range(size)]))).otherwise(none)
 
 
-def windowed(rows: DataFrame, keys: list[str], sizes: list[int]) -> DataFrame:
-    """keys, size, at, window: one row for each window; ``rows`` has ``hashes``, one for each template word."""
-    parts = [rows.select(*keys, F.lit(size).alias("size"), F.posexplode(windows(F.col("hashes"), size)).alias("at", "window")) for size in sizes]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def windowed(rows: DataFrame, keys: list[str], wanted: list[tuple[str, int]]) -> DataFrame:
+    """keys, size, at, window: one row for each window of the ``wanted`` sizes over the named columns of hashes, one for each word."""
+    if len(wanted) == 1:
+        [(name, size)] = wanted
+        return rows.select(*keys, F.lit(size).alias("size"), F.posexplode(windows(F.col(name), size)).alias("at", "window"))
 
+    def placed(name: str, size: int) -> Column:
+        return F.transform(windows(F.col(name), size), lambda w, at: F.struct(F.lit(size).alias("size"), at.alias("at"), w.alias("window")))
 
-def benchmark_windows(benchmark: DataFrame, text: str, item_id: str, scratch: Scratch) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Items (item_id, n_words, words), their windows (item_id, at, size, window, slots) and the window sizes; an item shorter than a window is one itself."""
+    # one generator for all, so that texts are read once
+    return rows.select(*keys, F.explode(F.concat(*[placed(*x) for x in wanted])).alias("w")).select(*keys, "w.size", "w.at", "w.window")
+
+
+def benchmark_windows(benchmark: DataFrame, text: str, item_id: str, scratch: Scratch) -> tuple[DataFrame, DataFrame, list[tuple[str, int]]]:
+    """Items (item_id, n_words, words), their windows (item_id, at, size, window, slots) and the kinds (hashes or plain) and sizes of these; an item shorter than a window is one itself.
+
+    A window with too few literals is one of real words, which has no slots.
+    """
     mark = marked(whole_text(text))
-    items = scratch.keep(benchmark.select(col(item_id).cast("long").alias("item_id"), template(mark).alias("words"), values(mark).alias("said")).where(F.size("words") > 0).distinct())
+    items = scratch.keep(benchmark.select(col(item_id).cast("long").alias("item_id"), template(mark).alias("words"), values(mark).alias("said"), spoken(mark).alias("spoken")).where(F.size("words") > 0).distinct())
     sized = items.withColumn("n_words", F.size("words")).withColumn("size", F.least(F.lit(WINDOW), F.size("words")))
     sizes = [r.size for r in sized.select("size").distinct().collect()]  # at most WINDOW of them
     slots = F.size(F.filter(F.slice("words", F.col("at") + 1, F.col("size")), lambda w: w.isin(NUMBER, NAME, UNIT)))
+    enough = F.col("size") - F.col("slots") >= F.least(F.lit(LITERALS), F.col("size"))
     found = None
     for size in sizes:
-        own = sized.where(F.col("size") == size).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-        part = windowed(own, ["item_id", "words"], [size]).withColumn("slots", slots).drop("words")
-        found = part if found is None else found.unionByName(part)
+        own = sized.where(F.col("size") == size).withColumn("hashes", hashed(F.col("words"))).withColumn("plain", hashed(F.col("spoken"), 1))
+        for kind, fits in (("hashes", enough), ("plain", ~enough)):
+            part = windowed(own, ["item_id", "words"], [(kind, size)]).withColumn("slots", slots).where(fits).drop("words").withColumn("kind", F.lit(kind))
+            found = part if found is None else found.unionByName(part)
     if found is None:
         return sized, benchmark.sparkSession.createDataFrame([], "item_id long, size int, at int, window long, slots int"), []
-    return sized, scratch.keep(found.where(F.col("size") - F.col("slots") >= F.least(F.lit(LITERALS), F.col("size")))), sizes
+    known = scratch.keep(found.withColumn("slots", F.when(F.col("kind") == "plain", 0).otherwise(F.col("slots"))))
+    return sized, known, sorted(tuple(r) for r in known.select("kind", "size").distinct().collect())
 
 
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """One row for each document that holds a benchmark item: doc_id, text_key, item_id, covered, item_words, share, verbatim.
 
     ``covered`` counts the item's words in consistent windows, ``verbatim`` is false if a slot differs, text_key is the text's
-    64-bit hash. Null or empty texts hold nothing and null or empty items are held by nothing; so are items of
-    placeholders only. Repeated rows count once, as do repeated items; several items in a document give several rows, a
+    64-bit hash. Null or empty texts hold nothing and null or empty items are held by nothing. Items of
+    placeholders only are held where their words stand as they are. Repeated rows count once, as do repeated items; several items in a document give several rows, a
     null doc_id or item_id stays null. Extra columns play no part. Empty tables give no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    items, known, sizes = benchmark_windows(benchmark, item_text, item_id, scratch)
+    items, known, wanted = benchmark_windows(benchmark, item_text, item_id, scratch)
     schema = "doc_id long, text_key long, item_id long, covered long, item_words long, share double, verbatim boolean"
-    if not sizes:
+    if not wanted:
         return spark.createDataFrame([], schema)
     read = docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    hashed = read.select("doc_id", "text_key", F.transform(template(marked(F.col("text"))), lambda w: F.xxhash64(w)).alias("hashes"))
-    seen = windowed(hashed, ["doc_id", "text_key"], sizes)
+    mark = marked(F.col("text"))
+    kinds = {"hashes": hashed(template(mark)), "plain": hashed(spoken(mark), 1)}
+    words = read.select("doc_id", "text_key", *[kinds[k].alias(k) for k in sorted({k for k, _ in wanted})])
+    seen = windowed(words, ["doc_id", "text_key"], wanted)
     lookup = known.select("item_id", F.col("at").alias("item_at"), F.col("size").alias("item_size"), F.col("window").alias("item_window"), "slots")
     lookup = F.broadcast(lookup) if small(known, BROADCAST_WINDOWS) else lookup
     met = seen.join(lookup, (F.col("window") == F.col("item_window")) & (F.col("size") == F.col("item_size")))

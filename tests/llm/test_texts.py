@@ -253,6 +253,17 @@ def test_decontamination_edges(spark):
     assert decontamination.find(docs.limit(0), benchmark).count() == 0
 
 
+def test_verbatim_copies_of_items_with_few_literals(spark):
+    items = [(1, "Compute 12 plus 30 minus 7"), (2, "12 34 km"), (3, "Alice has 3 apples, Bob 5 pears, Carl 7 plums, Dora 9 figs and Eve 11 nuts"), (4, "What is 6 times 7?"), (5, "Add 3")]
+    docs = [(k, f"some words before, then {t} and some more behind") for k, t in items]
+    docs += [(11, "Compute 13 plus 31 minus 8"), (12, "12 35 km"), (13, "Anna has 4 apples, Bart 6 pears, Cees 8 plums, Dirk 10 figs and Els 12 nuts"), (14, "What is 8 times 9?"), (15, "Add 4")]
+    docs, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.find(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(k, k) for k, _ in items}
+    assert all(r.verbatim and r.covered == r.item_words for r in found)
+    assert {r.doc_id for r in decontamination.drop_contaminated(docs, benchmark).collect()} == {11, 12, 13, 14, 15}
+
+
 # WARC
 
 
