@@ -10,7 +10,7 @@ import numpy as np
 #: Multipliers of the polynomial hash modulo 2**64 and of its mixing steps.
 BASE, SPREAD, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD
 #: Characters that are handled together.
-CHARS = 1_000_000
+CHARS = 400_000
 
 _powers = np.ones((2, 1), np.uint64)
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from potsherd.llm.common import Scratch, col, fresh, joinable, whole_text
+from potsherd.llm.workers import thrifty
 
 #: Each run of white space counts as one space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -46,7 +47,7 @@ def summaries(digests: DataFrame, name: str, counters: int) -> DataFrame:
         if counts:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], [name, "n"])
 
-    return digests.select(name).mapInArrow(summarise, f"{name} string, n long")
+    return digests.select(name).mapInArrow(thrifty(summarise), f"{name} string, n long")
 
 
 def heavy_winners(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:

@@ -6,7 +6,8 @@ is still large after DEPTH splits is dealt into tiles, so that each pair of its
 by brute force: first by sketches, then by the sets themselves. Runs repeat until the target recall.
 
 Sets that are equal are one node. A bucket gives a spanning forest of its links and never all pairs, connected
-components of these are the classes, and links are counted within the classes, tile by tile.
+components of these are the classes, and links are counted within the classes, tile by tile, on the sets' differences from
+one set of their class.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from potsherd.llm import chars
 from potsherd.llm.common import Scratch, col, fresh, joinable, whole_text
+from potsherd.llm.workers import thrifty
 
 #: Words of an n-gram, and the similarity of a link.
 NGRAM, SIMILARITY = 5, 0.8
@@ -46,9 +48,16 @@ def multipliers(n: int, seed: int) -> np.ndarray:
     return chars.mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(chars.BASE) + np.uint64(seed)) | np.uint64(1)
 
 
-def runs_for(recall: float, branch: float) -> int:
-    """Runs after which two linked sets have met with the wanted probability: each run misses them with exp(-branch)."""
-    return max(1, math.ceil(-math.log1p(-recall) / branch))
+def runs_for(recall: float, branch: float, depth: int = DEPTH) -> int:
+    """Runs after which two linked sets have met with the wanted probability.
+
+    A run misses them with exp(-branch) where their buckets stay whole. Each split samples anew and may lose them again, so
+    the chance is that of a branching process to die out within ``depth`` further levels.
+    """
+    miss = 0.0
+    for _ in range(depth + 1):
+        miss = math.exp(-branch * (1 - miss))
+    return max(1, math.ceil(math.log1p(-recall) / math.log(miss)))
 
 
 def token_sets(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +135,7 @@ def described(docs: DataFrame, n: int, similarity: float, branch: float, runs: i
                     ["doc_id", "text_key", "node", "size", "s0", "s1", "paths"],
                 )
 
-    return docs.select("doc_id", "text_key", "text").mapInArrow(run, TABLE)
+    return docs.select("doc_id", "text_key", "text").mapInArrow(thrifty(run), TABLE)
 
 
 def pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
@@ -225,7 +234,7 @@ def plausible(rows: DataFrame, similarity: float) -> DataFrame:
             if at:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(meet)), nodes.take(pa.array(np.concatenate(at)))], ["meet", "node"])
 
-    return sorted_by(rows, "path").mapInArrow(run, "meet long, node binary").distinct()
+    return sorted_by(rows, "path").mapInArrow(thrifty(run), "meet long, node binary").distinct()
 
 
 def tiles(sizes: np.ndarray) -> Iterator[np.ndarray]:
@@ -242,22 +251,31 @@ def tiles(sizes: np.ndarray) -> Iterator[np.ndarray]:
 
 
 class Compared:
-    """Sets side by side, for exact comparisons of one with many."""
+    """Sets side by side, for exact comparisons of one with many.
+
+    With ``base`` and ``lost``, the sets are differences from one of ``base`` tokens, of which each lacks ``lost``.
+    """
 
-    def __init__(self, tokens: np.ndarray, starts: np.ndarray, similarity: float):
-        self.starts = starts
-        self.sizes = np.diff(np.append(starts, len(tokens)))
+    def __init__(self, tokens: np.ndarray, starts: np.ndarray, similarity: float, base: np.ndarray | None = None, lost: np.ndarray | None = None):
+        self.starts, listed = starts, np.diff(np.append(starts, len(tokens)))
+        self.listed = listed
+        self.whole = np.zeros(len(starts), np.int64) if base is None else base - lost.astype(np.int64)  # of the base, what each set has
+        self.sizes = listed if base is None else base + listed - 2 * lost.astype(np.int64)
+        self.lost = np.zeros(len(starts), np.int64) if lost is None else lost
         vocabulary, self.codes = np.unique(tokens, return_inverse=True)
-        self.marks = np.zeros(len(vocabulary), bool)
+        self.marks = np.zeros(len(vocabulary) + 1, bool)
+        self.codes = np.append(self.codes, len(vocabulary))  # ends the last set, which may be empty
         f = Fraction(similarity).limit_denominator(10_000)
         self.upper, self.lower = f.numerator + f.denominator, f.numerator
 
     def linked(self, k: int) -> np.ndarray:
         """Whether each set is linked with set k (which itself counts as linked)."""
-        own = self.codes[self.starts[k] : self.starts[k] + self.sizes[k]]
+        own = self.codes[self.starts[k] : self.starts[k] + self.listed[k]]
         self.marks[own] = True
-        shared = np.add.reduceat(self.marks[self.codes].view(np.uint8), self.starts, dtype=np.int64)
+        met = np.add.reduceat(self.marks[self.codes].view(np.uint8), self.starts, dtype=np.int64)
+        met[self.listed == 0] = 0
         self.marks[own] = False
+        shared = met + self.whole - self.lost[k]
         return shared * self.upper >= self.lower * (self.sizes + self.sizes[k])
 
     def forest(self) -> list[tuple[int, int]]:
@@ -298,7 +316,7 @@ def verified(rows: DataFrame, similarity: float) -> DataFrame:
                 nodes, ends = table.column("node").combine_chunks(), np.array(found)
                 yield pa.RecordBatch.from_arrays([nodes.take(pa.array(ends[:, 0])), nodes.take(pa.array(ends[:, 1]))], ["a", "b"])
 
-    return sorted_by(rows, "meet").mapInArrow(run, "a binary, b binary")
+    return sorted_by(rows, "meet").mapInArrow(thrifty(run), "a binary, b binary")
 
 
 def with_tokens(docs: DataFrame, reps: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
@@ -315,7 +333,7 @@ def with_tokens(docs: DataFrame, reps: DataFrame, nodes: DataFrame, n: int, scra
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "tokens"])
 
-    out = scratch.keep(read.mapInArrow(run, "node binary, tokens array<long>"))
+    out = scratch.keep(read.mapInArrow(thrifty(run), "node binary, tokens array<long>"))
     # rows that repeat both id and text give their node more than once
     return out if out.count() == picks.count() else scratch.keep(out.dropDuplicates(["node"]))
 
@@ -344,7 +362,7 @@ def split_again(large: DataFrame, tokens: DataFrame, branch: float, similarity:
                 )
 
     by_node = large.groupBy("node").agg(F.collect_set("path").alias("paths"), F.first("size").alias("size"), F.first("s0").alias("s0"), F.first("s1").alias("s1"))
-    return by_node.join(tokens, "node").mapInArrow(run, "path long, node binary, size int, s0 long, s1 long")
+    return by_node.join(tokens, "node").mapInArrow(thrifty(run), "path long, node binary, size int, s0 long, s1 long")
 
 
 def tiled(large: DataFrame, counts: DataFrame) -> DataFrame:
@@ -405,22 +423,44 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
 
 
-def count_links(classes: DataFrame, tokens: DataFrame, similarity: float) -> DataFrame:
-    """(node, links): the linked nodes of each node, counted within its class; large classes are dealt into tiles."""
-    sizes = classes.groupBy("root").agg(F.count(F.lit(1)).alias("n")).select(F.col("root").alias("r"), F.ceil(F.col("n") / BLOCK).cast("int").alias("many"))
-    dealt = classes.join(joinable(sizes), F.col("root") == F.col("r")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
+def differences(classes: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(root, node, base, lost, tokens): how each set differs from its class's root, a set of ``base`` tokens, of which it lacks ``lost``.
+
+    Near copies differ in few tokens, so these lists are short whatever the texts' length. Two sets share ``base`` less
+    what either lacks, and what both lists of differences hold.
+    """
+    heads = classes.where("node = root").select(F.col("node").alias("head")).join(tokens.withColumnRenamed("tokens", "whole"), F.col("head") == F.col("node")).select("head", "whole")
+    both = classes.join(tokens, "node").join(heads, F.col("root") == F.col("head")).select("root", "node", "tokens", "whole")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, wholes = batch.column("tokens"), batch.column("whole")
+            left = [np.setxor1d(own[k].values, wholes[k].values, assume_unique=True) for k in range(batch.num_rows)]
+            base, sizes, apart = pc.list_value_length(wholes).to_numpy(), pc.list_value_length(own).to_numpy(), np.fromiter(map(len, left), np.int64, len(left))
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(apart)].astype(np.int32)), pa.array(np.concatenate([*left, np.empty(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("node"), pa.array(base), pa.array((base - sizes + apart) // 2).cast(pa.int32()), lists], ["root", "node", "base", "lost", "tokens"])
+
+    return both.mapInArrow(thrifty(run), "root binary, node binary, base int, lost int, tokens array<long>")
+
+
+def count_links(classes: DataFrame, tokens: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """(node, links): the linked nodes of each node, counted within its class; large classes are dealt into tiles of their differences."""
+    apart = scratch.keep(differences(classes, tokens))
+    sizes = apart.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("tokens")).alias("total"))
+    sizes = scratch.keep(sizes.select(F.col("root").alias("r"), F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_TOKENS)).cast("int").alias("many")))
+    dealt = apart.join(joinable(sizes), F.col("root") == F.col("r")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
     each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(low == high, 2).otherwise((F.col("block") == high).cast("int")).alias("side")
-    rows = each.select(F.xxhash64("root", low, high).alias("meet"), side, "node").join(tokens, "node")
+    rows = each.select(F.xxhash64("root", low, high).alias("meet"), side, "node", "base", "lost", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in grouped(batches, "meet"):
             tokens, offsets = sets_of(table)
-            sides = table.column("side").to_numpy()
+            sides, base, lost = (table.column(c).to_numpy() for c in ("side", "base", "lost"))
             counts = np.zeros(table.num_rows, np.int64)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                compared = Compared(tokens[offsets[a] : offsets[b]], offsets[a:b] - offsets[a], similarity)
+                compared = Compared(tokens[offsets[a] : offsets[b]], offsets[a:b] - offsets[a], similarity, base[a:b], lost[a:b])
                 inside = sides[a] == 2
                 for k in range(b - a) if inside else np.flatnonzero(sides[a:b] == 0).tolist():
                     linked = compared.linked(k)
@@ -432,13 +472,41 @@ def count_links(classes: DataFrame, tokens: DataFrame, similarity: float) -> Dat
                         counts[a:b] += linked
             yield pa.RecordBatch.from_arrays([table.column("node").combine_chunks(), pa.array(counts)], ["node", "links"])
 
-    return sorted_by(rows, "meet").mapInArrow(run, "node binary, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    return sorted_by(rows, "meet").mapInArrow(thrifty(run), "node binary, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).withColumn("text_key", F.xxhash64("text"))
 
 
+def connected(docs: DataFrame, n: int, similarity: float, recall: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Of (doc_id, text_key, text): its rows' nodes, the nodes, (node, tokens) of those that were compared, and (node, root) of those with links."""
+    told = scratch.keep(described(docs, n, similarity, branch, runs_for(recall, branch, depth)))
+    smallest = F.min(ordered()).alias("best")
+    same = [F.first(c).alias(c) for c in ("size", "s0", "s1", "paths")]  # equal for all rows of a node
+    reps = told.where("size > 0").groupBy("node").agg(smallest, F.count(F.lit(1)).alias("copies"), *same)
+    reps = scratch.keep(reps.select("node", "best.doc_id", "best.text_key", "copies", "size", "s0", "s1", "paths"))
+
+    meets = candidates(docs, reps, n, similarity, branch, leaf, depth, scratch)
+    tokens = with_tokens(docs, reps, scratch.keep(meets.select("node").distinct()), n, scratch)
+    links = scratch.keep(verified(meets.join(tokens, "node"), similarity))
+    return told, reps, tokens, components(links, scratch)
+
+
+def ordered() -> Column:
+    """What the smallest row of a class is found by: a null doc_id is the largest."""
+    return F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
+
+
+def heads(reps: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, head, copies) of all nodes that several rows or nodes share a class with, ``head`` being the class's smallest row."""
+    roots = scratch.keep(classes.join(reps.select("node", "doc_id", "text_key", "copies"), "node"))
+    least = roots.groupBy(F.col("root").alias("r")).agg(F.min(ordered()).alias("head"))
+    linked = roots.join(least, F.col("root") == F.col("r")).select("node", "head", "copies")
+    copied = reps.where("copies > 1").join(joinable(classes.select("node")), "node", "left_anti").select("node", ordered().alias("head"), "copies")
+    return linked.unionByName(copied)
+
+
 def annotate(
     docs: DataFrame,
     text: str = "text",
@@ -450,44 +518,31 @@ def annotate(
     leaf: int = LEAF,
     depth: int = DEPTH,
     scratch: Scratch | None = None,
+    counted: bool = True,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key (the text's 64-bit hash), class_id, links, copies, first.
 
     ``class_id`` is the smallest doc_id of the rows that are connected by links or by equal sets of n-grams, ``copies``
     the rows with the same set (this one included), ``links`` the different sets with a Jaccard similarity of at least
-    ``similarity``, and ``first`` marks the row (or the repeated rows) that stands for its class. Words are runs of
-    letters, marks, digits and underscores in small letters; a text of fewer than n words has one n-gram of them all.
-    Texts without words, null and empty ones among them, are in no class but their own. A null doc_id loses to any
-    other, a class of null ids has class_id null; repeated rows are copies; extra columns play no part; no rows give none.
+    ``similarity`` (null unless ``counted``), and ``first`` marks the row (or the repeated rows) that stands for its class.
+    Words are runs of letters, marks, digits and underscores in small letters; a text of fewer than n words has one n-gram
+    of them all. Texts are read whole, however long. Texts without words, null and empty ones among them, are in no class
+    but their own. A null doc_id loses to any other, a class of null ids has class_id null; repeated rows are copies; extra
+    columns play no part; no rows give none.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    read = keyed(docs, text, doc_id)
-    told = scratch.keep(described(read, n, similarity, branch, runs_for(recall, branch)))
-    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))).alias("best")
-    same = [F.first(c).alias(c) for c in ("size", "s0", "s1", "paths")]  # equal for all rows of a node
-    reps = told.where("size > 0").groupBy("node").agg(smallest, F.count(F.lit(1)).alias("copies"), *same)
-    reps = scratch.keep(reps.select("node", "best.doc_id", "best.text_key", "copies", "size", "s0", "s1", "paths"))
-
-    meets = candidates(read, reps, n, similarity, branch, leaf, depth, scratch)
-    tokens = with_tokens(read, reps, scratch.keep(meets.select("node").distinct()), n, scratch)
-    links = scratch.keep(verified(meets.join(tokens, "node"), similarity))
-    classes = components(links, scratch)
-    counted = scratch.keep(count_links(classes, tokens, similarity))
-
-    roots = classes.join(counted, "node").join(reps.select("node", "doc_id", "text_key", "copies"), "node")
-    ordered = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
-    heads = roots.groupBy(F.col("root").alias("r")).agg(F.min(ordered).alias("head"))
-    linked = roots.join(heads, F.col("root") == F.col("r")).select("node", "links", "copies", "head")
-    copied = reps.where("copies > 1").join(joinable(classes.select("node")), "node", "left_anti").select("node", F.lit(0).cast("long").alias("links"), "copies", ordered.alias("head"))
-    known = scratch.keep(linked.unionByName(copied).withColumnRenamed("node", "known"))
-
+    told, reps, tokens, classes = connected(keyed(docs, text, doc_id), n, similarity, recall, branch, leaf, depth, scratch)
+    known = scratch.keep(heads(reps, classes, scratch).withColumnRenamed("node", "known"))
     marked = told.select("doc_id", "text_key", "node", "size").join(joinable(known), (F.col("node") == F.col("known")) & (F.col("size") > 0), "left")
+    if counted:
+        links = scratch.keep(count_links(classes, tokens, similarity, scratch)).select(F.col("node").alias("of"), "links")
+        marked = marked.join(joinable(links), F.col("known") == F.col("of"), "left")
     alone = F.col("known").isNull()
     return marked.select(
         "doc_id",
         "text_key",
         F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
-        F.coalesce("links", F.lit(0).cast("long")).alias("links"),
+        F.coalesce("links", F.lit(0).cast("long")).alias("links") if counted else F.lit(None).cast("long").alias("links"),
         F.coalesce("copies", F.lit(1).cast("long")).alias("copies"),
         (alone | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_key") == F.col("head.text_key")))).alias("first"),
     )
@@ -500,7 +555,7 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **h
     """
     scratch = Scratch(docs.sparkSession)
     key, lost_id, lost_key = fresh(docs, "text_key", "lost_id", "lost_key")
-    marked = scratch.keep(annotate(docs, text, doc_id, scratch=scratch, **how))
+    marked = scratch.keep(annotate(docs, text, doc_id, scratch=scratch, counted=False, **how))
     lost = scratch.keep(marked.where("NOT first").select(F.col("doc_id").alias(lost_id), F.col("text_key").alias(lost_key)).distinct())
     again = scratch.keep(marked.where("first AND copies > 1").groupBy(F.col("doc_id").alias(lost_id), F.col("text_key").alias(lost_key)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     named = docs.withColumn(key, F.xxhash64(whole_text(text)))

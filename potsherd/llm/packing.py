@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from potsherd.llm import tokens
 from potsherd.llm.common import col, whole_text
+from potsherd.llm.workers import hold, thrifty
 
 WIDTH = 2048
 #: Id after each document.
@@ -31,7 +32,7 @@ LONG_SENTENCE, STEP = 64, 32
 #: Windows solved together, and the last ones that are solved again with the next block.
 BLOCK, OPEN = 256, 8
 #: Characters tokenised at once.
-CHARS = 1_000_000
+CHARS = 400_000
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -172,6 +173,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold(tokens.pieces.cache_clear)
         packer = Packer(width, end_id, (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
@@ -185,7 +187,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
         if (out := packer.solve(True)) is not None:
             yield out
 
-    return docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text")).mapInArrow(thrifty(run, keeps=True), SCHEMA)
 
 
 def with_checksums(pieces: DataFrame) -> DataFrame:

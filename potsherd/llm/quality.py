@@ -12,20 +12,23 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.llm import chars
 from potsherd.llm.common import col, whole_text
+from potsherd.llm.workers import give_back, thrifty
 
 #: Labelled documents that are learned from at most, half of them of each label; what is broadcast is bounded by it.
 SAMPLE = 4096
 #: Places for shapes, for pairs of shapes and for words; and dimensions of the latent space.
 SHAPES, PAIRS, WORDS, LATENT = 384, 384, 256, 64
-#: Neighbours that vote, and the power of the cosine that weighs a vote.
-NEIGHBOURS, POWER = 31, 8
+#: Neighbours that vote, and the power of the cosine that weighs a vote (a power of two); cosines nearer than the third number are ties.
+NEIGHBOURS, POWER, TIE = 31, 8, 1e-6
+#: Characters that a text counts for beyond its own when texts are handled together, as each takes a row of cosines.
+ROW = 1000
 #: Scores from here on are predicted to be good.
 GOOD = 0.7
 #: Rows with this remainder of crc32(doc_id as text) by FOLDS are never learned from.
@@ -101,13 +104,15 @@ class Model:
         return Model(weights, space, unit(rows @ space).astype(np.float32), labels.astype(np.float32))
 
     def score(self, counts: np.ndarray) -> np.ndarray:
-        """Weighted share of label 1 among the nearest neighbours; 0 where nothing is alike, as for empty texts."""
+        """Weighted share of label 1 among the nearest neighbours; 0 where nothing is alike, as for empty texts. All that tie with the last neighbour vote, too."""
         cosines = unit(shares(counts, self.weights) @ self.space).astype(np.float32) @ self.vectors.T
         k = min(NEIGHBOURS, cosines.shape[1])
-        near = np.argpartition(cosines, -k, axis=1)[:, -k:]
-        votes = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(np.float64) ** POWER
-        total = votes.sum(axis=1)
-        return np.clip(np.divide((votes * self.labels[near]).sum(axis=1), total, out=np.zeros(len(total)), where=total > 0), 0, 1)
+        least = np.partition(cosines, -k, axis=1)[:, -k, None]
+        votes = np.where(cosines >= least - TIE, np.maximum(cosines, 0), 0)
+        for _ in range(POWER.bit_length() - 1):
+            votes *= votes
+        total = votes.sum(axis=1, dtype=np.float64)
+        return np.clip(np.divide(votes @ self.labels, total, out=np.zeros(len(total)), where=total > 0), 0, 1)
 
 
 def shares(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -123,7 +128,8 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality", sample: int = SAMPLE) -> Model:
     """A model of at most ``sample`` labelled documents, taken by a hash of the id, that aren't held out.
 
-    Null labels and ids and labels without a document are passed over. A document with two labels counts with both.
+    Null labels and ids and labels without a document are passed over. A document with two labels counts with both, and of
+    several texts of one id the one with the smallest term counts is learned from.
     """
     known = labels.select(col(doc_id).cast("long").alias("id"), col(label).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").where(~held_out(F.col("id"))).distinct()
     halves = [known.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(sample // 2) for v in (0, 1)]
@@ -132,29 +138,33 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, found in counted(batch.column("text").to_pylist()):
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("label").slice(a, b - a), pa.array(list(found.astype("<u4")), pa.list_(pa.uint32())).cast(pa.list_(pa.int64()))], ["id", "label", "counts"])
+            for a, b, found in counted(batch.column("text")):
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * PLACES), pa.array(found.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("label").slice(a, b - a), lists], ["id", "label", "counts"])
 
-    rows = read.mapInArrow(count, "id long, label int, counts array<long>").dropDuplicates(["id", "label"]).orderBy("id", "label").toArrow()
+    rows = read.mapInArrow(thrifty(count), "id long, label int, counts array<long>").groupBy("id", "label").agg(F.min("counts").alias("counts")).orderBy("id", "label").toArrow()
     if not rows.num_rows:
         return Model(np.ones(PLACES), np.zeros((PLACES, LATENT), np.float32), np.zeros((1, LATENT), np.float32), np.zeros(1, np.float32))
     counts = rows.column("counts").combine_chunks().flatten().to_numpy().reshape(rows.num_rows, PLACES)
     return Model.fit(counts, rows.column("label").to_numpy())
 
 
-def counted(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
-    for a, b in chars.batches(np.fromiter(map(len, texts), np.int64, len(texts))):
-        yield a, b, terms(texts[a:b])
+def counted(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Ranges of texts and the term counts of each."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + ROW
+    for a, b in chars.batches(sizes):
+        yield a, b, terms(texts.slice(a, b - a).to_pylist())
 
 
 def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
     """The score of a text column, by a broadcast model."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        out = [shared.value.score(found) for _, _, found in counted(texts.tolist())]
-        return pd.Series(np.concatenate(out) if out else np.empty(0))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        out = [shared.value.score(found) for _, _, found in counted(texts)]
+        give_back()
+        return pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())
 
     return score
 
@@ -162,8 +172,8 @@ def scorer(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
 def classify(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with three more columns: held_out, score (0 to 1), predicted (0 or 1).
 
-    A column of ``docs`` with such a name is left out of the result. The score depends on the text alone; a null or
-    empty text scores 0. A null id isn't held out, repeated rows score alike, and no rows give no rows.
+    A column of ``docs`` with such a name is left out of the result. The score depends on the whole text alone, however
+    long; a null or empty text scores 0, and neighbours that tie for the last place all vote. A null id isn't held out, repeated rows score alike, and no rows give no rows.
     """
     names = [c for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
     scored = docs.select(*[col(c) for c in names], held_out(col(doc_id)).alias("held_out"), scorer(docs.sparkSession, model)(whole_text(text)).alias("score"))
