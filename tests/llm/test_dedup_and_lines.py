@@ -85,19 +85,16 @@ def test_broadcasts_are_bounded_in_bytes(spark):
 # substring dedup
 
 
-def brute_chunks(text: str) -> list[tuple[int, int]]:
-    """Chunks by the gear hash, character by character."""
-    table = [int(x) for x in substring_dedup.gear()]
-    h, cuts = 0, []
-    for k, c in enumerate("\0" * 16 + text, -16):
+def brute_cuts(text: str) -> list[int]:
+    """Numbers of the words that end a chunk, by the gear hash character by character and every window in turn."""
+    table, h, marks, text = [int(x) for x in substring_dedup.gear()], 0, [], re.sub(r"[ \t\n\v\f\r]+", " ", text)
+    for c in "\0" * 16 + text:
         h = ((h << 1) + table[(ord(c) ^ (ord(c) >> 8)) & 255]) & 0xFFFF
-        if k >= 0 and c in " \t\n\v\f\r" and (h >> 8) % substring_dedup.EVERY == 0:
-            cuts.append(k + 1)
-    edges = [0, *[c for c in cuts if c < len(text)], len(text)]
-    out = []
-    for a, b in zip(edges, edges[1:], strict=False):
-        out += [(x, min(x + substring_dedup.LONGEST, b)) for x in range(a, b, substring_dedup.LONGEST)]
-    return [(a, b) for a, b in out if b > a]
+        marks.append(h)
+    ends = [m.end() for m in re.finditer(r"[^\0 \t\n\v\f\r]+", text)]
+    values, w = [marks[16 + e - 1] for e in ends], substring_dedup.WINDOW
+    least = [min(values[max(k, 0) : k + w]) for k in range(1 - w, len(values)) if values]
+    return [k for k, v in enumerate(values) if v in [least[j + w - 1] for j in range(k - w + 1, k + 1)]]
 
 
 def prose(rng, n):
@@ -107,32 +104,48 @@ def prose(rng, n):
 def test_chunks_equal_brute_force():
     rng = random.Random(4)
     texts = [prose(rng, rng.randrange(1, 300)) for _ in range(20)] + ["", "x" * 5000, "é\n ü\t" * 40]
-    text, begins, ends, words, _ = substring_dedup.chunks(texts)
+    read = substring_dedup.Texts(texts)
+    first, last, digests = read.chunks()
     for k, t in enumerate(texts):
-        own = text == k
-        assert list(zip(begins[own].tolist(), ends[own].tolist(), strict=True)) == brute_chunks(t)
-        assert words[own].sum() == len(t.split())
+        own = np.arange(read.bounds[k], read.bounds[k + 1])
+        assert [t[a:b] for a, b in zip(read.begins[own], read.ends[own], strict=True)] == t.split()
+        cuts = brute_cuts(t)
+        assert np.flatnonzero(read.cut[own]).tolist() == cuts
+        assert not cuts or max(np.diff([-1, *cuts, len(own)])) <= substring_dedup.WINDOW
+        wanted = [(a + 1, min(c for c in cuts if c >= a + substring_dedup.LEAST) + 1) for a in cuts if cuts[-1] >= a + substring_dedup.LEAST]
+        mine = read.text[first - 1] == k
+        assert list(zip((first[mine] - own[0]).tolist(), (last[mine] - own[0]).tolist(), strict=True)) == wanted if len(own) else not mine.any()
+    by_words = defaultdict(set)
+    for a, b, d in zip(first, last, digests.tolist(), strict=True):
+        by_words[tuple(texts[read.text[a]][read.begins[k] : read.ends[k]] for k in range(a, b))].add(d)
+    assert all(len(d) == 1 for d in by_words.values()) and len({x for d in by_words.values() for x in d}) == len(by_words)
+
+
+def test_an_insertion_shifts_no_other_chunk():
+    rng = random.Random(8)
+    text = prose(rng, 400)
+    changed = text[:500] + " nieuw woord " + text[500:]
+    digests = lambda t: set(substring_dedup.Texts([t]).chunks()[2].tolist())
+    assert len(digests(text) - digests(changed)) <= 8 < 0.2 * len(digests(text))
 
 
 def brute_substrings(rows, words=substring_dedup.WORDS):
+    """doc_id -> the text without all grams that an earlier document has."""
     first = {}
     for i, t in rows:
-        for a, b in brute_chunks(t):
-            first[t[a:b].rstrip(" \t\n\v\f\r") if t[b - 1] in " \t\n\v\f\r" else t[a:b]] = min(i, first.get(t[a:b].rstrip(" \t\n\v\f\r"), i))
+        w = t.split()
+        for k in range(len(w) - words + 1):
+            g = tuple(w[k : k + words])
+            first[g] = min(i, first.get(g, i))
     out = {}
     for i, t in rows:
-        runs, run = [], None
-        for a, b in brute_chunks(t):
-            if first[t[a:b].rstrip(" \t\n\v\f\r")] < i:
-                run = (run[0], b) if run else (a, b)
-            else:
-                runs, run = runs + [run] * bool(run), None
-        runs += [run] * bool(run)
-        cut = [r for r in runs if len(t[r[0] : r[1]].split()) >= words]
-        clean = t
-        for a, b in reversed(cut):
-            clean = clean[:a] + clean[b:]
-        out[i] = clean
+        places = [m.span() for m in re.finditer(r"\S+", t)]
+        w = t.split()
+        gone = {k + x for k in range(len(w) - words + 1) if first[tuple(w[k : k + words])] < i for x in range(words)}
+        for k in sorted(gone, reverse=True):
+            a, b = places[k]
+            t = t[:a] + t[places[k + 1][0] if k + 1 in gone else b :]
+        out[i] = t
     return out
 
 
@@ -140,39 +153,27 @@ def test_substring_dedup_equals_brute_force(spark):
     rng = random.Random(6)
     passages = [prose(rng, 70) for _ in range(4)]
     rows = [(i, " ".join([prose(rng, rng.randrange(5, 60)), rng.choice(passages), prose(rng, 20)]) if i % 3 else prose(rng, 50)) for i in range(60)]
-    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    got = {r.doc_id: r.text for r in substring_dedup.dedup(docs).collect()}
+    got = {r.doc_id: r.text for r in substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
     assert got == brute_substrings(rows)
-    gone = sum(len(t) - len(got[i]) for i, t in rows)
-    assert gone > 0.5 * sum(len(p) for p in passages) * 36 / 4  # most of what repeats is found
 
 
-def test_an_insertion_shifts_no_other_chunk():
-    rng = random.Random(8)
-    text = prose(rng, 400)
-    changed = text[:500] + " nieuw woord " + text[500:]
-    digests = lambda t: set(substring_dedup.chunks([t])[4].tolist())
-    assert len(digests(text) - digests(changed)) <= 3
-
-
-def test_substring_edges(spark):
-    docs = edge_docs(spark)
-    out = substring_dedup.dedup(docs)
-    assert out.columns == [*[c for c in docs.columns if c != "removed"], "removed", "removed_chars"]
-    assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted((str(i), t) for i, t in EDGES)
-    assert substring_dedup.dedup(docs.limit(0)).count() == 0
-    twice = spark.createDataFrame([(2, prose(random.Random(1), 60)), (1, prose(random.Random(1), 60)), (None, prose(random.Random(1), 60))], SCHEMA)
-    assert {r.doc_id: len(r.text) > 0 for r in substring_dedup.dedup(twice).collect()} == {1: True, 2: False, None: False}
+def test_unspaced_text(spark):
+    rng = random.Random(7)
+    chinese = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+    passage = chinese(90)
+    rows = [(1, chinese(40) + passage + chinese(30)), (2, chinese(13) + passage + chinese(50)), (3, chinese(200))]
+    got = {r.doc_id: r for r in substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i].removed_chars for i in (1, 2, 3)] == [0, 90, 0] and passage not in got[2].text
 
 
 def test_whole_passages_go_with_exact_edges(spark):
     rng = random.Random(10)
-    passages = [prose(rng, rng.randrange(51, 61)) for _ in range(60)] + [prose(rng, substring_dedup.WORDS + substring_dedup.WINDOW - 1) for _ in range(60)]
+    passages = [prose(rng, rng.randrange(51, 61)) for _ in range(60)] + [prose(rng, 8 + 2 * substring_dedup.WINDOW + substring_dedup.LEAST) for _ in range(60)]
     around = [[(prose(rng, rng.randrange(1, 60)), prose(rng, rng.randrange(1, 60))) for _ in range(3)] for _ in passages]
     rows = [(3 * k + i, f"{a} {p} {b}") for k, p in enumerate(passages) for i, (a, b) in enumerate(around[k])]
     want = {3 * k + i: f"{a} {p} {b}" if i == 0 else f"{a}  {b}" for k, p in enumerate(passages) for i, (a, b) in enumerate(around[k])}
     random.Random(11).shuffle(rows)
-    got = {r.doc_id: r for r in substring_dedup.dedup_whole(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
+    got = {r.doc_id: r for r in substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
     assert {i: r.text for i, r in got.items()} == want
     assert all(len(text) - len(got[i].text) == got[i].removed_chars == sum(s.end - s.begin for s in got[i].removed) for i, text in rows)
 
@@ -182,19 +183,18 @@ def test_whole_passages_may_come_from_several_documents(spark):
     p = [prose(rng, 60) for _ in range(3)]
     short = " ".join(p[0].split()[20:50])
     rows = [(1, f"{prose(rng, 9)} {short} {prose(rng, 9)}"), (2, p[0]), (3, "\n".join(["new one", p[0].replace(" ", "\n"), p[1], "last"])), (4, p[1]), (5, p[2]), (5, p[2] + " x")]
-    got = {(r.doc_id, len(r.text)): r.text for r in substring_dedup.dedup_whole(spark.createDataFrame(rows, SCHEMA)).collect()}
-    texts = sorted(got.values(), key=len)
-    assert f"new one\n\n{p[1]}\nlast" in texts and p[2] in texts and p[2] + " x" in texts and "" in texts
+    got = {(r.doc_id, len(r.text)): r.text for r in substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(got.values()) == {rows[0][1], p[0].replace(short, ""), f"new one\n\n{p[1]}\nlast", "", p[2], p[2] + " x"}
 
 
-def test_whole_edges(spark):
+def test_substring_edges(spark):
     docs = edge_docs(spark)
-    out = substring_dedup.dedup_whole(docs)
+    out = substring_dedup.dedup(docs)
     assert out.columns == [*[c for c in docs.columns if c != "removed"], "removed", "removed_chars"]
     assert sorted((str(r.doc_id), r.text) for r in out.collect()) == sorted((str(i), t) for i, t in EDGES)
-    assert substring_dedup.dedup_whole(docs.limit(0)).count() == 0
+    assert substring_dedup.dedup(docs.limit(0)).count() == 0
     twice = spark.createDataFrame([(2, prose(random.Random(1), 60)), (1, prose(random.Random(1), 60)), (None, prose(random.Random(1), 60))], SCHEMA)
-    assert {r.doc_id: len(r.text) > 0 for r in substring_dedup.dedup_whole(twice).collect()} == {1: True, 2: False, None: False}
+    assert {r.doc_id: len(r.text) > 0 for r in substring_dedup.dedup(twice).collect()} == {1: True, 2: False, None: False}
 
 
 # line dedup
