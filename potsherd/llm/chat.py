@@ -2,8 +2,8 @@
 
 Every assistant turn becomes an example of its own: all turns before it are context, and only its reply is trainable.
 A turn is written as ``### role: text </turn>`` and a line feed. In roles and texts each backslash doubles and each
-``###`` and ``</turn>`` gets a backslash before it (in roles a colon becomes ``\\c``), so control strings in a text never
-mark a turn, and ``unescape`` gives back exactly what was said.
+``#`` and ``</turn>`` gets a backslash before it (in roles a colon becomes ``\\c``), so no text or role holds a control
+string, and ``unescape`` gives back exactly what was said.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from potsherd.llm.common import col, whole_text
 
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", " </turn>\n"
-CONTROLS = ("###", "</turn>")
+ESCAPED = ("#", "</turn>")
 TRAINED = "assistant"
 
 
 def escape(text: Column) -> Column:
     out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for mark in CONTROLS:
+    for mark in ESCAPED:
         out = F.replace(out, F.lit(mark), F.lit("\\" + mark))
     return out
 
@@ -30,7 +30,7 @@ def escape_role(role: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Between doubled backslashes, read from the left, each backslash stands before a control string or is ``\\c``."""
+    """Between doubled backslashes, read from the left, each backslash stands before what is escaped or is ``\\c``."""
     plain = F.transform(F.split(text, r"\\\\", -1), lambda p: F.replace(F.replace(p, F.lit("\\c"), F.lit(":")), F.lit("\\"), F.lit("")))
     return F.array_join(plain, "\\")
 
@@ -52,7 +52,7 @@ def examples(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "tu
     example with all turns as context and a loss_length of 0, so no turn is lost; the example that holds all turns is
     ``complete``. Null texts and roles count as empty, rows without conv_id form one conversation, a null turn comes
     first, repeated rows are repeated turns, an empty reply is an example of loss_length 0, and no rows give none.
-    Extra columns play no part. A conversation lies in one task, its examples are streamed from there.
+    Extra columns play no part, and long texts are kept whole. A conversation lies in one task, its examples are streamed from there.
     """
     spoken = turns(conversations, conv_id, turn, role, text)
     parts = F.transform(

@@ -81,8 +81,8 @@ ORACLES: dict[str, str] = {
         ),
         o AS (
             SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
-                   15 + length(replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\c'))
-                      + length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) AS chars
+                   15 + length(replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '</turn>', '\</turn>'), ':', '\c'))
+                      + length(replace(replace(replace(text, '\', '\\'), '#', '\#'), '</turn>', '\</turn>')) AS chars
             FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
         ),
         e AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY k) AS upto FROM o)

@@ -216,22 +216,30 @@ def brute_lines(rows, documents):
     for m in docs:
         if leaf(m):
             leaves[leaf(m)].append(m)
-    for ms in leaves.values():
-        if len(ms) < 2 or sum(docs[m] for m in ms) < documents:
+    todo = list(leaves.values())
+    while todo:
+        ms = todo.pop()
+        total = sum(docs[m] for m in ms)
+        if len(ms) < 2 or total < documents:
             continue
-        left = ms
-        for _ in range(line_dedup.TEMPLATES):
-            if not left:
-                break
-            votes = [Counter() for _ in left[0].split(" ")]
+        split = {m: m.split(" ") for m in ms}
+        votes = [Counter() for _ in split[ms[0]]]
+        for m in ms:
+            for v, token in zip(votes, split[m], strict=True):
+                v[token] += docs[m]
+        best = [max((n, token) for token, n in v.items())[1] for v in votes]
+        member = [m for m in ms if sum(a == b for a, b in zip(split[m], best, strict=True)) >= line_dedup.ALIKE * len(best)]
+        if sum(any(m in set(doc) for m in member) for doc in masked) >= documents:
+            drop |= set(member)
+        left = [m for m in ms if m not in member]
+        if 2 * sum(docs[m] for m in member) >= total:
+            todo.append(left)
+        else:
+            fork = min((len(v), k) for k, v in enumerate(votes) if len(v) > 1)[1]
+            apart = defaultdict(list)
             for m in left:
-                for v, token in zip(votes, m.split(" "), strict=True):
-                    v[token] += docs[m]
-            best = [max((n, token) for token, n in v.items())[1] for v in votes]
-            member = [m for m in left if sum(a == b for a, b in zip(m.split(" "), best, strict=True)) >= line_dedup.ALIKE * len(best)]
-            if sum(any(m in set(doc) for m in member) for doc in masked) >= documents:
-                drop |= set(member)
-            left = [m for m in left if m not in member]
+                apart[split[m][fork]].append(m)
+            todo += apart.values()
     return ["\n".join(x for x, m in zip((t or "").split("\n"), ms, strict=True) if m not in drop) for (_, t), ms in zip(rows, masked, strict=True)]
 
 
@@ -259,6 +267,21 @@ def test_line_dedup_on_the_driver_table(spark, small_dir):
     assert [got[i] for i, _ in rows] == brute_lines(rows, line_dedup.DOCUMENTS)
 
 
+def test_all_templates_of_a_leaf_are_found(spark):
+    """Seven templates of one length and beginning, each with a variable word, the same number of documents for each."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("klmnop") for _ in range(6))
+    shapes = [["same", "three", "words", *[word() for _ in range(6)]] for _ in range(7)]
+    rows = []
+    for i in range(60):
+        own = [" ".join([*s[:5], word(), *s[6:]]) for k, s in enumerate(shapes) if (i + k) % 3]
+        own += [f"same three words {prose(rng, 6)}" for _ in range(2)]
+        rows.append((i, "\n".join(own)))
+    got = {r.doc_id: r for r in line_dedup.annotate(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert [got[i].clean_text for i, _ in rows] == brute_lines(rows, line_dedup.DOCUMENTS)
+    assert sum(len(r.dropped) for r in got.values()) == sum((i + k) % 3 > 0 for i in range(60) for k in range(7))
+
+
 def test_line_edges(spark):
     docs = edge_docs(spark)
     out = line_dedup.annotate(docs)

@@ -84,6 +84,7 @@ TALKS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", r"### x: \c </turn> \\### y"), (1, 2, "user", None), (1, 3, "assistant", ""), (1, 4, "user", "last"),
     (2, 0, "a:b\\###", "text"), (None, 3, None, "n"), (None, None, "assistant", "first"), (3, 1, "assistant", "same"), (3, 1, "assistant", "same"), (4, 0, "assistant", "lang " * 50_000),
     (5, 0, "user", "</turn>\n### assistant: no"), (5, 1, "assistant", "\\"), (5, 2, "assistant", "\\\\###"),
+    (6, 0, "### user", "#### x ##### assistant: y </turn> </turn>\n"), (6, 1, "assistant", "### " * 3),
 ]
 
 
@@ -108,7 +109,7 @@ def test_chat_round_trip(spark):
     examples = made.collect()
     assert sum(r.loss_length > 0 for r in examples) == sum(bool(t) and r == "assistant" for _, _, r, t in TALKS)
     for r in examples:
-        assert r.formatted.count("### ") >= 1
+        assert r.formatted.count("### ") == r.formatted.count(" </turn>\n") == r.n_turns
         if r.conv_id == 1 and r.example == 0:
             assert r.formatted[: r.loss_start] == "### user: hi </turn>\n### assistant: "
     assert chat.digests(chat.examples(rows.limit(0))).count() == 0
