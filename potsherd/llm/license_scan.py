@@ -1,6 +1,6 @@
 """License scan by ordered signature rules, with DataFrame functions only.
 
-The rules are regular expressions over a text's words (lower-cased, one space between). Each has a keyword: a text meets
+The rules (``license_rules``) are regular expressions over a text's words (lower-cased, one space between). Each has a keyword: a text meets
 only rules whose keyword is among its words, and a text without any keyword none. Where rules overlap, one with a higher
 priority suppresses those whose span of words it contains, and of equal priority the longer span does.
 """
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from potsherd.llm.common import col, whole_text
+from potsherd.llm.license_rules import SIGNATURES
 
 #: Between words, which are digits, small ASCII letters and all characters beyond ASCII.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -18,67 +19,6 @@ BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base phrases and their labels: all places count, nothing suppresses them.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Families of licenses: label, keyword, and the name as a pattern over words. The versions that a family has follow.
-FAMILIES = (
-    ("mit", "mit", "mit", ()),
-    ("apache", "apache", "apache", ("1 0", "1 1", "2 0")),
-    ("gpl", "gpl", "gpl", ("1 0", "2 0", "3 0", "2", "3")),
-    ("gpl", "gnu", "gnu general public", ("1 0", "2 0", "3 0", "2", "3")),
-    ("lgpl", "lgpl", "lgpl", ("2 0", "2 1", "3 0", "2", "3")),
-    ("lgpl", "lesser", "gnu lesser general public", ("2 1", "3 0", "3")),
-    ("agpl", "agpl", "agpl", ("1 0", "3 0", "3")),
-    ("agpl", "affero", "gnu affero general public", ("3 0", "3")),
-    ("bsd", "bsd", "bsd", ("2 clause", "3 clause", "4 clause")),
-    ("bsd", "bsd", "(?:2|two|3|three|4|four) clause bsd", ()),
-    ("mpl", "mozilla", "mozilla public", ("1 0", "1 1", "2 0")),
-    ("mpl", "mpl", "mpl", ("1 0", "1 1", "2 0")),
-    ("epl", "eclipse", "eclipse public", ("1 0", "2 0")),
-    ("epl", "epl", "epl", ("1 0", "2 0")),
-    ("cddl", "cddl", "cddl", ("1 0", "1 1")),
-    ("isc", "isc", "isc", ()),
-    ("zlib", "zlib", "zlib", ()),
-    ("boost", "boost", "boost software", ("1 0",)),
-    ("artistic", "artistic", "artistic", ("1 0", "2 0")),
-    ("unlicense", "unlicense", "unlicense", ()),
-    ("wtfpl", "wtfpl", "wtfpl", ("2",)),
-    ("eupl", "eupl", "eupl", ("1 1", "1 2")),
-    ("ofl", "ofl", "ofl", ("1 0", "1 1")),
-    ("ofl", "sil", "sil open font", ("1 1",)),
-    ("psf", "python", "python software foundation", ("2",)),
-    ("cc0", "cc0", "cc0", ("1 0",)),
-    ("cc-by", "cc", "cc by", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-sa", "cc", "cc by sa", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nc", "cc", "cc by nc", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nd", "cc", "cc by nd", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nc-sa", "cc", "cc by nc sa", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-nc-nd", "cc", "cc by nc nd", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("cc-by", "creative", "creative commons attribution", ("1 0", "2 0", "2 5", "3 0", "4 0")),
-    ("proprietary", "proprietary", "proprietary", ()),
-)
-#: Ways to name a license: priority (higher wins), a pattern around NAME and, if the family has versions, VERSION.
-FRAMES = (
-    (90, "spdx license identifier NAME(?: (?:only|or later))?", "spdx license identifier NAME VERSION(?: (?:only|or later))?"),
-    (80, "(?:re)?(?:licensed|released|distributed|published|provided|available|redistributed) under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]e)?", "(?:re)?(?:licensed|released|distributed|published|provided|available|redistributed) under (?:the )?(?:terms of (?:the )?)?NAME(?: licen[cs]e)?(?: version| v)? v?VERSION"),
-    (60, "NAME licen[cs]e", "NAME(?: licen[cs]e)?(?: version| v)? v?VERSION"),
-)
-#: Rules that no family makes: label, keyword, priority, pattern.
-SINGLE = (
-    ("mit", "hereby", 70, "permission is hereby granted free of charge to any person obtaining a copy"),
-    ("bsd", "redistribution", 70, "redistribution and use in source and binary forms"),
-    ("bsd", "redistributions", 65, "redistributions of source code must retain"),
-    ("isc", "hereby", 70, "permission to use copy modify and or distribute this software for any purpose"),
-    ("apache", "apache", 70, "www apache org licenses license 2 0"),
-    ("gpl", "redistribute", 70, "you can redistribute it and or modify it under the terms of the gnu general public"),
-    ("public-domain", "domain", 70, "(?:released|placed|dedicated|is) (?:in|into|to) the public domain"),
-    ("unlicense", "unencumbered", 70, "free and unencumbered software released into the public domain"),
-    ("zlib", "warranty", 70, "provided as is without any express or implied warranty"),
-    ("all-rights-reserved", "reserved", 50, "all rights reserved"),
-    ("copyright", "copyright", 40, "copyright(?: c)? (?:19|20)[0-9][0-9]"),
-    ("license-mention", "license", 10, "(?:this|the|a|following|software|open source) license"),
-    ("license-mention", "licensed", 10, "licensed under"),
-    ("license-mention", "licence", 10, "(?:this|the|a|following|software|open source) licence"),
-)
-
 #: Words of a segment, and the words before and after it that its rules also see; no rule matches more words than these.
 SEGMENT, CONTEXT = 480, 40
 MARK = "\u0001"
@@ -86,13 +26,8 @@ MARK = "\u0001"
 
 def rules() -> list[tuple[int, str, str, int, str]]:
     """All rules in order: (rule, label, keyword, priority, pattern); patterns begin and end at words."""
-    found = []
-    for label, keyword, name, versions in FAMILIES:
-        for priority, plain, versioned in FRAMES:
-            found.append((label, keyword, priority, plain.replace("NAME", name)))
-            found += [(label, keyword, priority + 5, versioned.replace("NAME", name).replace("VERSION", v)) for v in versions]
-    found += SINGLE
-    return [(k, label, keyword, priority, whole_words(pattern)) for k, (label, keyword, priority, pattern) in enumerate(found)]
+    listed = [(label, keyword, priority, pattern) for label, own in SIGNATURES.items() for priority, keyword, pattern in own]
+    return [(k, label, keyword, priority, whole_words(pattern)) for k, (label, keyword, priority, pattern) in enumerate(listed)]
 
 
 def whole_words(pattern: str) -> str:
@@ -100,7 +35,7 @@ def whole_words(pattern: str) -> str:
 
 
 def words(text: Column) -> Column:
-    """The words in one string, with a space before and after each. (Of characters beyond ASCII only the Kelvin sign has an ASCII small letter, a k.)"""
+    """The words in one string, with a space before and after each. (Of characters beyond ASCII the Kelvin sign has an ASCII small letter, a k, and the capital I with a dot an i before a combining dot.)"""
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), BREAK, " ")), F.lit(" "))
 
 

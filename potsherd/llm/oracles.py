@@ -19,20 +19,24 @@ def warc() -> str:
         return replaced(lines, r"\A[ \n]+|[ \n]+\z", "")
 
     def resolve(sql: str) -> str:
-        for name, by in w.ENTITIES:
-            sql = f"replace({sql}, {quoted(f'&{name};')}, {quoted(by)})"
-        return sql
+        table = "MAP {" + ", ".join(f"{quoted(k)}: {quoted(v)}" for k, v in w.ENTITIES.items()) + "}"
+        name = "split_part(p, ';', 1)"
+        number = f"CASE WHEN substr({name}, 2, 1) IN ('x', 'X') THEN ('0x' || substr({name}, 3))::BIGINT ELSE substr({name}, 2)::BIGINT END"
+        coded = f"CASE WHEN {number} = 160 THEN ' ' WHEN ({number} BETWEEN 1 AND 55295) OR ({number} BETWEEN 57344 AND 1114111) THEN chr(({number})::INTEGER) END"
+        found = f"CASE WHEN i > 1 AND regexp_matches(p, {quoted(w.REFERENCE)}) THEN CASE WHEN p[1] = '#' THEN {coded} ELSE {table}[{name}] END END"
+        return f"array_to_string(list_transform(string_split({sql}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE coalesce({found} || substr(p, length({name}) + 2), '&' || p) END), '')"
 
     def record_id(sql: str) -> str:
         h = f"sha256({sql})"
         return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
 
-    shown = replaced("payload", r"(?s)<!--.*?-->", " ")
-    for name in w.HIDDEN:
-        shown = replaced(shown, rf"(?is)<{name}(\s[^>]*)?>.*?</{name}\s*>", " ")
-    lined = replaced(f"replace({shown}, chr(10), ' ')", rf"(?i)</?(?:{'|'.join(w.BLOCKS)})(\s[^>]*)?/?>", "\n")
-    plain = squeeze(resolve(replaced(lined, r"<[/!?a-zA-Z][^>]*>", "")))
-    title = squeeze(resolve(replaced(f"replace(regexp_extract(payload, {quoted(w.TITLE)}, 1), chr(10), ' ')", r"<[^>]*>", "")))
+    shown = "payload"
+    for begin, close in w.hidden():
+        shown = f"array_to_string(list_transform(regexp_split_to_array({shown}, {quoted(close)}), lambda x: regexp_split_to_array(x, {quoted(begin)})[1]), ' ')"
+    plain = squeeze(resolve(replaced(replaced(f"replace({shown}, chr(10), ' ')", w.LINED, "\n"), w.TAG, "")))
+    inside = "regexp_split_to_array(regexp_split_to_array(payload, '(?i)</title\\s*>')[1], '(?i)<title')[2]"
+    content = f"CASE WHEN regexp_matches(payload, '(?i)</title\\s*>') AND contains({inside}, '>') THEN substr({inside}, instr({inside}, '>') + 1) ELSE '' END"
+    title = squeeze(resolve(replaced(f"replace({content}, chr(10), ' ')", w.TAG, "")))
     end = "chr(13) || chr(10)"
     return f"""
         WITH a AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
@@ -40,7 +44,7 @@ def warc() -> str:
         c AS (SELECT *, {record_id(f"'response ' || coalesce(page_id::VARCHAR, '') || ' ' || target_uri || ' {w.DATE} ' || source_payload_digest")} AS refers_to, {plain} AS plain, {title} AS title FROM b),
         d AS (
             SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
-                   'title: ' || title || {end} || 'outlinks: ' || len(regexp_extract_all(payload, '(?i)<a\\s[^>]*href=')) || {end} || 'html-octets: ' || strlen(payload) || {end} || 'text-octets: ' || strlen(plain) || {end} || 'text-digest: sha256:' || sha256(plain) || {end} AS block FROM c
+                   'http-status: 200 OK' || {end} || 'http-content-type: text/html; charset=utf-8' || {end} || 'http-content-length: ' || strlen(payload) || {end} || 'title: ' || title || {end} || 'outlinks: ' || len(regexp_extract_all(payload, '(?i)<a\\s[^<>]*href=')) || {end} || 'html-octets: ' || strlen(payload) || {end} || 'text-octets: ' || strlen(plain) || {end} || 'text-digest: sha256:' || sha256(plain) || {end} AS block FROM c
             UNION ALL SELECT *, 'conversion', 'text/plain; charset=utf-8', plain FROM c
         )
         SELECT page_id, record_type, {record_id("record_type || ' ' || refers_to")} AS record_id, refers_to, target_uri, '{w.DATE}' AS date, content_type, block,

@@ -6,9 +6,9 @@ can be checked against its source. Identifiers are derived from the source, so b
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.llm.common import col, whole_text
@@ -23,14 +23,38 @@ BLOCKS = (
     "address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
     "head", "header", "hr", "html", "li", "main", "nav", "ol", "option", "p", "pre", "section", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul",
 )
-#: Named character references that are resolved; the ampersand comes last, so nothing is resolved twice.
-ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", " "), ("copy", "©"), ("reg", "®"), ("middot", "·"), ("hellip", "…"), ("mdash", "—"), ("ndash", "–"), ("laquo", "«"), ("raquo", "»"), ("euro", "€"), ("#39", "'"), ("#34", '"'), ("amp", "&"))
-
-TITLE = r"(?is)<title[^>]*>(.*?)</title\s*>"
+#: Named character references that are resolved, besides those of accented letters.
+NAMED = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "nbsp": " ", "copy": "©", "reg": "®", "trade": "™", "middot": "·", "bull": "•", "hellip": "…", "mdash": "—", "ndash": "–",
+    "laquo": "«", "raquo": "»", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€", "pound": "£", "yen": "¥", "cent": "¢", "sect": "§", "para": "¶", "deg": "°", "plusmn": "±",
+    "times": "×", "divide": "÷", "frac12": "½", "frac14": "¼", "szlig": "ß", "aelig": "æ", "AElig": "Æ", "oslash": "ø", "Oslash": "Ø", "iexcl": "¡", "iquest": "¿",
+}
+#: The letters that each accent's references are made of, and the accent as a combining mark.
+ACCENTS = {"acute": ("aeiouyAEIOUY", "\u0301"), "grave": ("aeiouAEIOU", "\u0300"), "circ": ("aeiouAEIOU", "\u0302"), "uml": ("aeiouyAEIOU", "\u0308"), "tilde": ("anoANO", "\u0303"), "cedil": ("cC", "\u0327"), "ring": ("aA", "\u030A")}
+ENTITIES = NAMED | {letter + name: unicodedata.normalize("NFC", letter + mark) for name, (letters, mark) in ACCENTS.items() for letter in letters}
+
+#: A reference after its ampersand: decimal, hexadecimal or by name.
+REFERENCE = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,7});"
+TAG = r"<[/!?a-zA-Z][^<>]*>"
+LINED = rf"(?i)</?(?:{'|'.join(BLOCKS)})(\s[^<>]*)?/?>"
 
 
 def resolve(text: Column) -> Column:
-    return reduce(lambda t, e: F.replace(t, F.lit(f"&{e[0]};"), F.lit(e[1])), ENTITIES, text)
+    """The text with its character references resolved, each once; unknown ones stay as they are."""
+    table = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def character(name: Column) -> Column:
+        number = F.when(F.substring(name, 2, 1).isin("x", "X"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8)).cast("int")
+        real = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+        coded = F.when(real, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        return F.when(F.startswith(name, F.lit("#")), F.when(number == 160, " ").otherwise(coded)).otherwise(F.try_element_at(table, name))
+
+    def part(piece: Column, k: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        found = F.when((k > 0) & piece.rlike(REFERENCE), character(name))
+        return F.when(k == 0, piece).when(found.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(found, F.substr(piece, F.length(name) + 2)))
+
+    return F.array_join(F.transform(F.split(text, "&", -1), part), "")
 
 
 def squeeze(text: Column) -> Column:
@@ -39,17 +63,35 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(lines, r"\A[ \n]+|[ \n]+\z", "")
 
 
+def without(text: Column, begin: str, end: str) -> Column:
+    """The text without what stands between a begin and the next end, or the text's end; one pass, whatever is left open."""
+    return F.array_join(F.transform(F.split(text, end, -1), lambda p: F.get(F.split(p, begin, 2), 0)), " ")
+
+
+def hidden() -> list[tuple[str, str]]:
+    """Patterns at which hidden content begins and ends."""
+    return [("<!--", "-->"), *[(rf"(?i)<{name}[\s/>]", rf"(?i)</{name}\s*>") for name in HIDDEN]]
+
+
 def plain_text(html: Column) -> Column:
     """The text that a reader sees, one line for each block."""
-    shown = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
-    for name in HIDDEN:
-        shown = F.regexp_replace(shown, rf"(?is)<{name}(\s[^>]*)?>.*?</{name}\s*>", " ")
-    lined = F.regexp_replace(F.replace(shown, F.lit("\n"), F.lit(" ")), rf"(?i)</?(?:{'|'.join(BLOCKS)})(\s[^>]*)?/?>", "\n")
-    return squeeze(resolve(F.regexp_replace(lined, r"<[/!?a-zA-Z][^>]*>", "")))
+    shown = html
+    for begin, end in hidden():
+        shown = without(shown, begin, end)
+    lined = F.regexp_replace(F.replace(shown, F.lit("\n"), F.lit(" ")), LINED, "\n")
+    return squeeze(resolve(F.regexp_replace(lined, TAG, "")))
+
+
+def title(html: Column) -> Column:
+    """The content of the first title element; what is left open is none."""
+    upto = F.split(html, r"(?i)</title\s*>", 2)
+    inside = F.get(F.split(F.get(upto, 0), r"(?i)<title", 2), 1)
+    content = F.when(F.contains(inside, F.lit(">")), F.substr(inside, F.instr(inside, ">") + 1))
+    return squeeze(resolve(F.regexp_replace(F.replace(F.when(F.size(upto) > 1, F.coalesce(content, F.lit(""))).otherwise(""), F.lit("\n"), F.lit(" ")), TAG, "")))
 
 
 def responses(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", date: str = DATE) -> DataFrame:
-    """Pages as response records: page_id, record_id, target_uri, date, content_type, block, block_digest, payload_digest.
+    """Pages as response records: page_id, record_id, target_uri, date, payload, block, payload_digest, block_digest.
 
     The block is an HTTP response with its header; the payload is the page.
     """
@@ -62,10 +104,38 @@ def responses(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
         body.alias("payload"),
         F.concat(head, body).alias("block"),
     )
-    payload = F.concat(F.lit("sha256:"), F.sha2("payload", 256))
     name = F.concat_ws(" ", F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), "target_uri", "date", "payload_digest")
-    digested = read.withColumn("payload_digest", payload).withColumn("block_digest", F.concat(F.lit("sha256:"), F.sha2("block", 256)))
-    return digested.select("page_id", record_id(name).alias("record_id"), "target_uri", "date", "payload", "block", "payload_digest", "block_digest")
+    return digested(read).select("page_id", record_id(name).alias("record_id"), "target_uri", "date", "payload", "block", "payload_digest", "block_digest")
+
+
+def digested(read: DataFrame) -> DataFrame:
+    digest = lambda c: F.concat(F.lit("sha256:"), F.sha2(c, 256))
+    return read.withColumn("payload_digest", digest("payload")).withColumn("block_digest", digest("block"))
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of WARC files of text: ``fields`` (a map, names in small letters) and ``block``.
+
+    A record begins at a line with the version after two line breaks. One whose block's length isn't the Content-Length that
+    it names is no whole record, and reading it fails.
+    """
+    parts = spark.read.option("lineSep", f"{VERSION}{BREAK}").text(path).where("value != ''")
+    head = F.split(F.substring_index("value", BREAK * 2, 1), r"\r\n", -1)
+    entry = lambda x: F.struct(F.lower(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.substr(x, F.instr(x, ":") + 1)).alias("value"))
+    fields = F.map_from_entries(F.transform(F.filter(head, lambda x: F.contains(x, F.lit(":"))), entry))
+    after = F.substr(F.col("value"), F.length(F.substring_index("value", BREAK * 2, 1)) + 5)
+    read = parts.select(fields.alias("fields"), F.regexp_replace(after, r"\r\n\r\n\z", "").alias("block"))
+    whole = F.octet_length("block") == F.try_element_at("fields", F.lit("content-length")).cast("long")
+    return read.select("fields", F.when(whole, F.col("block")).otherwise(F.raise_error(F.lit("a record's block hasn't its Content-Length"))).alias("block"))
+
+
+def read_responses(spark: SparkSession, path: str) -> DataFrame:
+    """The response records of WARC files, as ``responses`` gives them (page_id is null): with their own identifiers, dates and HTTP headers."""
+    field = lambda name: F.try_element_at("fields", F.lit(name))
+    kept = read_records(spark, path).where(field("warc-type") == "response")
+    payload = F.substr(F.col("block"), F.length(F.substring_index("block", BREAK * 2, 1)) + 5)
+    read = kept.select(F.lit(None).cast("long").alias("page_id"), field("warc-record-id").alias("record_id"), F.coalesce(field("warc-target-uri"), F.lit("")).alias("target_uri"), field("warc-date").alias("date"), payload.alias("payload"), "block")
+    return digested(read)
 
 
 def record_id(name: Column) -> Column:
@@ -75,19 +145,30 @@ def record_id(name: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), part(1, 8), F.lit("-"), part(9, 4), F.lit("-"), part(13, 4), F.lit("-"), part(17, 4), F.lit("-"), part(21, 12), F.lit(">"))
 
 
+def headers(block: Column) -> Column:
+    """The header of an HTTP response as an array of lines: ``http-status`` and one of each field, named in small letters with ``http-`` before."""
+    lines = F.split(F.substring_index(block, BREAK * 2, 1), r"\r\n", -1)
+    field = lambda x: F.concat(F.lit("http-"), F.lower(F.trim(F.substring_index(x, ":", 1))), F.lit(": "), F.trim(F.substr(x, F.instr(x, ":") + 1)))
+    status = F.transform(F.filter(lines, lambda x: F.startswith(x, F.lit("HTTP/"))), lambda x: F.concat(F.lit("http-status: "), F.substr(x, F.instr(x, " ") + 1)))
+    return F.concat(status, F.transform(F.filter(lines, lambda x: ~F.startswith(x, F.lit("HTTP/")) & F.contains(x, F.lit(":"))), field))
+
+
 def derivatives(found: DataFrame) -> DataFrame:
     """Two records per response: page_id, record_type, record_id, refers_to, target_uri, date, content_type, block, block_digest, source_payload_digest, source_block_digest.
 
-    The metadata record holds the source's fields as ``application/warc-fields``, the conversion record the plain text.
+    ``found`` are responses as ``responses`` or ``read_responses`` give them. The metadata record holds the source's fields,
+    those of its HTTP header among them, as ``application/warc-fields``; the conversion record is the plain text. What is
+    hidden (comments, scripts and the like) and left open is hidden to the page's end; a tag ends before the next one.
     Null pages are empty: their conversion has an empty block. A null id stays null, repeated pages give repeated
-    records with equal identifiers, extra columns play no part, and no pages give no records. Nothing is shuffled.
+    records with equal identifiers, extra columns play no part, and no pages give no records. Pages are read whole, in
+    time that grows with their length only. Nothing is shuffled.
     """
-    title = squeeze(resolve(F.regexp_replace(F.replace(F.regexp_extract("payload", TITLE, 1), F.lit("\n"), F.lit(" ")), r"<[^>]*>", "")))
-    links = F.regexp_count("payload", F.lit(r"(?i)<a\s[^>]*href="))
+    links = F.regexp_count("payload", F.lit(r"(?i)<a\s[^<>]*href="))
     text = found.withColumn("plain", plain_text(F.col("payload")))
     line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit(BREAK))
     fields = F.concat(
-        line("title", title),
+        F.array_join(F.transform(headers(F.col("block")), lambda x: F.concat(x, F.lit(BREAK))), ""),
+        line("title", title(F.col("payload"))),
         line("outlinks", links.cast("string")),
         line("html-octets", F.octet_length("payload").cast("string")),
         line("text-octets", F.octet_length("plain").cast("string")),
