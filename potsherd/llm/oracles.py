@@ -30,9 +30,11 @@ def warc() -> str:
         h = f"sha256({sql})"
         return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
 
+    # what is hidden, one kind after the other: from a begin to the next end, or to the text's end
     shown = "payload"
-    for begin, close in w.hidden():
-        shown = f"array_to_string(list_transform(regexp_split_to_array({shown}, {quoted(close)}), lambda x: regexp_split_to_array(x, {quoted(begin)})[1]), ' ')"
+    for begin, close in [("<!--", "-->"), *[(rf"<{name}[\s/>]", rf"</{name}\s*>") for name in w.HIDDEN]]:
+        for pattern in (rf"(?is){begin}.*?{close}", rf"(?is){begin}.*\z", *[f"(?i){close}"] * (begin != "<!--")):
+            shown = replaced(shown, pattern, " ")
     plain = squeeze(resolve(replaced(replaced(f"replace({shown}, chr(10), ' ')", w.LINED, "\n"), w.TAG, "")))
     inside = "regexp_split_to_array(regexp_split_to_array(payload, '(?i)</title\\s*>')[1], '(?i)<title')[2]"
     content = f"CASE WHEN regexp_matches(payload, '(?i)</title\\s*>') AND contains({inside}, '>') THEN substr({inside}, instr({inside}, '>') + 1) ELSE '' END"

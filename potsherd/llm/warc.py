@@ -63,21 +63,13 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(lines, r"\A[ \n]+|[ \n]+\z", "")
 
 
-def without(text: Column, begin: str, end: str) -> Column:
-    """The text without what stands between a begin and the next end, or the text's end; one pass, whatever is left open."""
-    return F.array_join(F.transform(F.split(text, end, -1), lambda p: F.get(F.split(p, begin, 2), 0)), " ")
-
-
-def hidden() -> list[tuple[str, str]]:
-    """Patterns at which hidden content begins and ends."""
-    return [("<!--", "-->"), *[(rf"(?i)<{name}[\s/>]", rf"(?i)</{name}\s*>") for name in HIDDEN]]
+#: What is hidden: comments and some elements, to their ends or, left open, to the page's end; no part is tried twice.
+SKIPPED = rf"(?is)<(?:!--(?:[^-]++|-(?!->))*+(?:-->)?|({'|'.join(HIDDEN)})[\s/>](?:[^<]++|<(?!/\1\s*+>))*+(?:</\1\s*+>)?|/(?:{'|'.join(HIDDEN)})\s*+>)"
 
 
 def plain_text(html: Column) -> Column:
     """The text that a reader sees, one line for each block."""
-    shown = html
-    for begin, end in hidden():
-        shown = without(shown, begin, end)
+    shown = F.regexp_replace(html, SKIPPED, " ")
     lined = F.regexp_replace(F.replace(shown, F.lit("\n"), F.lit(" ")), LINED, "\n")
     return squeeze(resolve(F.regexp_replace(lined, TAG, "")))
 
