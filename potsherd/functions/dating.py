@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from potsherd.functions.values import bind
+
 RANGE = "struct<vanaf:int,tot:int>"
 
 # Dutch ordinals, words around dates, and the main periods (name: first year, last year).
@@ -67,11 +69,6 @@ def roman(numeral: Column) -> Column:
     return F.when(numeral.rlike(f"^(?=.){ROMAN}$"), bind(spelled_out(numeral), value))
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used: as an array's only item, handed to a lambda."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def tokens(value: Column) -> Column:
     """The parts of a date code; a sign that follows another is a minus."""
     v = F.translate(F.replace(value.cast("string"), F.lit("?"), F.lit("")), "-/+=", ",,,,")
@@ -144,6 +141,13 @@ def resolved(parts: Column, none: Column) -> Column:
     return F.struct(F.flatten(F.transform(parts, years)).alias("years"), rest.alias("rest"))
 
 
+def ranged(df: DataFrame, column: str, vanaf: str = "vanaf", tot: str = "tot", strict_reference: bool = False) -> DataFrame:
+    """``df`` with the years of the codes in a column. Datings repeat, so each different one is read once."""
+    known = df.select(F.col(column).alias("_code")).distinct().withColumn("_span", code_range(F.col("_code"), strict_reference))
+    told = known.where("_span IS NOT NULL")
+    return df.join(told, F.col(column) == F.col("_code"), "left").withColumns({vanaf: F.col("_span.vanaf"), tot: F.col("_span.tot")}).drop("_code", "_span")
+
+
 def code_range(value: Column, strict_reference: bool = False) -> Column:
     """struct<vanaf, tot> of the codes in a value; null if it has none. No UDF."""
     return bind(read_codes(value, strict_reference)["years"], lambda y: F.when(F.size(y) > 0, F.struct(F.array_min(y).alias("vanaf"), F.array_max(y).alias("tot"))))

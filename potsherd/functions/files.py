@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from potsherd.functions.values import padded
+from potsherd.functions.values import bind, padded
 
 # The shapes of file names.
 OBJECT_PHOTO = r"(?i)^([a-zA-Z0-9]+)(_B?P([0-9Xx]+))?_H([a-zA-Z0-9]+)(_([a-zA-Z0-9]+))?_([0-9Xx]+)\.[a-z]{3}$"
@@ -82,33 +82,49 @@ def material(path: Column, strict: bool = False) -> Column:
     return out
 
 
+def groups(name: Column, pattern: str, *numbers: int) -> Column:
+    """The named groups of a pattern's first match, found by one match; empty where a group took no part."""
+    return F.split(F.regexp_replace(name, rf"(?s)^.*?(?:{pattern}).*$", "\u0001".join(f"${k}" for k in numbers)), "\u0001", -1)
+
+
 def classify(name: Column, full_name: Column, directory: Column, file_type: Column, strict: bool = False) -> Column:
     """struct<FIELDS> of a file. The first shape that fits decides: document, object photo, drawing, project photo, report, "tekening" in the name, other."""
-    name = single_extension(name)
-    project = project_of(name, directory)
-    part = lambda pattern, k: F.nullif(F.regexp_extract(name, pattern, k), F.lit(""))
+    read = F.struct(single_extension(name).alias("name"), full_name.alias("full"), directory.alias("directory"), F.lower(file_type).alias("type"))
+    return bind(read, lambda f: shaped(f, strict))
 
+
+def shaped(f: Column, strict: bool) -> Column:
     def kind(**values: Column | str) -> Column:
-        return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast("string").alias(f) for f in FIELDS for v in [values.get(f)]])
+        return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast("string").alias(n) for n in FIELDS for v in [values.get(n)]])
 
-    letter = F.regexp_extract(name, DRAWING, 2)
-    number = F.regexp_extract(name, DRAWING, 3)
-    code = F.when(number.rlike("^[0-9]+$"), padded(F.regexp_replace(number, "^0+(?=[0-9])", ""))).otherwise(number)
-    photo = F.regexp_extract(name, PROJECT_PHOTO, 2)
     by_letter = lambda table, of, other: F.coalesce(*[F.when(of == k, v) for k, v in table.items()], F.lit(other))
-    report = F.concat(F.regexp_extract(name, REPORT, 1), padded(F.regexp_replace(F.regexp_extract(name, REPORT, 2), "^0+(?=[0-9])", "")))
-    object_nr = lambda k: F.when(F.regexp_extract(name, OBJECT_PHOTO, k) != "", no_zeros(F.regexp_extract(name, OBJECT_PHOTO, k)))
-    drawn = F.lower(name).contains("tekening") & ~F.lower(name).contains("aantekening")
+    at = lambda g, k: F.get(g, F.lit(k))
+    number = lambda v: F.when(v != "", no_zeros(v))
+    counted = lambda v: padded(F.regexp_replace(v, "^0+(?=[0-9])", ""))
+    project = project_of(f["name"], f["directory"])
+
+    def drawing(g: Column) -> Column:
+        code = F.when(at(g, 1).rlike("^[0-9]+$"), counted(at(g, 1))).otherwise(at(g, 1))
+        return kind(soort="Tekening", fototype=at(g, 0), bestandsoort=by_letter(DRAWINGS, at(g, 0), "Overige_tekening"), projectcd=project, tekeningcd=F.concat(at(g, 0), code))
+
+    def report(g: Column) -> Column:
+        sort = F.when(at(g, 0).contains("DAR"), "Archeologische_Rapportage").otherwise("Archeologische_Notitie")
+        return kind(soort="Rapport", fototype="R", bestandsoort=sort, rapportnr=F.concat(at(g, 0), counted(at(g, 1))))
+
+    def of_object(g: Column) -> Column:
+        return kind(soort="Foto", fototype="H", bestandsoort="Objectfoto", projectcd=project, putnr=number(at(g, 0)), vondstnr=number(at(g, 1)), subnr=number(at(g, 2)), fotonr=number(at(g, 3)), artefactsoort=material(f["full"], strict))
+
+    def of_project(g: Column) -> Column:
+        return kind(soort="Foto", fototype=at(g, 0), bestandsoort=by_letter(PHOTOS, at(g, 0), "Overige_afbeelding"), projectcd=project, fotonr=no_zeros(at(g, 1)))
+
+    drawn = F.lower(f["name"]).contains("tekening") & ~F.lower(f["name"]).contains("aantekening")
     return (
-        F.when(F.lower(file_type).isin(".doc", ".docx"), kind(soort="Rapport", fototype="R", bestandsoort="Overige_Rapportage", rapportnr=full_name))
-        .when(
-            name.rlike(OBJECT_PHOTO),
-            kind(soort="Foto", fototype="H", bestandsoort="Objectfoto", projectcd=project, putnr=object_nr(3), vondstnr=object_nr(4), subnr=object_nr(6), fotonr=object_nr(7), artefactsoort=material(full_name, strict)),
-        )
-        .when(name.rlike(DRAWING), kind(soort="Tekening", fototype=letter, bestandsoort=by_letter(DRAWINGS, letter, "Overige_tekening"), projectcd=project, tekeningcd=F.concat(letter, code)))
-        .when(name.rlike(PROJECT_PHOTO), kind(soort="Foto", fototype=photo, bestandsoort=by_letter(PHOTOS, photo, "Overige_afbeelding"), projectcd=project, fotonr=no_zeros(F.regexp_extract(name, PROJECT_PHOTO, 3))))
-        .when(name.rlike(REPORT), kind(soort="Rapport", fototype="R", bestandsoort=F.when(part(REPORT, 1).contains("DAR"), "Archeologische_Rapportage").otherwise("Archeologische_Notitie"), rapportnr=report))
-        .when(drawn, kind(soort="Tekening", fototype="T", bestandsoort="Overige_tekening", projectcd=project, tekeningcd=full_name))
+        F.when(f["type"].isin(".doc", ".docx"), kind(soort="Rapport", fototype="R", bestandsoort="Overige_Rapportage", rapportnr=f["full"]))
+        .when(f["name"].rlike(OBJECT_PHOTO), bind(groups(f["name"], OBJECT_PHOTO, 3, 4, 6, 7), of_object))
+        .when(f["name"].rlike(DRAWING), bind(groups(f["name"], DRAWING, 2, 3), drawing))
+        .when(f["name"].rlike(PROJECT_PHOTO), bind(groups(f["name"], PROJECT_PHOTO, 2, 3), of_project))
+        .when(f["name"].rlike(REPORT), bind(groups(f["name"], REPORT, 1, 2), report))
+        .when(drawn, kind(soort="Tekening", fototype="T", bestandsoort="Overige_tekening", projectcd=project, tekeningcd=f["full"]))
         .otherwise(kind(soort="Bestand", fototype="N", bestandsoort="Bestand_Overige", projectcd=project))
     )
 

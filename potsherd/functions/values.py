@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,6 +15,11 @@ YES = ("1", "true", "ja", "j", "yes", "y")
 DATE_FORMATS = ("d-M-yyyy", "d/M/yyyy", "d.M.yyyy", "yyyy-M-d", "d-M-yy", "d/M/yy", "d-M-yyyy H:m:s", "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used: as an array's only item, handed to a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def text_of(value: Column) -> Column:
     """Text of a number as it is written in keys: 12.0 as 12."""
     return F.regexp_replace(value.cast("string"), r"^(-?[0-9]+)\.0$", "$1")
@@ -77,6 +83,11 @@ def report_prefix(source: Column) -> Column:
     return F.when(F.map_contains_key(source, F.lit("DAR")), "DAR").when(F.map_contains_key(source, F.lit("DAN")), "DAN")
 
 
+def table_type(table: Column) -> Column:
+    """The artefact type that a source table's name tells: nails have tables of their own."""
+    return F.when(F.lower(table).contains("spijker"), "Spijker")
+
+
 def artefact_kind(type_code: Column) -> Column:
     """The kind of artefact that a type code tells; the rule named last wins."""
     return (

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
-import uuid
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Levels below a root at most; it ends the search where a table has a cycle. (Spark itself ends a recursion at 100.)
-DEPTH = 64
-
-
-def descendants(tree: DataFrame, roots: Column, node: str = "primary_key", parent: str = "parentID", depth: int = DEPTH) -> DataFrame:
-    """The rows below the rows that ``roots`` picks, themselves included, each once, with their least ``depth``."""
-    view = f"tree_{uuid.uuid4().hex}"
-    tree.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.coalesce(roots, F.lit(False)).alias("is_root")).createOrReplaceTempView(view)
-    found = tree.sparkSession.sql(
-        f"""
-        WITH RECURSIVE below(node, depth) AS (
-            SELECT node, 0 FROM {view} WHERE is_root
-            UNION ALL
-            SELECT t.node, b.depth + 1 FROM {view} t JOIN below b ON t.parent = b.node WHERE b.depth < {int(depth)}
-        )
-        SELECT node AS _node, min(depth) AS depth FROM below GROUP BY node
-        """
-    )
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed and written to the checkpoint folder that the session names; only a local session may do without one."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not place and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(place or tempfile.mkdtemp(prefix="potsherd-"))
+    return df.checkpoint()
+
+
+def descendants(tree: DataFrame, roots: Column, node: str = "primary_key", parent: str = "parentID") -> DataFrame:
+    """The rows below the rows that ``roots`` picks, themselves included, each once, with their least ``depth``.
+
+    Level after level, each joined with the rows of the last one; nodes that were reached before are left out, so it ends
+    where a table has a cycle, and whatever the depth.
+    """
+    edges = tree.select(F.col(node).alias("_node"), F.col(parent).alias("_parent"))
+    level = written(tree.where(roots).select(F.col(node).alias("_node"), F.lit(0).alias("depth")).distinct())
+    found, depth = level, 0
+    while not level.isEmpty():
+        depth += 1
+        up = level.select(F.col("_node").alias("_up"))
+        next_level = edges.join(up, F.col("_parent") == F.col("_up"), "left_semi").select("_node").distinct()
+        level = written(next_level.join(found.select("_node"), "_node", "left_anti").withColumn("depth", F.lit(depth)))
+        found = found.unionByName(level)
+        if depth % 8 == 0:  # a plan of many levels takes long to make
+            found = written(found)
     return tree.join(found, F.col(node) == F.col("_node")).drop("_node")
 
 
@@ -35,6 +46,11 @@ def below(df: DataFrame, reference: str, tree: DataFrame, roots: Column, node: s
     return df.join(wanted, F.col(reference) == F.col("_wanted"), "left_semi")
 
 
+def within(rows: DataFrame, uris: str, uri: Column) -> DataFrame:
+    """The rows whose list of ancestors holds ``uri``."""
+    return rows.where(F.array_contains(uris, uri))
+
+
 def children(tree: DataFrame, of: int, parent: str = "parentID") -> DataFrame:
     return tree.where(F.col(parent) == of)
 

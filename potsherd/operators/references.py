@@ -83,3 +83,17 @@ def photo_merge(photos: DataFrame, links: DataFrame, descriptions: DataFrame) ->
 def precedence(*dates: Column) -> Column:
     """The first date that is known and not zero: artefact, then find, then trace; the last one counts as it is."""
     return F.coalesce(*[F.nullif(d, F.lit(0)) for d in dates[:-1]], dates[-1])
+
+
+def lookup(df: DataFrame, key: str, others: DataFrame, other_key: str, name: str) -> DataFrame:
+    """``df`` with a list of the rows of ``others`` that have the same key; an empty list where there are none."""
+    rows = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in others.columns if c != other_key])))
+    found = others.groupBy(F.col(other_key).alias("_key")).agg(rows.alias(name))
+    joined = df.join(found, F.col(key) == F.col("_key"), "left").drop("_key")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.array().cast(found.schema[name].dataType)))
+
+
+def without_in_list(lists: Column, names: tuple[str, ...], sentinels: tuple[str, ...] = ()) -> Column:
+    """A list of maps without some entries, and without those that are null or say nothing."""
+    keep = lambda k, v: ~k.isin(*names) & v.isNotNull() & ~F.coalesce(v.isin("", *sentinels), F.lit(False))
+    return F.transform(lists, lambda m: F.map_filter(m, keep))

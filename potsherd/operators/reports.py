@@ -69,8 +69,14 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def pushed(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Per group its different values in order, their number and all rows."""
-    return df.groupBy(group).agg(F.array_sort(F.collect_set(value)).alias("items"), F.count(F.lit(1)).alias("n")).withColumn("n_items", F.size("items"))
+    """Per group its values in order, repeated ones included, their number and all rows."""
+    return df.groupBy(group).agg(F.array_sort(F.collect_list(value)).alias("items"), F.count(F.lit(1)).alias("n")).withColumn("n_items", F.size("items"))
+
+
+def remarked(df: DataFrame, group: str, lists: str, remark: str, between: str = ",") -> DataFrame:
+    """Per group the different items of its lists, and its remarks as one text, both in order."""
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_list(lists))))
+    return df.groupBy(group).agg(items.alias("items"), F.array_join(F.array_sort(F.collect_list(remark)), between).alias("remarks"))
 
 
 def flattened(df: DataFrame, group: str, lists: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,15 +76,20 @@ def word_fits(term: Column, word: str) -> Column:
     return term.rlike(pattern(word)) if re.search(r"[*?]", word) else term == word
 
 
-def part_fits(term: Column, part: Part) -> Column:
+def part_fits(term: Column, part: Part, field: Column | None = None) -> Column:
     """Whether a term has to do with a part: one of its words, in its field."""
+    field = F.col("field") if field is None else field
     fits = word_fits(term, part.words[0])
     for w in part.words[1:]:
         fits = fits | word_fits(term, w)
-    return fits & (F.col("field") == part.field) if part.field else fits
+    return fits & (field == part.field) if part.field else fits
 
 
-def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: float = K1, b: float = B) -> DataFrame:
+def wanted_by(parts: list[Part], term: Column, field: Column | None = None) -> Column:
+    return reduce(lambda a, b: a | b, [part_fits(term, p, field) for p in parts], F.lit(False))
+
+
+def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: float = K1, b: float = B, loose: bool = False) -> DataFrame:
     """(pk, score) of the rows that fit, phrases by their words. The score is the sum of BM25 over the terms of the query.
 
     A row's length and the mean length are those of the searched fields together.
@@ -93,11 +99,27 @@ def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: fl
     if not parts:
         return index.sparkSession.createDataFrame([], f"pk {dict(index.dtypes)['pk']}, score double")
     sizes = scope.groupBy("pk", "field").agg(F.max("size").alias("size")).groupBy("pk").agg(F.sum("size").alias("size"))
-    total = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"))  # one row
-    wanted = F.lit(False)
-    for p in parts:
-        wanted = wanted | part_fits(F.col("term"), p)
-    hits = scope.where(wanted)
+    return scored(scope.where(wanted_by(parts, F.col("term"))), sizes, sizes, parts, k1, b, loose)
+
+
+def ranked_rows(df: DataFrame, pk: str, fields: list[str], query: str, k1: float = K1, b: float = B, loose: bool = False) -> DataFrame:
+    """The same as ``ranked`` of the rows' postings, without an index: only the words that the query asks for leave their row."""
+    parts = parse(query)
+    if not parts:
+        return df.sparkSession.createDataFrame([], f"pk {dict(df.dtypes)[pk]}, score double")
+    told = F.array(*[F.struct(F.lit(f.lower()).alias("field"), terms(F.col(f)).alias("terms")) for f in fields])
+    read = df.select(F.col(pk).alias("pk"), told.alias("told"))
+    size = F.aggregate("told", F.lit(0).cast("bigint"), lambda n, t: n + F.size(t.terms))
+    asked = F.flatten(F.transform("told", lambda t: F.transform(F.filter(t.terms, lambda w: wanted_by(parts, w, t.field)), lambda w: F.struct(t.field.alias("field"), w.alias("term")))))
+    each = read.select("pk", size.alias("size"), F.explode(asked).alias("a")).select("pk", "size", "a.field", "a.term")
+    hits = each.groupBy("pk", "field", "term", "size").agg(F.count(F.lit(1)).alias("tf"))
+    lengths = read.select("pk", size.alias("size")).where("size > 0")
+    return scored(hits, hits.select("pk", "size").distinct(), lengths, parts, k1, b, loose)
+
+
+def scored(hits: DataFrame, sizes: DataFrame, lengths: DataFrame, parts: list[Part], k1: float, b: float, loose: bool) -> DataFrame:
+    """(pk, score) of the hits (pk, field, term, tf) that fit the query; ``sizes`` are the lengths of their rows, ``lengths`` those of all. ``loose``: banned phrases are left to the caller."""
+    total = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"))  # one row
     flags = {f"p{k}": F.max(part_fits(F.col("term"), p)) for k, p in enumerate(parts)}
     words = {f"w{k}_{j}": F.max(word_fits(F.col("term"), w) & ((F.col("field") == p.field) if p.field else F.lit(True))) for k, p in enumerate(parts) if len(p.words) > 1 for j, w in enumerate(p.words)}
     found = hits.groupBy("pk").agg(*[f.alias(n) for n, f in (flags | words).items()])
@@ -110,7 +132,7 @@ def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: fl
     keep, optional = F.lit(True), F.lit(False)
     for k, p in enumerate(parts):
         if p.banned:
-            keep = keep & ~F.col(f"p{k}")
+            keep = keep if loose and len(p.words) > 1 else keep & ~F.col(f"p{k}")
         elif p.must:
             keep = keep & F.col(f"p{k}")
         else:
@@ -118,14 +140,10 @@ def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: fl
     if not any(p.must for p in parts):
         keep = keep & optional
     rows = found.where(keep).select("pk")
-    wanted_terms = F.lit(False)
-    for p in parts:
-        if not p.banned:
-            wanted_terms = wanted_terms | part_fits(F.col("term"), p)
-    scored = hits.where(wanted_terms).groupBy("pk", "term").agg(F.sum("tf").alias("tf"))
-    in_rows = scored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    told = hits.where(wanted_by([p for p in parts if not p.banned], F.col("term"))).groupBy("pk", "term").agg(F.sum("tf").alias("tf"))
+    in_rows = told.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     exact = not any(re.search(r"[*?]", w) for p in parts for w in p.words)
-    told = scored.join(F.broadcast(in_rows) if exact else in_rows, "term")  # without wildcards there are no more terms than words in the query
+    told = told.join(F.broadcast(in_rows) if exact else in_rows, "term")  # without wildcards there are no more terms than words in the query
     joined = told.join(rows, "pk", "left_semi").join(sizes, "pk").crossJoin(F.broadcast(total))
     rarity = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / F.col("mean")))
@@ -134,7 +152,18 @@ def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: fl
 
 def phrase_fits(text: Column, words: tuple[str, ...]) -> Column:
     """Whether the words stand one after the other."""
-    return F.concat(F.lit(" "), F.array_join(terms(text), " "), F.lit(" ")).contains(" " + " ".join(words) + " ")
+    return F.concat(F.lit(" "), F.array_join(terms(text), " "), F.lit(" ")).rlike(" " + " ".join(r"[^ ]*".join(re.escape(x) for x in w.split("*")).replace(r"\?", "[^ ]") for w in words) + " ")
+
+
+def query_fits(fields: list[str], parts: list[Part]) -> Column:
+    """Whether a row fits a query, phrases by words that stand one after the other."""
+
+    def there(p: Part) -> Column:
+        return reduce(lambda a, b: a | b, [phrase_fits(F.col(f), p.words) for f in fields if p.field in (None, f.lower())], F.lit(False))
+
+    banned, must, other = ([there(p) for p in parts if t(p)] for t in (lambda p: p.banned, lambda p: p.must and not p.banned, lambda p: not p.must and not p.banned))
+    fits = reduce(lambda a, b: a & b, [*[~x for x in banned], *must], F.lit(True))
+    return fits if must or not other else fits & reduce(lambda a, b: a | b, other)
 
 
 def highlighted(text: Column, query: str) -> Column:
@@ -146,20 +175,17 @@ def highlighted(text: Column, query: str) -> Column:
     return F.regexp_replace(text, rf"(?iu)(?<![\p{{L}}\p{{N}}])({shapes})(?![\p{{L}}\p{{N}}])", "<mark>$1</mark>")
 
 
-def search(df: DataFrame, pk: str, query: str, fields: list[str] | None = None, kind: Column | None = None, limit: int = HITS, index: DataFrame | None = None) -> DataFrame:
-    """The best ``limit`` rows of ``df``, best first, with ``fulltext_score`` and ``highlight``. ``kind`` limits the rows before they are ranked."""
+def search(df: DataFrame, pk: str, query: str, fields: list[str] | None = None, kind: Column | None = None, limit: int | None = HITS, index: DataFrame | None = None) -> DataFrame:
+    """The best ``limit`` rows of ``df`` (all that fit without one), best first, with ``fulltext_score`` and ``highlight``. ``kind`` limits the rows before they are ranked."""
     rows = df.where(kind) if kind is not None else df
     read = fields or searchable(rows)
-    own = index if index is not None else postings(rows, pk, read)
-    hits = ranked(own, query, fields)
+    hits = ranked(index, query, fields, loose=True) if index is not None else ranked_rows(rows, pk, read, query, loose=True)
     joined = rows.join(hits, F.col(pk) == F.col("pk")).drop("pk") if pk != "pk" else rows.join(hits, "pk")
-    for p in parse(query):
-        if len(p.words) > 1 and not any(c in "*?" for w in p.words for c in w):
-            there = F.lit(False)
-            for f in read:
-                there = there | phrase_fits(F.col(f), p.words)
-            joined = joined.where(~there if p.banned else there) if p.must or p.banned or len(parse(query)) == 1 else joined
-    best = joined.withColumnRenamed("score", "fulltext_score").orderBy(F.desc("fulltext_score"), pk).limit(limit)
+    parts = parse(query)
+    if any(len(p.words) > 1 for p in parts):
+        joined = joined.where(query_fits(read, parts))
+    best = joined.withColumnRenamed("score", "fulltext_score").orderBy(F.desc("fulltext_score"), pk)
+    best = best if limit is None else best.limit(limit)
     return best.withColumn("highlight", F.concat_ws(" … ", *[F.when(highlighted(F.col(f), query) != F.col(f), highlighted(F.col(f), query)) for f in read]))
 
 

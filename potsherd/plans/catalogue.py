@@ -177,8 +177,8 @@ def year_range_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderkey") % 3 == 1, F.concat(F.year("o_orderdate").cast("string"), F.lit("-"), (F.year("o_orderdate") + F.col("o_orderkey") % 9).cast("string")))
         .otherwise(F.concat(numeral, letter))
     )
-    span = dating.code_range(code)
-    return read(spark, sf_dir, "orders").select("o_orderkey", code.alias("code"), span["vanaf"].cast("bigint").alias("vanaf"), span["tot"].cast("bigint").alias("tot"))
+    found = dating.ranged(read(spark, sf_dir, "orders").select("o_orderkey", code.alias("code")), "code")
+    return found.select("o_orderkey", "code", F.col("vanaf").cast("bigint").alias("vanaf"), F.col("tot").cast("bigint").alias("tot"))
 
 
 @query
@@ -262,17 +262,18 @@ def range_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def generate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("nr"))
-    existing = read(spark, sf_dir, "orders").where("o_totalprice > 400000").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("key"), F.lit("Klant").alias("soort"))
+    """Documents without a label."""
+    seen = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("nr"))
+    existing = read(spark, sf_dir, "labels").select(F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("key"), F.lit("Klant").alias("soort"))
     return merge.generate_missing(seen, existing, ["nr"], keys.build(*keys.parse("C:nr")), "Klant", "nr")
 
 
 @query
 def set_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read(spark, sf_dir, "nation").select(F.col("n_name").alias("key"), F.col("n_nationkey").alias("ID"), F.col("n_nationkey").alias("_seq"))
-    names = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("key_nation"))
-    supplier = read(spark, sf_dir, "supplier").join(names.where("nk % 5 != 0"), F.col("s_nationkey") == F.col("nk"), "left")
-    return references.set_reference(supplier, nation, "key_nation", "nationID").select("s_suppkey", "nationID")
+    names = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("name"))
+    customer = read(spark, sf_dir, "customer").join(names, F.col("c_nationkey") == F.col("nk"), "left").withColumn("key_nation", F.when(F.col("c_acctbal") >= 0, F.col("name")))
+    return references.set_reference(customer, nation, "key_nation", "nationID").select("c_custkey", "nationID")
 
 
 @query
@@ -304,10 +305,11 @@ def update_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def photo_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    photos = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nr"), F.concat("n_name", F.lit(".jpg")).alias("fileName"))
-    links = read(spark, sf_dir, "nation").where("n_nationkey % 3 != 0").select(F.concat("n_name", F.lit(".jpg")).alias("bestandsnaam"), F.concat(F.lit("A"), F.col("n_nationkey").cast("string")).alias("abcd_nr"), F.concat(F.lit("dc"), F.col("n_regionkey").cast("string")).alias("projectcd"))
-    told = read(spark, sf_dir, "nation").where("n_nationkey % 2 = 0").select(F.concat(F.lit("x\\y\\a"), F.col("n_nationkey").cast("string")).alias("pad"), F.concat(F.lit("DC"), F.col("n_regionkey").cast("string")).alias("projectcd"), F.col("n_name").alias("omschrijving"))
-    return references.photo_merge(photos, links, told).select(F.col("nr").cast("bigint").alias("nr"), "fileName", "abcd_nr", "omschrijving")
+    customer, file = read(spark, sf_dir, "customer"), F.concat("c_name", F.lit(".jpg"))
+    photos = customer.select(F.col("c_custkey").alias("nr"), file.alias("fileName"))
+    links = customer.select(F.when(F.col("c_acctbal") >= 0, file).alias("bestandsnaam"), F.concat(F.lit("A"), F.col("c_custkey").cast("string")).alias("abcd_nr"), F.concat(F.lit("dc"), F.col("c_nationkey").cast("string")).alias("projectcd"))
+    told = customer.select(F.when(F.col("c_mktsegment") != "BUILDING", F.concat(F.lit("x\\y\\a"), F.col("c_custkey").cast("string"))).alias("pad"), F.concat(F.lit("DC"), F.col("c_nationkey").cast("string")).alias("projectcd"), F.col("c_name").alias("omschrijving"))
+    return references.photo_merge(photos, links, told).select("nr", "fileName", "abcd_nr", "omschrijving")
 
 
 @query
@@ -319,7 +321,7 @@ def sample_project_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def outer_join_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = read(spark, sf_dir, "supplier").where("s_suppkey % 4 = 0")
+    supplier = read(spark, sf_dir, "supplier")
     return views.map_counts(read(spark, sf_dir, "nation"), "n_nationkey", F.col("n_regionkey") < 4, ["n_name"], supplier, "s_nationkey", "s_suppkey")
 
 
@@ -479,12 +481,12 @@ def union_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def set_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nr")).intersect(read(spark, sf_dir, "supplier").where("s_suppkey < 50").select(F.col("s_nationkey").alias("nr")))
+    return read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nr")).intersect(read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nr")))
 
 
 @query
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("nr")).subtract(read(spark, sf_dir, "orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("nr")))
+    return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("nr")).subtract(read(spark, sf_dir, "labels").select(F.col("doc_id").alias("nr")))
 
 
 @query
@@ -500,25 +502,29 @@ def file_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # writes
 
 
+def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, value) of the labels, and of the documents, only some of which have one."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("value"))
+    return labels, read(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("bigint").alias("value"))
+
+
 @query
 def upsert_keep_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    new = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_returnflag").alias("o_orderstatus"))
-    return writes.keep_existing(orders.where("o_orderkey % 3 = 0"), new, ["o_orderkey"])
+    labels, documents = labelled(spark, sf_dir)
+    return writes.keep_existing(labels, documents, ["doc_id"])
 
 
 @query
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    new = read(spark, sf_dir, "lineitem").where("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_returnflag").alias("o_orderstatus"))
-    return writes.replace(orders, new, ["o_orderkey"])
+    labels, documents = labelled(spark, sf_dir)
+    return writes.replace(documents, labels, ["doc_id"])
 
 
 @query
 def upsert_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").where("o_orderkey % 3 != 1").select("o_orderkey", "o_orderstatus", "o_custkey")
-    new = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("o_orderstatus"), line_order().alias("line"))
-    return writes.upsert(orders, new, ["o_orderkey"], "line").select("o_orderkey", "o_orderstatus", "o_custkey", "line")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("value"), F.col("toxic").cast("bigint").alias("toxic"))
+    new = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("n_chars").cast("bigint")).alias("value"), F.col("doc_id").alias("line"))
+    return writes.upsert(labels, new, ["doc_id"], "line").select("doc_id", "value", "toxic", "line")
 
 
 @query
@@ -527,9 +533,68 @@ def load_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.conformed(customer, "c_custkey int, c_acctbal int, c_name varchar(12), absent string, c_mktsegment string").select(F.col("c_custkey").cast("bigint").alias("c_custkey"), F.col("c_acctbal").cast("bigint").alias("c_acctbal"), "c_name", "c_mktsegment")
 
 
+@query
+def export_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an export, written with quotes, read back value by value."""
+    line = F.concat(F.lit('"'), F.replace("p_name", F.lit("e"), F.lit('""')), F.lit(', "'), F.lit(","), F.col("p_partkey").cast("string"), F.lit(',"a\n'), F.col("p_type"), F.lit('",'))
+    cells = staging.fields(staging.guarded(line))
+    return read(spark, sf_dir, "part").select("p_partkey", *[F.get(cells, F.lit(k)).alias(f"c{k}") for k in range(4)], F.size(cells).cast("bigint").alias("n"))
+
+
 # nested values
 
 
+@query
+def lookup_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the list of their labels, empty for those without."""
+    docs = read(spark, sf_dir, "documents").select("doc_id")
+    found = references.lookup(docs, "doc_id", read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), "doc_id", "labels")
+    return found.select("doc_id", joined(F.transform("labels", lambda x: F.concat_ws("/", x.quality.cast("string"), x.toxic.cast("string")))).alias("labels"), F.size("labels").cast("bigint").alias("n"))
+
+
+@query
+def nested_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each order as maps without the line's number and without what says nothing."""
+    entry = F.create_map(F.lit("nr"), F.col("l_linenumber").cast("string"), F.lit("flag"), F.col("l_returnflag"), F.lit("status"), F.when(F.col("l_quantity") > 10, F.col("l_linestatus")))
+    rows = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(entry).alias("lines"))
+    clean = references.without_in_list(F.col("lines"), ("nr",), ("N",))
+    return rows.select("l_orderkey", F.aggregate(clean, F.lit(0).cast("bigint"), lambda n, m: n + F.size(m)).alias("entries"), joined(F.array_sort(F.flatten(F.transform(clean, F.map_values)))).alias("told"))
+
+
+@query
+def list_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("['"), F.replace("p_type", F.lit(" "), F.lit("', '")), F.lit("', "), F.col("p_size").cast("string"), F.lit("]"))
+    return read(spark, sf_dir, "part").select("p_partkey", F.explode(staging.list_items(text)).alias("item"))
+
+
+@query
+def remarks_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part").select("p_brand", F.split("p_type", " ").alias("words"), "p_name")
+    return reports.remarked(part, "p_brand", "words", "p_name").select("p_brand", joined(F.col("items")).alias("items"), "remarks")
+
+
+@query
+def outline_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts whose list of ancestors holds a given one."""
+    part = read(spark, sf_dir, "part").select("p_partkey", F.array("p_brand", "p_name", "p_type").alias("uris"))
+    return hierarchy.within(part, "uris", F.lit("Brand#13")).select("p_partkey")
+
+
+@query
+def table_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = F.concat(F.when(F.col("p_size") > 25, "Spijkers_").otherwise("Vondst_"), F.col("p_brand"))
+    return read(spark, sf_dir, "part").groupBy(values.table_type(table).alias("type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def described_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line of text for each order, and a suggested column name."""
+    orders = read(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", values.described("order", nr=F.col("o_orderkey"), klant=F.nullif(F.col("o_custkey"), F.lit(1)), **{"": F.col("o_orderstatus")}).alias("label"), values.short_name(F.concat("o_orderstatus", F.lit(" Vondstnummer"))).alias("name"))
+
+
+
+
 @query
 def explode_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = merge.lineage_set(read(spark, sf_dir, "lineitem"), ["l_partkey"], ["l_returnflag", "l_linestatus"])
@@ -596,7 +661,7 @@ def outline_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fulltext_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = search.ranked(search.postings(docs, "doc_id", ["text"]), "the license")
+    hits = search.ranked_rows(docs, "doc_id", ["text"], "the license")
     return hits.select(F.col("pk").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
@@ -623,6 +688,14 @@ def postings_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf"))
 
 
+@query
+def fulltext_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with a phrase beside another word: only words that stand one after the other are the phrase."""
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    hits = search.search(part, "p_partkey", '"anodized steel" OR promo* -"plated tin"', ["p_type"], limit=None)
+    return hits.select("p_partkey", F.col("fulltext_score").isNotNull().alias("scored"))
+
+
 # dates by context
 
 

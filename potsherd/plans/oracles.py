@@ -134,10 +134,9 @@ ORACLES: dict[str, str] = {
         SELECT p_partkey, CASE WHEN p_size % 4 > 0 AND p_size % 3 > 0 THEN (p_size % 4) || ' - ' || (p_size % 3) WHEN p_size % 4 > 0 THEN (p_size % 4) || ' -' WHEN p_size % 3 > 0 THEN '- ' || (p_size % 3) ELSE '' END AS label FROM part
     """,
     "generate_missing": """
-        SELECT c_custkey AS nr, 'C' || c_custkey AS key, 'Klant' AS soort, 'Gegenereerd' AS herkomst FROM customer
-        WHERE c_custkey <> 0 AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)
+        SELECT doc_id AS nr, 'C' || doc_id AS key, 'Klant' AS soort, 'Gegenereerd' AS herkomst FROM documents WHERE doc_id <> 0 AND doc_id NOT IN (SELECT doc_id FROM labels)
     """,
-    "set_reference": "SELECT s_suppkey, CASE WHEN s_nationkey % 5 <> 0 THEN s_nationkey END::BIGINT AS nationID FROM supplier",
+    "set_reference": """SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_nationkey END::BIGINT AS nationID FROM customer""",
     "unique_match_only": """
         SELECT p_brand || '|' || p_size AS want, CASE WHEN count(*) = 1 THEN max(p_partkey) END AS partID FROM part GROUP BY p_brand, p_size
     """,
@@ -150,18 +149,16 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, CASE WHEN n.l_orderkey IS NOT NULL THEN new.s ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders LEFT JOIN n ON l_orderkey = o_orderkey
     """,
     "photo_merge": """
-        SELECT n_nationkey::BIGINT AS nr, n_name || '.jpg' AS fileName, CASE WHEN n_nationkey % 3 <> 0 THEN 'A' || n_nationkey END AS abcd_nr,
-               CASE WHEN n_nationkey % 3 <> 0 AND n_nationkey % 2 = 0 THEN n_name END AS omschrijving FROM nation
+        SELECT c_custkey AS nr, c_name || '.jpg' AS fileName, CASE WHEN c_acctbal >= 0 THEN 'A' || c_custkey END AS abcd_nr,
+               CASE WHEN c_acctbal >= 0 AND c_mktsegment <> 'BUILDING' THEN c_name END AS omschrijving FROM customer
     """,
     "sample_project_codes": """
         SELECT s_suppkey, 'P' || s_suppkey % 40 AS project, CASE WHEN s_suppkey % 40 < 25 THEN 'P' || (s_suppkey % 40 + 10) WHEN s_suppkey % 40 < 35 THEN 'P' || s_suppkey % 40 ELSE 'Unknown' END AS projectcd FROM supplier
     """,
-    "outer_join_counts": """
-        SELECT n_name, count(s_suppkey) AS n_finds FROM (SELECT * FROM supplier WHERE s_suppkey % 4 = 0) FULL JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 4 GROUP BY n_name
-    """,
+    "outer_join_counts": "SELECT n_name, count(s_suppkey) AS n_finds FROM supplier FULL JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 4 GROUP BY n_name",
     "map_markers": """
         SELECT n_name, CASE WHEN count(s_suppkey) > 0 THEN 8 ELSE 4 END::BIGINT AS radius, CASE WHEN count(s_suppkey) > 0 THEN 'red' ELSE 'blue' END AS color
-        FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 4 = 0 WHERE n_regionkey < 4 GROUP BY n_name
+        FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey WHERE n_regionkey < 4 GROUP BY n_name
     """,
     "merge_specific": """
         WITH g AS (SELECT l_orderkey, arg_min({'status': CASE WHEN l_linestatus = 'O' THEN l_returnflag END, 'part': l_partkey}, l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey) AS first FROM lineitem GROUP BY l_orderkey)
@@ -198,7 +195,7 @@ ORACLES: dict[str, str] = {
     "data_profile": " UNION ALL ".join(
         f"SELECT '{c}' AS attribute, count(*) AS n_rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS n_distinct, min({c})::VARCHAR AS low, max({c})::VARCHAR AS high FROM orders" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     ),
-    "pushed_lists": "SELECT p_brand, array_to_string(list_sort(list(DISTINCT p_size)), ',') AS items, count(*) AS n, count(DISTINCT p_size) AS n_items FROM part GROUP BY p_brand",
+    "pushed_lists": "SELECT p_brand, array_to_string(list_sort(list(p_size)), ',') AS items, count(*) AS n, count(*) AS n_items FROM part GROUP BY p_brand",
     "flattened_lists": "SELECT p_brand, string_agg(w, ',' ORDER BY w) AS items FROM (SELECT DISTINCT p_brand, unnest(string_split(p_type, ' ')) AS w FROM part) GROUP BY p_brand",
     "longest_text": "SELECT p_brand, p_name AS longest FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY length(p_name) DESC, p_name) = 1",
     "frequency_table": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
@@ -217,8 +214,8 @@ ORACLES: dict[str, str] = {
     "page_topk": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders ORDER BY o_orderpriority ASC NULLS LAST, o_custkey DESC NULLS FIRST, o_orderkey LIMIT 25 OFFSET 75",
     "keep_first": "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey",
     "union_missing_columns": "SELECT s_suppkey AS nr, s_name AS name, NULL AS segment FROM supplier UNION ALL SELECT c_custkey, NULL, c_mktsegment FROM customer",
-    "set_intersect": "SELECT c_nationkey AS nr FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_suppkey < 50",
-    "set_difference": "SELECT c_custkey AS nr FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 400000",
+    "set_intersect": "SELECT c_nationkey AS nr FROM customer INTERSECT SELECT s_nationkey FROM supplier",
+    "set_difference": "SELECT doc_id AS nr FROM documents EXCEPT SELECT doc_id FROM labels",
     "file_selection": """
         WITH p AS (SELECT '/d' || page_id // 6 || '/n' || page_id // 3 % 2 || CASE page_id % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.jpg' ELSE '.exe' END AS f FROM pages),
         a AS (SELECT f FROM p UNION ALL SELECT replace(f, 'n0.tif', 'n2.tif') FROM p WHERE f LIKE '%0.tif'),
@@ -227,17 +224,14 @@ ORACLES: dict[str, str] = {
         WHERE f NOT LIKE '%.exe' AND f NOT LIKE '%d1%' AND NOT (f LIKE '%.tif' AND replace(f, '.tif', '') IN (SELECT stem FROM j))
     """,
     "upsert_keep_existing": """
-        SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0
-        UNION ALL SELECT l_orderkey, max(l_returnflag) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0) GROUP BY l_orderkey
+        SELECT doc_id, quality::BIGINT AS value FROM labels UNION ALL SELECT doc_id, n_chars::BIGINT FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
     """,
     "upsert_replace": """
-        WITH n AS (SELECT l_orderkey, max(l_returnflag) AS s FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY l_orderkey)
-        SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT * FROM n
+        SELECT doc_id, quality::BIGINT AS value FROM labels UNION ALL SELECT doc_id, n_chars::BIGINT FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
     """,
     "upsert_set": """
-        WITH o AS (SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 3 <> 1),
-        n AS (SELECT l_orderkey, arg_max(l_returnflag, l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey) FILTER (l_returnflag <> 'N') AS s, max(l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey) AS line FROM lineitem GROUP BY l_orderkey)
-        SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey, coalesce(s, o_orderstatus) AS o_orderstatus, o_custkey, line FROM o FULL JOIN n ON o_orderkey = l_orderkey
+        SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, coalesce(CASE WHEN lang <> 'en' THEN n_chars END, quality)::BIGINT AS value, toxic::BIGINT AS toxic, d.doc_id AS line
+        FROM labels l FULL JOIN documents d ON l.doc_id = d.doc_id
     """,
     "load_coercion": """
         SELECT c_custkey, trunc(c_acctbal)::BIGINT AS c_acctbal, CASE WHEN c_custkey % 5 <> 0 THEN substr(c_name, 1, 12) ELSE '' END AS c_name, c_mktsegment FROM customer
@@ -288,4 +282,28 @@ ORACLES: dict[str, str] = {
                c_nationkey::BIGINT AS spoordatering_vanaf, CASE WHEN c_custkey IS NOT NULL THEN 7 END::BIGINT AS spoordatering_tot, l_partkey AS datering_vanaf, l_suppkey AS datering_tot
         FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
     """,
+    "fulltext_phrase": """
+        WITH t AS (SELECT p_partkey, ' ' || lower(p_type) || ' ' AS t FROM part)
+        SELECT p_partkey, true AS scored FROM t WHERE NOT contains(t, ' plated tin ') AND (contains(t, ' anodized steel ') OR contains(t, ' promo'))
+    """,
+    "export_fields": """
+        SELECT p_partkey, replace(p_name, 'e', '"') || ', ' AS c0, p_partkey::VARCHAR AS c1, 'a' || chr(10) || p_type AS c2, '' AS c3, 4::BIGINT AS n FROM part
+    """,
+    "lookup_lists": """
+        SELECT d.doc_id, coalesce(string_agg(quality || '/' || toxic, ',' ORDER BY quality, toxic) FILTER (l.doc_id IS NOT NULL), '') AS labels, count(l.doc_id) AS n
+        FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
+    "nested_lists": """
+        WITH e AS (SELECT l_orderkey, unnest([CASE WHEN l_returnflag <> 'N' THEN l_returnflag END, CASE WHEN l_quantity > 10 AND l_linestatus <> 'N' THEN l_linestatus END]) AS v FROM lineitem)
+        SELECT l_orderkey, count(v) AS entries, coalesce(string_agg(v, ',' ORDER BY v), '') AS told FROM e GROUP BY l_orderkey
+    """,
+    "list_text_rows": "SELECT p_partkey, unnest(string_split(p_type || ' ' || p_size, ' ')) AS item FROM part",
+    "remarks_by_group": """
+        SELECT p_brand, array_to_string(list_sort(list_distinct(flatten(list(string_split(p_type, ' '))))), ',') AS items, string_agg(p_name, ',' ORDER BY p_name) AS remarks FROM part GROUP BY p_brand
+    """,
+    "outline_members": "SELECT p_partkey FROM part WHERE p_brand = 'Brand#13'",
+    "table_types": "SELECT CASE WHEN p_size > 25 THEN 'Spijker' END AS type, count(*) AS n FROM part GROUP BY 1",
+    "described_rows": """
+        SELECT o_orderkey, 'Order nr ' || o_orderkey || coalesce(', klant ' || nullif(o_custkey, 1), '') || ', ' || o_orderstatus AS label, lower(o_orderstatus) || '_vondstnr' AS name FROM orders
+    """,
 }

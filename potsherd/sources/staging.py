@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from potsherd.functions.values import title_case
@@ -31,18 +31,18 @@ def read_exports(spark: SparkSession, pattern: str, bron: str, loadtime: str, le
     fewer than ``least_rows`` rows are left out. Each file is read as one record, so its header applies to its own rows and
     values may hold line breaks in quotes; a file is one table of an office database, whose own format ends at 2 GB.
     """
-    read = spark.read.text(pattern, wholetext=True).select(source_path().alias("path"), "value")
-    # lines end outside quotes only: an even number of quotes follows
-    lines = F.filter(F.split(F.regexp_replace("value", "\r\n", "\n"), '\n(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda x: F.trim(x) != "")
-    cut = read.select("path", F.slice(lines, 1, 1)[0].alias("header"), F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))).alias("rows")).where(F.size("rows") >= least_rows)
-    each = cut.select("path", fields("header").alias("names"), F.posexplode("rows").alias("at", "row"))
+    read = spark.read.text(pattern, wholetext=True).select(source_path().alias("path"), guarded(F.replace("value", F.lit("\r\n"), F.lit("\n"))).alias("value"))
+    lines = F.filter(F.split("value", "\n", -1), lambda x: F.trim(x) != "")
+    # the header alone goes with each row, not the file
+    cut = read.select("path", lines.alias("lines")).select("path", F.get("lines", F.lit(0)).alias("header"), F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))).alias("rows"))
+    each = cut.where(F.size("rows") >= least_rows).select("path", "header", F.posexplode("rows").alias("at", "row")).withColumn("names", fields(F.col("header")))
     project, database, table = file_parts(F.col("path"))
-    values = fields("row")
+    values = fields(F.col("row"))
     pairs = F.filter(F.arrays_zip(F.col("names").alias("n"), values.alias("v")), lambda p: p.n.isNotNull() & (F.coalesce(F.trim(p.v), F.lit("")) != ""))
     entries = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p.n, p.v)))
-    return each.select(
+    rows = each.select(
         F.sha2(F.concat_ws("|", "path", F.col("at").cast("string")), 256).alias("_id"),
-        F.xxhash64("path").bitwiseAND(F.lit(0x7FFFFFFF)).cast("bigint").alias("_file"),
+        F.col("path").alias("_path"),
         F.col("at").cast("bigint").alias("_at"),
         table.alias("table"),
         project.alias("projectcd"),
@@ -50,15 +50,27 @@ def read_exports(spark: SparkSession, pattern: str, bron: str, loadtime: str, le
         F.lit(loadtime).cast("timestamp").alias("loadtime"),
         database.alias("mdbfile"),
         entries.alias("data"),
-    ).withColumn("_seq", F.col("_file") * F.lit(1 << 31) + F.col("_at")).select("_id", "_seq", "table", "projectcd", "bron", "loadtime", "mdbfile", "data")
+    )
+    # files are numbered by their names: a listing is far smaller than what it lists
+    files = read.select("path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("path")).cast("bigint")).withColumnRenamed("path", "_of")
+    numbered = rows.join(files, F.col("_path") == F.col("_of")).withColumn("_seq", F.col("_file") * F.lit(1 << 31) + F.col("_at"))
+    return numbered.select("_id", "_seq", "table", "projectcd", "bron", "loadtime", "mdbfile", "data")
+
+
+#: Stand for commas and line breaks within quotes; private characters that exports don't hold.
+COMMA, LINE = "\ue000", "\ue001"
+
 
+def guarded(text: Column) -> Column:
+    """CSV text with the commas and line breaks within quotes replaced. Of the parts between quotes every second one is quoted; doubled quotes leave it so."""
+    return F.array_join(F.transform(F.split(text, '"', -1), lambda part, k: F.when(k % 2 == 1, F.translate(part, ",\n", COMMA + LINE)).otherwise(part)), '"')
 
-def fields(line: str | Column) -> Column:
-    """The values of a CSV line; quotes around a value go, doubled ones within become one."""
-    text = F.col(line) if isinstance(line, str) else line
-    parts = F.split(text, ',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
-    quoted = lambda p: F.trim(p).rlike('(?s)^".*"$')
-    return F.transform(parts, lambda p: F.when(quoted(p), F.replace(F.regexp_replace(F.trim(p), '(?s)^"(.*)"$', "$1"), F.lit('""'), F.lit('"'))).otherwise(p))
+
+def fields(line: Column) -> Column:
+    """The values of a guarded CSV line; quotes around a value go, doubled ones within become one."""
+    inner = lambda t: F.replace(F.substr(t, F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"'))
+    quoted = lambda t: (F.length(t) > 1) & F.startswith(t, F.lit('"')) & F.endswith(t, F.lit('"'))
+    return F.transform(F.split(line, ",", -1), lambda p: F.translate(F.when(quoted(F.trim(p)), inner(F.trim(p))).otherwise(p), COMMA + LINE, ",\n"))
 
 
 def from_table(df: DataFrame, table: str, order: str, bron: str = "tables", projectcd: Column | None = None) -> DataFrame:
@@ -75,6 +87,11 @@ def from_table(df: DataFrame, table: str, order: str, bron: str = "tables", proj
     )
 
 
+def list_items(text: Column) -> Column:
+    """The items of a list that was written as text, like ``['a', "b", 3]``; null if it is none."""
+    return F.from_json(F.replace(text, F.lit("'"), F.lit('"')), "array<string>")
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """(name, table, projectcd, teller, props) of metadata documents in JSON, one a line."""
     known = "name string, table string, projectcd string, teller bigint"

@@ -106,6 +106,11 @@ def test_tree_with_a_cycle(spark):
     assert rows(hierarchy.children(tree, 1), "primary_key") == [(2,)]
 
 
+def test_deep_tree(spark):
+    tree = spark.createDataFrame([(k, k - 1) for k in range(18)], "primary_key long, parentID long").coalesce(1)
+    assert rows(hierarchy.descendants(tree, F.col("primary_key") == 0), "primary_key", "depth") == sorted([(k, k) for k in range(18)], key=str)
+
+
 def test_outline(spark):
     df = spark.createDataFrame([(1, "S", None, None), (2, None, "a", None), (3, None, None, "x"), (4, None, "b", None), (5, None, None, "y"), (6, "T", None, None), (7, None, None, "z")], "o long, l0 string, l1 string, l2 string")
     got = {r.o: (r.uris, r.parent_uri) for r in hierarchy.outline_paths(df, ["l0", "l1", "l2"], "o").collect()}
@@ -162,6 +167,26 @@ def test_near_names_equals_all_pairs(spark):
     assert got == {tuple(r) for r in every.collect()}
 
 
+def test_phrases_beside_other_words(spark):
+    df = spark.createDataFrame([(1, "red apple"), (2, "apple red"), (3, "apple red pear"), (4, "red apple pear"), (5, "plum")], "pk long, t string")
+    find = lambda q: sorted(r.pk for r in search.search(df, "pk", q, ["t"]).collect())
+    assert find('"red apple" pear') == [1, 3, 4] and find('"red apple" AND pear') == [4] and find('"red apple" OR plum') == [1, 4, 5]
+    assert find('apple -"red apple"') == [2, 3] and find('+"apple red" pear') == [2, 3] and find('"re* apple"') == [1, 4]
+    index = search.postings(df, "pk", ["t"])
+    for query in ("apple pear", "red NOT plum", "app*"):
+        with_index, without = ({r.pk: round(r.score, 9) for r in f.collect()} for f in (search.ranked(index, query), search.ranked_rows(df, "pk", ["t"], query)))
+        assert with_index == without != {}
+
+
+def test_lists(spark):
+    df = spark.createDataFrame([("g", ["b", "a"], "x"), ("g", ["b"], "y"), ("h", None, None)], "g string, l array<string>, r string")
+    assert rows(reports.remarked(df, "g", "l", "r")) == [("g", ["a", "b"], "x,y"), ("h", [], "")]
+    assert rows(reports.pushed(spark.createDataFrame([("g", 1), ("g", 1)], "g string, v int"), "g", "v")) == [("g", [1, 1], 2, 2)]
+    assert rows(df.limit(1).select(staging.list_items(F.lit("['a', \"b\", 3]")).alias("x"))) == [(["a", "b", "3"],)]
+    found = references.lookup(df.select("g").distinct(), "g", spark.createDataFrame([("g", 2), ("g", 1)], "g string, v int"), "g", "rows")
+    assert {r.g: [x.v for x in r["rows"]] for r in found.collect()} == {"g": [1, 2], "h": []}
+
+
 def test_load(spark, tmp_path):
     df = spark.createDataFrame([("12x", "3.7", "Ja", "abcdef", "1-2-2003", {"a": "b"}, "extra")], "i string, d string, f string, s string, t string, m map<string,string>, more string")
     ddl = "i int, d double, f boolean, s varchar(3), t date, m string, absent int"
@@ -182,6 +207,17 @@ def test_exports(spark, tmp_path):
     assert rows(out, "table", "projectcd", "mdbfile", "bron", "data") == sorted([("PUT", "DC14", "db1", "Oud", {"PUT": "1", "OMSCHR": 'a, "b"\nc'}), ("PUT", "DC14", "db1", "Oud", {"PUT": "2"})], key=str)
 
 
+def test_exports_of_many_quoted_rows(spark, tmp_path):
+    folder = tmp_path / "DC14_Markt" / "db1"
+    folder.mkdir(parents=True)
+    (folder / "PUT.csv").write_text("PUT,OMSCHR\r\n" + "".join(f'{k},"rij ""{k}"", met\r\nvervolg"\r\n' for k in range(100_000)))
+    (folder / "VONDST.csv").write_text("NR\n1\n2\n")
+    out = staging.read_exports(spark, f"{tmp_path}/*/*/*.csv", "Oud", "2024-01-01 00:00:00")
+    told = out.where("table = 'PUT'").select(F.count("*"), F.countDistinct("_seq"), F.count_if(F.col("data")["OMSCHR"] == F.concat(F.lit('rij "'), F.col("data")["PUT"], F.lit('", met\nvervolg')))).first()
+    assert tuple(told) == (100_000, 100_000, 100_000)
+    assert out.select("_seq").distinct().count() == out.count() == 100_002
+
+
 def test_files(spark, tmp_path):
     for name in ("a/x.jpg", "a/x.tif", "a/y.tif", "b/z.exe", "b/w.PDF"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
