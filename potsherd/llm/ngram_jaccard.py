@@ -296,22 +296,33 @@ class Compared:
         return out
 
 
-def sets_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def lists_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     lists = table.column("tokens").combine_chunks()
     return lists.flatten().to_numpy().view(np.uint64), lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
 
 
-def verified(rows: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between nodes that connect what is connected within each group of (meet, node, tokens)."""
+def sets_of(texts: pa.ChunkedArray | pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``token_sets`` of any number of texts (not none), some at a time."""
+    sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+    parts = [token_sets(texts.slice(a, b - a).to_pylist(), n) for a, b in chars.batches(sizes, PIECE)]
+    return np.concatenate([t for t, _ in parts]), np.append(0, np.cumsum(np.concatenate([np.diff(b) for _, b in parts])))
+
+
+def verified(rows: DataFrame, n: int, similarity: float) -> DataFrame:
+    """(a, b): links between nodes that connect what is connected within each group of (meet, node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in grouped(batches, "meet"):
-            tokens, offsets = sets_of(table)
+            texts = table.column("text")
+            weights = np.add.reduceat(pc.binary_length(texts).to_numpy().astype(np.int64), bounds[:-1])
             found: list[tuple[int, int]] = []
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                if b - a > 1:
-                    own = tokens[offsets[a] : offsets[b]]
-                    found += [(a + x, a + y) for x, y in Compared(own, offsets[a:b] - offsets[a], similarity).forest()]
+            for i, j in chars.batches(weights, PIECE):
+                base = int(bounds[i])
+                tokens, offsets = sets_of(texts.slice(base, int(bounds[j]) - base), n)
+                for a, b in zip((bounds[i:j] - base).tolist(), (bounds[i + 1 : j + 1] - base).tolist(), strict=True):
+                    if b - a > 1:
+                        own = tokens[offsets[a] : offsets[b]]
+                        found += [(base + a + x, base + a + y) for x, y in Compared(own, offsets[a:b] - offsets[a], similarity).forest()]
             if found:
                 nodes, ends = table.column("node").combine_chunks(), np.array(found)
                 yield pa.RecordBatch.from_arrays([nodes.take(pa.array(ends[:, 0])), nodes.take(pa.array(ends[:, 1]))], ["a", "b"])
@@ -319,50 +330,44 @@ def verified(rows: DataFrame, similarity: float) -> DataFrame:
     return sorted_by(rows, "meet").mapInArrow(thrifty(run), "a binary, b binary")
 
 
-def with_tokens(docs: DataFrame, reps: DataFrame, nodes: DataFrame, n: int, scratch: Scratch) -> DataFrame:
-    """(node, tokens) of some nodes, each from the text that stands for it."""
+def with_texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, text) of some nodes, each with the text that stands for it.
+
+    Sets travel as texts, which compress to about half of their tokens, and are taken from them where they are compared.
+    """
     picks = scratch.keep(reps.join(joinable(nodes), "node", "left_semi").select("node", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key")))
     same = docs.doc_id.eqNullSafe(picks.own_id) & (docs.text_key == picks.own_key)
-    read = docs.join(joinable(picks), same).select("node", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in pieces(batch):
-                part = batch.slice(a, b - a)
-                tokens, bounds = token_sets(part.column("text").to_pylist(), n)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("node"), lists], ["node", "tokens"])
-
-    out = scratch.keep(read.mapInArrow(thrifty(run), "node binary, tokens array<long>"))
+    out = scratch.keep(docs.join(joinable(picks), same).select("node", "text"))
     # rows that repeat both id and text give their node more than once
     return out if out.count() == picks.count() else scratch.keep(out.dropDuplicates(["node"]))
 
 
-def split_again(large: DataFrame, tokens: DataFrame, branch: float, similarity: float) -> DataFrame:
+def split_again(large: DataFrame, texts: DataFrame, n: int, branch: float, similarity: float) -> DataFrame:
     """(path, node, size, s0, s1) of the buckets below the large ones: each set samples tokens by a hash of its bucket's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            sets, offsets = sets_of(table)
-            limit = rate(np.diff(offsets), branch, similarity)
-            paths: list[np.ndarray] = []
-            owner: list[np.ndarray] = []
-            for k, above in enumerate(batch.column("paths").to_pylist()):
-                own = sets[offsets[k] : offsets[k + 1]]
-                for path in np.array(above, np.int64).view(np.uint64):
-                    hashes = chars.mix(own ^ path)
-                    paths.append(chars.mix(hashes[hashes <= limit[k]] ^ (path * np.uint64(chars.BASE))))
-                    owner.append(np.full(len(paths[-1]), k))
-            if paths:
-                take = pa.array(np.concatenate(owner))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(paths).view(np.int64)), *[batch.column(c).take(take) for c in ("node", "size", "s0", "s1")]],
-                    ["path", "node", "size", "s0", "s1"],
-                )
+            for a, b in pieces(batch):
+                part = batch.slice(a, b - a)
+                sets, offsets = token_sets(part.column("text").to_pylist(), n)
+                limit = rate(np.diff(offsets), branch, similarity)
+                paths: list[np.ndarray] = []
+                owner: list[np.ndarray] = []
+                for k, above in enumerate(part.column("paths").to_pylist()):
+                    own = sets[offsets[k] : offsets[k + 1]]
+                    for path in np.array(above, np.int64).view(np.uint64):
+                        hashes = chars.mix(own ^ path)
+                        paths.append(chars.mix(hashes[hashes <= limit[k]] ^ (path * np.uint64(chars.BASE))))
+                        owner.append(np.full(len(paths[-1]), k))
+                if paths:
+                    take = pa.array(np.concatenate(owner))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(paths).view(np.int64)), *[part.column(c).take(take) for c in ("node", "size", "s0", "s1")]],
+                        ["path", "node", "size", "s0", "s1"],
+                    )
 
     by_node = large.groupBy("node").agg(F.collect_set("path").alias("paths"), F.first("size").alias("size"), F.first("s0").alias("s0"), F.first("s1").alias("s1"))
-    return by_node.join(tokens, "node").mapInArrow(thrifty(run), "path long, node binary, size int, s0 long, s1 long")
+    return by_node.join(texts, "node").mapInArrow(thrifty(run), "path long, node binary, size int, s0 long, s1 long")
 
 
 def tiled(large: DataFrame, counts: DataFrame) -> DataFrame:
@@ -377,7 +382,7 @@ def tiled(large: DataFrame, counts: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> DataFrame:
     """(meet, node) of all small buckets, those of split ones included."""
     rows = reps.where("size > 0").select(F.explode("paths").alias("path"), "node", "size", "s0", "s1")
-    tokens, found = None, []
+    texts, found = None, []
     for level in range(depth + 1):
         counts = scratch.keep(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf))
         if counts.isEmpty():
@@ -390,9 +395,9 @@ def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, bran
         if level == depth:
             found.append(scratch.keep(plausible(tiled(large, counts), similarity)))
             break
-        if tokens is None:  # the sets of deeper buckets are among these
-            tokens = with_tokens(docs, reps, large.select("node").distinct(), n, scratch)
-        rows = scratch.keep(split_again(large, tokens, branch, similarity))
+        if texts is None:  # the sets of deeper buckets are among these
+            texts = with_texts(docs, reps, large.select("node").distinct(), scratch)
+        rows = scratch.keep(split_again(large, texts, n, branch, similarity))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -423,29 +428,35 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
 
 
-def differences(classes: DataFrame, tokens: DataFrame) -> DataFrame:
+def differences(classes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(root, node, base, lost, tokens): how each set differs from its class's root, a set of ``base`` tokens, of which it lacks ``lost``.
 
     Near copies differ in few tokens, so these lists are short whatever the texts' length. Two sets share ``base`` less
     what either lacks, and what both lists of differences hold.
     """
-    heads = classes.where("node = root").select(F.col("node").alias("head")).join(tokens.withColumnRenamed("tokens", "whole"), F.col("head") == F.col("node")).select("head", "whole")
-    both = classes.join(tokens, "node").join(heads, F.col("root") == F.col("head")).select("root", "node", "tokens", "whole")
+    heads = classes.where("node = root").select(F.col("node").alias("head")).join(texts.withColumnRenamed("text", "whole"), F.col("head") == F.col("node")).select("head", "whole")
+    both = classes.join(texts, "node").join(heads, F.col("root") == F.col("head")).select("root", "node", "text", "whole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, wholes = batch.column("tokens"), batch.column("whole")
-            left = [np.setxor1d(own[k].values, wholes[k].values, assume_unique=True) for k in range(batch.num_rows)]
-            base, sizes, apart = pc.list_value_length(wholes).to_numpy(), pc.list_value_length(own).to_numpy(), np.fromiter(map(len, left), np.int64, len(left))
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(apart)].astype(np.int32)), pa.array(np.concatenate([*left, np.empty(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("node"), pa.array(base), pa.array((base - sizes + apart) // 2).cast(pa.int32()), lists], ["root", "node", "base", "lost", "tokens"])
+            for a, b in pieces(batch):
+                part = batch.slice(a, b - a)
+                own, ends = token_sets(part.column("text").to_pylist(), n)
+                roots = part.column("root").dictionary_encode()
+                at = roots.indices.to_numpy()
+                wholes, edges = sets_of(part.column("whole").take(pa.array(np.unique(at, return_index=True)[1])), n)
+                left = [np.setxor1d(own[ends[k] : ends[k + 1]], wholes[edges[r] : edges[r + 1]], assume_unique=True) for k, r in enumerate(at.tolist())]
+                base, sizes, apart = np.diff(edges)[at], np.diff(ends), np.fromiter(map(len, left), np.int64, len(left))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(apart)).astype(np.int32)), pa.array(np.concatenate(left).view(np.int64)))
+                lost = (base - sizes + apart) // 2
+                yield pa.RecordBatch.from_arrays([part.column("root"), part.column("node"), pa.array(base.astype(np.int32)), pa.array(lost.astype(np.int32)), lists], ["root", "node", "base", "lost", "tokens"])
 
     return both.mapInArrow(thrifty(run), "root binary, node binary, base int, lost int, tokens array<long>")
 
 
-def count_links(classes: DataFrame, tokens: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+def count_links(classes: DataFrame, texts: DataFrame, n: int, similarity: float, scratch: Scratch) -> DataFrame:
     """(node, links): the linked nodes of each node, counted within its class; large classes are dealt into tiles of their differences."""
-    apart = scratch.keep(differences(classes, tokens))
+    apart = scratch.keep(differences(classes, texts, n))
     sizes = apart.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("tokens")).alias("total"))
     sizes = scratch.keep(sizes.select(F.col("root").alias("r"), F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_TOKENS)).cast("int").alias("many")))
     dealt = apart.join(joinable(sizes), F.col("root") == F.col("r")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
@@ -456,7 +467,7 @@ def count_links(classes: DataFrame, tokens: DataFrame, similarity: float, scratc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in grouped(batches, "meet"):
-            tokens, offsets = sets_of(table)
+            tokens, offsets = lists_of(table)
             sides, base, lost = (table.column(c).to_numpy() for c in ("side", "base", "lost"))
             counts = np.zeros(table.num_rows, np.int64)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -480,7 +491,7 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def connected(docs: DataFrame, n: int, similarity: float, recall: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Of (doc_id, text_key, text): its rows' nodes, the nodes, (node, tokens) of those that were compared, and (node, root) of those with links."""
+    """Of (doc_id, text_key, text): its rows' nodes, the nodes, (node, text) of those that were compared, and (node, root) of those with links."""
     told = scratch.keep(described(docs, n, similarity, branch, runs_for(recall, branch, depth)))
     smallest = F.min(ordered()).alias("best")
     same = [F.first(c).alias(c) for c in ("size", "s0", "s1", "paths")]  # equal for all rows of a node
@@ -488,9 +499,9 @@ def connected(docs: DataFrame, n: int, similarity: float, recall: float, branch:
     reps = scratch.keep(reps.select("node", "best.doc_id", "best.text_key", "copies", "size", "s0", "s1", "paths"))
 
     meets = candidates(docs, reps, n, similarity, branch, leaf, depth, scratch)
-    tokens = with_tokens(docs, reps, scratch.keep(meets.select("node").distinct()), n, scratch)
-    links = scratch.keep(verified(meets.join(tokens, "node"), similarity))
-    return told, reps, tokens, components(links, scratch)
+    texts = with_texts(docs, reps, scratch.keep(meets.select("node").distinct()), scratch)
+    links = scratch.keep(verified(meets.join(texts, "node"), n, similarity))
+    return told, reps, texts, components(links, scratch)
 
 
 def ordered() -> Column:
@@ -531,11 +542,11 @@ def annotate(
     columns play no part; no rows give none.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    told, reps, tokens, classes = connected(keyed(docs, text, doc_id), n, similarity, recall, branch, leaf, depth, scratch)
+    told, reps, texts, classes = connected(keyed(docs, text, doc_id), n, similarity, recall, branch, leaf, depth, scratch)
     known = scratch.keep(heads(reps, classes, scratch).withColumnRenamed("node", "known"))
     marked = told.select("doc_id", "text_key", "node", "size").join(joinable(known), (F.col("node") == F.col("known")) & (F.col("size") > 0), "left")
     if counted:
-        links = scratch.keep(count_links(classes, tokens, similarity, scratch)).select(F.col("node").alias("of"), "links")
+        links = scratch.keep(count_links(classes, texts, n, similarity, scratch)).select(F.col("node").alias("of"), "links")
         marked = marked.join(joinable(links), F.col("known") == F.col("of"), "left")
     alone = F.col("known").isNull()
     return marked.select(
