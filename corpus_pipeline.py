@@ -15,24 +15,31 @@ from potsherd.llm.common import Scratch, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the classifier predicts to be good; it learns from the labelled ones that aren't held out."""
+    """The documents that the classifier predicts to be good; it learns from the labelled ones that aren't held out.
+
+    Null and empty texts score 0, so they go. Equal texts, repeated rows among them, stay or go together.
+    """
     model = quality.learn(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return quality.keep_good(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: that of the smallest id, a null id last, repeated rows cut down to one."""
     return exact_dedup.drop_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: that of the smallest id, a null id last."""
     return ngram_jaccard.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item; null and empty items are held by nothing."""
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of 2048-token sequences that hold each token of each document once."""
     return packing.with_checksums(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
@@ -49,7 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of the packed sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """Pieces of the packed sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    Null and empty texts are dropped by the classifier, repeated rows leave one, and a row with a null doc_id is packed
+    under that null if its text stands nowhere else. Very long texts are read, compared and packed whole. Further columns,
+    whatever their names, travel along up to the packing and play no part. Without documents, or without any label of a
+    document to learn from, no document is good and there are no pieces; without a benchmark none is contaminated.
+    """
     scratch, docs = Scratch(spark), table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir))
