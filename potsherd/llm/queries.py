@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, ngram_jaccard, oracles, packing, quality, substring_dedup, warc
+from potsherd.llm import chat, decontamination, exact_dedup, license_scan, line_dedup, main_text, ngram_jaccard, oracles, packing, quality, spelling, substring_dedup, vector_codes, warc
 from potsherd.llm.common import table
 
 
@@ -57,6 +57,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_quality_classifier": op2_quality_classifier,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_main_text": op13_main_text,
 }
 
 ORACLES: dict[str, str] = {
@@ -99,4 +114,17 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, d.text_sha256
         FROM d JOIN g USING (text_sha256)
     """,
+    "op11_vector_codes": oracles.lloyd(),
+    "op12_spelling_variants": oracles.spelling(),
+    # the tables' articles stand in an element of that name
+    "op13_main_text": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+        b AS (SELECT page_id, url, list_transform(regexp_split_to_array(body, '</?(?:h1|p)>'), lambda x: regexp_replace(replace(x, '<br>', ' '), '</?b>', '', 'g')) AS blocks FROM a),
+        c AS (
+            SELECT page_id, url, list_transform(blocks, lambda x: trim(regexp_replace(
+                regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM b
+        ),
+        d AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM c)
+        SELECT page_id, url, text, length(text) AS n_chars FROM d
+    """,
 }
