@@ -5,18 +5,24 @@ from __future__ import annotations
 import tempfile
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` computed and written to the checkpoint folder that the session names; only a local session may do without one."""
-    context = df.sparkSession.sparkContext
+def checkpoints(spark: SparkSession) -> str:
+    """The checkpoint folder that the session names; only a local session may do without one."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        place = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        place = spark.conf.get("spark.checkpoint.dir", None)
         if not place and not context.master.startswith("local[") and context.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(place or tempfile.mkdtemp(prefix="potsherd-"))
+    return context.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed and written to the checkpoint folder."""
+    checkpoints(df.sparkSession)
     return df.checkpoint()
 
 

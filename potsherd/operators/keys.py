@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from potsherd.functions.values import text_of
+from potsherd.operators.hierarchy import written
+from potsherd.sources import versions
 
 
 @dataclass(frozen=True)
@@ -80,3 +82,41 @@ def with_surrogates(df: DataFrame, group: str = "soort", order: str = "_seq", ow
     place = F.col("_at") + F.col("_before") - 1 + start
     number = F.coalesce(F.col(own).cast("bigint"), place) if own else place
     return placed.withColumn("ID", number.cast("bigint")).select(*[c for c in df.columns if c != "ID"], "ID")
+
+
+#: New keys that are numbered in one task, nearly.
+RANGE = 1_000_000
+
+
+def with_registered(df: DataFrame, registry: str, run: int, group: str = "soort", key: str = "key", otherwise: str = "_id", start: int = 0) -> DataFrame:
+    """``df`` with ``ID`` from a registry of keys that lasts from run to run: known keys keep their number, new ones follow.
+
+    A row without a key is known by ``otherwise``. Rows of a key share its number. ``registry`` is a folder of versions;
+    ``run`` is the version that this run writes, and a run that comes again finds what it wrote. Only new keys are numbered:
+    they are dealt into ranges, each ordered by itself, and the ranges' sizes are summed up per group.
+    """
+    spark = df.sparkSession
+    known_by = F.when(F.col(key).isNotNull(), F.concat(F.lit("k"), F.col(key).cast("string"))).otherwise(F.concat(F.lit("i"), F.col(otherwise).cast("string")))
+    kind = f"`_group` {df.schema[group].dataType.simpleString()}, `_name` string, `ID` bigint"
+    told = versions.content(spark, registry, before=run) or {"runs": []}
+    known = spark.read.schema(kind).parquet(*[f"{registry}/data/{r}" for r in told["runs"]]) if told["runs"] else spark.createDataFrame([], kind)
+    if versions.content(spark, registry, run) is None:
+        asked = df.select(F.col(group).alias("_group"), known_by.alias("_name")).where("_name IS NOT NULL").distinct()
+        same = lambda a, b: a["_group"].eqNullSafe(b["_group"]) & (a["_name"] == b["_name"])
+        new = written(asked.join(known, same(asked, known), "left_anti"))
+        ranges = max(1, -(-new.count() // RANGE))
+        dealt = new.withColumn("_range", F.pmod(F.xxhash64("_name"), F.lit(ranges)))
+        sizes = dealt.groupBy("_group", "_range").agg(F.count(F.lit(1)).alias("_n"))
+        before = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        last = known.groupBy(F.col("_group").alias("_g")).agg(F.max("ID").alias("_last"))
+        first = F.coalesce(F.col("_last") + 1, F.lit(start)) + F.coalesce(F.sum("_n").over(before), F.lit(0))
+        begin = sizes.join(last, F.col("_group").eqNullSafe(F.col("_g")), "left").select(F.col("_group").alias("_g"), F.col("_range").alias("_r"), first.alias("_first"))
+        placed = dealt.withColumn("_at", F.row_number().over(Window.partitionBy("_group", "_range").orderBy("_name")))
+        numbered = placed.join(begin, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r"))).select("_group", "_name", (F.col("_first") + F.col("_at") - 1).alias("ID"))
+        numbered.write.mode("overwrite").parquet(f"{registry}/data/{run}")
+        versions.commit(spark, registry, run, {"runs": [*told["runs"], run]})
+    runs = versions.content(spark, registry, run)["runs"]
+    entries = spark.read.schema(kind).parquet(*[f"{registry}/data/{r}" for r in runs])
+    named = df.drop("ID").withColumn("_asked", known_by)
+    met = named.join(entries, named[group].eqNullSafe(entries["_group"]) & (named["_asked"] == entries["_name"]), "left")
+    return met.select(*[c for c in df.columns if c != "ID"], "ID")

@@ -26,11 +26,17 @@ def terms(text: Column) -> Column:
 
 
 def postings(df: DataFrame, pk: str, fields: list[str], table: str = "") -> DataFrame:
-    """(tbl, pk, field, term, tf, size): one row for each term of each field; size is the number of terms of the field."""
+    """(tbl, pk, field, term, tf, size, places): one row for each term of each field; size is the number of terms of the field, places are where this one stands, from 0 on."""
     each = F.explode(F.array(*[F.struct(F.lit(f.lower()).alias("field"), terms(F.col(f)).alias("terms")) for f in fields]))
-    read = df.select(F.col(pk).alias("pk"), each.alias("f")).select("pk", "f.field", F.size("f.terms").cast("bigint").alias("size"), F.explode("f.terms").alias("term"))
-    counted = read.groupBy("pk", "field", "term", "size").agg(F.count(F.lit(1)).alias("tf"))
-    return counted.select(F.lit(table).alias("tbl"), "pk", "field", "term", "tf", "size")
+    read = df.select(F.col(pk).alias("pk"), each.alias("f")).select("pk", "f.field", F.size("f.terms").cast("bigint").alias("size"), F.posexplode("f.terms").alias("place", "term"))
+    counted = read.groupBy("pk", "field", "term", "size").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
+    return counted.select(F.lit(table).alias("tbl"), "pk", "field", "term", "tf", "size", "places")
+
+
+def lengths(df: DataFrame, pk: str, fields: list[str], table: str = "") -> DataFrame:
+    """(tbl, pk, field, size): the number of terms of each field that has any."""
+    each = F.explode(F.array(*[F.struct(F.lit(f.lower()).alias("field"), F.size(terms(F.col(f))).cast("bigint").alias("size")) for f in fields]))
+    return df.select(F.lit(table).alias("tbl"), F.col(pk).alias("pk"), each.alias("f")).select("tbl", "pk", "f.field", "f.size").where("size > 0")
 
 
 @dataclass(frozen=True)
@@ -89,50 +95,88 @@ def wanted_by(parts: list[Part], term: Column, field: Column | None = None) -> C
     return reduce(lambda a, b: a | b, [part_fits(term, p, field) for p in parts], F.lit(False))
 
 
-def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: float = K1, b: float = B, loose: bool = False) -> DataFrame:
-    """(pk, score) of the rows that fit, phrases by their words. The score is the sum of BM25 over the terms of the query.
+def phrase_name(k: int) -> str:
+    """Part ``k``, a phrase, among the terms; no term has a number sign."""
+    return f"#{k}"
+
+
+def phrases_of(parts: list[Part]) -> dict[int, Part]:
+    return {k: p for k, p in enumerate(parts) if len(p.words) > 1}
+
+
+def ranked(index: DataFrame, query: str, fields: list[str] | None = None, k1: float = K1, b: float = B, sizes: DataFrame | None = None) -> DataFrame:
+    """(pk, score) of the rows that fit: the sum of BM25 over the terms and phrases of the query.
 
-    A row's length and the mean length are those of the searched fields together.
+    A row's length and the mean length are those of the searched fields together; ``sizes`` has them as ``lengths`` does,
+    so that only the terms asked for are read of the index. A phrase counts where its words stand one after the other in
+    one field, as often as they do; its rarity is the sum of its words'. Words of a phrase don't count by themselves.
     """
     parts = parse(query)
-    scope = index.where(F.col("field").isin(*[f.lower() for f in fields])) if fields else index
+    scoped = lambda df: df.where(F.col("field").isin(*[f.lower() for f in fields])) if fields else df
     if not parts:
         return index.sparkSession.createDataFrame([], f"pk {dict(index.dtypes)['pk']}, score double")
-    sizes = scope.groupBy("pk", "field").agg(F.max("size").alias("size")).groupBy("pk").agg(F.sum("size").alias("size"))
-    return scored(scope.where(wanted_by(parts, F.col("term"))), sizes, sizes, parts, k1, b, loose)
+    scope = scoped(index)
+    each = scoped(sizes) if sizes is not None else scope.groupBy("pk", "field").agg(F.max("size").alias("size"))
+    total = each.groupBy("pk").agg(F.sum("size").alias("size"))
+    met = scope.where(wanted_by(parts, F.col("term")))
+    hits = met.select("pk", "field", "term", "tf")
+    for k, p in phrases_of(parts).items():
+        hits = hits.unionByName(adjacent(met, p).withColumn("term", F.lit(phrase_name(k))))
+    return scored(hits, total, total, parts, k1, b)
+
+
+def adjacent(met: DataFrame, part: Part) -> DataFrame:
+    """(pk, field, tf): how often the words of a phrase stand one after the other, from the places of its words."""
+    spots = [F.array_distinct(F.flatten(F.collect_list(F.when(word_fits(F.col("term"), w), F.col("places"))))).alias(f"w{j}") for j, w in enumerate(part.words)]
+    rows = met.where(part_fits(F.col("term"), part)).groupBy("pk", "field").agg(*spots)
+    follows = lambda at: reduce(lambda a, b: a & b, [F.array_contains(f"w{j}", at + j) for j in range(1, len(part.words))])
+    return rows.select("pk", "field", F.size(F.filter("w0", follows)).cast("bigint").alias("tf")).where("tf > 0")
+
+
+def hit(field: Column, term: Column, tf: Column) -> Column:
+    return F.struct(field.alias("field"), term.alias("term"), tf.cast("bigint").alias("tf"))
+
+
+def phrase_hits(k: int, part: Part) -> Column:
+    """Hits of a phrase in the fields of a row, ``told``."""
 
+    def times(t: Column) -> Column:
+        stands = lambda w, at: reduce(lambda a, b: a & b, [word_fits(F.coalesce(F.get(t.terms, at + j), F.lit("")), x) for j, x in enumerate(part.words)])
+        return F.size(F.filter(t.terms, stands))
 
-def ranked_rows(df: DataFrame, pk: str, fields: list[str], query: str, k1: float = K1, b: float = B, loose: bool = False) -> DataFrame:
-    """The same as ``ranked`` of the rows' postings, without an index: only the words that the query asks for leave their row."""
+    asked = F.filter("told", lambda t: t.field == part.field) if part.field else F.col("told")
+    return F.filter(F.transform(asked, lambda t: hit(t.field, F.lit(phrase_name(k)), times(t))), lambda h: h.tf > 0)
+
+
+def ranked_rows(df: DataFrame, pk: str, fields: list[str], query: str, k1: float = K1, b: float = B) -> DataFrame:
+    """The same as ``ranked`` of the rows' postings, without an index: only the words and phrases that the query asks for leave their row."""
     parts = parse(query)
     if not parts:
         return df.sparkSession.createDataFrame([], f"pk {dict(df.dtypes)[pk]}, score double")
     told = F.array(*[F.struct(F.lit(f.lower()).alias("field"), terms(F.col(f)).alias("terms")) for f in fields])
     read = df.select(F.col(pk).alias("pk"), told.alias("told"))
     size = F.aggregate("told", F.lit(0).cast("bigint"), lambda n, t: n + F.size(t.terms))
-    asked = F.flatten(F.transform("told", lambda t: F.transform(F.filter(t.terms, lambda w: wanted_by(parts, w, t.field)), lambda w: F.struct(t.field.alias("field"), w.alias("term")))))
-    each = read.select("pk", size.alias("size"), F.explode(asked).alias("a")).select("pk", "size", "a.field", "a.term")
-    hits = each.groupBy("pk", "field", "term", "size").agg(F.count(F.lit(1)).alias("tf"))
-    lengths = read.select("pk", size.alias("size")).where("size > 0")
-    return scored(hits, hits.select("pk", "size").distinct(), lengths, parts, k1, b, loose)
-
-
-def scored(hits: DataFrame, sizes: DataFrame, lengths: DataFrame, parts: list[Part], k1: float, b: float, loose: bool) -> DataFrame:
-    """(pk, score) of the hits (pk, field, term, tf) that fit the query; ``sizes`` are the lengths of their rows, ``lengths`` those of all. ``loose``: banned phrases are left to the caller."""
+    asked = F.flatten(F.transform("told", lambda t: F.transform(F.filter(t.terms, lambda w: wanted_by(parts, w, t.field)), lambda w: hit(t.field, w, F.lit(1)))))
+    lists = [asked]
+    for k, p in phrases_of(parts).items():
+        lists.append(phrase_hits(k, p))
+    each = read.select("pk", size.alias("size"), F.explode(F.concat(*lists)).alias("a")).select("pk", "size", "a.field", "a.term", "a.tf")
+    hits = each.groupBy("pk", "field", "term", "size").agg(F.sum("tf").alias("tf"))
+    return scored(hits, hits.select("pk", "size").distinct(), read.select("pk", size.alias("size")).where("size > 0"), parts, k1, b)
+
+
+def scored(hits: DataFrame, sizes: DataFrame, lengths: DataFrame, parts: list[Part], k1: float, b: float) -> DataFrame:
+    """(pk, score) of the hits (pk, field, term, tf; phrases among the terms) that fit the query; ``sizes`` are the lengths of their rows, ``lengths`` those of all."""
+    phrases = phrases_of(parts)
     total = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"))  # one row
-    flags = {f"p{k}": F.max(part_fits(F.col("term"), p)) for k, p in enumerate(parts)}
-    words = {f"w{k}_{j}": F.max(word_fits(F.col("term"), w) & ((F.col("field") == p.field) if p.field else F.lit(True))) for k, p in enumerate(parts) if len(p.words) > 1 for j, w in enumerate(p.words)}
+    there = lambda k, p: F.col("term") == phrase_name(k) if k in phrases else part_fits(F.col("term"), p)
+    flags = {f"p{k}": F.max(there(k, p)) for k, p in enumerate(parts)}
+    words = {f"w{k}_{j}": F.max(part_fits(F.col("term"), Part((w,), p.field))) for k, p in phrases.items() for j, w in enumerate(p.words)}
     found = hits.groupBy("pk").agg(*[f.alias(n) for n, f in (flags | words).items()])
-    for k, p in enumerate(parts):
-        if len(p.words) > 1:
-            every = F.lit(True)
-            for j in range(len(p.words)):
-                every = every & F.col(f"w{k}_{j}")
-            found = found.withColumn(f"p{k}", every)
     keep, optional = F.lit(True), F.lit(False)
     for k, p in enumerate(parts):
         if p.banned:
-            keep = keep if loose and len(p.words) > 1 else keep & ~F.col(f"p{k}")
+            keep = keep & ~F.col(f"p{k}")
         elif p.must:
             keep = keep & F.col(f"p{k}")
         else:
@@ -140,32 +184,22 @@ def scored(hits: DataFrame, sizes: DataFrame, lengths: DataFrame, parts: list[Pa
     if not any(p.must for p in parts):
         keep = keep & optional
     rows = found.where(keep).select("pk")
-    told = hits.where(wanted_by([p for p in parts if not p.banned], F.col("term"))).groupBy("pk", "term").agg(F.sum("tf").alias("tf"))
+    counting = reduce(lambda a, b: a | b, [there(k, p) for k, p in enumerate(parts) if not p.banned], F.lit(False))
+    told = hits.where(counting).groupBy("pk", "term").agg(F.sum("tf").alias("tf"))
     in_rows = told.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     exact = not any(re.search(r"[*?]", w) for p in parts for w in p.words)
     told = told.join(F.broadcast(in_rows) if exact else in_rows, "term")  # without wildcards there are no more terms than words in the query
     joined = told.join(rows, "pk", "left_semi").join(sizes, "pk").crossJoin(F.broadcast(total))
-    rarity = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    rare = lambda df: F.ln(1 + (F.col("n") - df + 0.5) / (df + 0.5))
+    rarity = rare(F.col("df"))
+    if words:
+        joined = joined.crossJoin(F.broadcast(found.agg(*[F.count_if(w).alias(f"d{w[1:]}") for w in words])))  # one row
+        for k, p in phrases.items():
+            rarity = F.when(F.col("term") == phrase_name(k), reduce(lambda a, c: a + c, [rare(F.col(f"d{k}_{j}")) for j in range(len(p.words))])).otherwise(rarity)
     weight = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("size") / F.col("mean")))
     return joined.groupBy("pk").agg(F.sum(rarity * weight).alias("score"))
 
 
-def phrase_fits(text: Column, words: tuple[str, ...]) -> Column:
-    """Whether the words stand one after the other."""
-    return F.concat(F.lit(" "), F.array_join(terms(text), " "), F.lit(" ")).rlike(" " + " ".join(r"[^ ]*".join(re.escape(x) for x in w.split("*")).replace(r"\?", "[^ ]") for w in words) + " ")
-
-
-def query_fits(fields: list[str], parts: list[Part]) -> Column:
-    """Whether a row fits a query, phrases by words that stand one after the other."""
-
-    def there(p: Part) -> Column:
-        return reduce(lambda a, b: a | b, [phrase_fits(F.col(f), p.words) for f in fields if p.field in (None, f.lower())], F.lit(False))
-
-    banned, must, other = ([there(p) for p in parts if t(p)] for t in (lambda p: p.banned, lambda p: p.must and not p.banned, lambda p: not p.must and not p.banned))
-    fits = reduce(lambda a, b: a & b, [*[~x for x in banned], *must], F.lit(True))
-    return fits if must or not other else fits & reduce(lambda a, b: a | b, other)
-
-
 def highlighted(text: Column, query: str) -> Column:
     """The text with ``<mark>`` around the words of the query."""
     words = [w for p in parse(query) if not p.banned for w in p.words]
@@ -175,18 +209,16 @@ def highlighted(text: Column, query: str) -> Column:
     return F.regexp_replace(text, rf"(?iu)(?<![\p{{L}}\p{{N}}])({shapes})(?![\p{{L}}\p{{N}}])", "<mark>$1</mark>")
 
 
-def search(df: DataFrame, pk: str, query: str, fields: list[str] | None = None, kind: Column | None = None, limit: int | None = HITS, index: DataFrame | None = None) -> DataFrame:
+def search(df: DataFrame, pk: str, query: str, fields: list[str] | None = None, kind: Column | None = None, limit: int | None = HITS, index: DataFrame | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """The best ``limit`` rows of ``df`` (all that fit without one), best first, with ``fulltext_score`` and ``highlight``. ``kind`` limits the rows before they are ranked."""
     rows = df.where(kind) if kind is not None else df
     read = fields or searchable(rows)
-    hits = ranked(index, query, fields, loose=True) if index is not None else ranked_rows(rows, pk, read, query, loose=True)
+    hits = ranked(index, query, fields, sizes=sizes) if index is not None else ranked_rows(rows, pk, read, query)
     joined = rows.join(hits, F.col(pk) == F.col("pk")).drop("pk") if pk != "pk" else rows.join(hits, "pk")
-    parts = parse(query)
-    if any(len(p.words) > 1 for p in parts):
-        joined = joined.where(query_fits(read, parts))
     best = joined.withColumnRenamed("score", "fulltext_score").orderBy(F.desc("fulltext_score"), pk)
     best = best if limit is None else best.limit(limit)
-    return best.withColumn("highlight", F.concat_ws(" … ", *[F.when(highlighted(F.col(f), query) != F.col(f), highlighted(F.col(f), query)) for f in read]))
+    marked = F.filter(F.array(*[highlighted(F.col(f), query) for f in read]), lambda x: F.contains(x, F.lit("<mark>")))
+    return best.withColumn("highlight", F.array_join(marked, " … "))
 
 
 def without(index: DataFrame, keys: DataFrame, table: str = "") -> DataFrame:

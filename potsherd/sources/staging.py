@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.functions.values import title_case
+from potsherd.sources import csv_ranges
 
 #: Extensions of the files that are read as pictures, drawings or reports.
 EXTENSIONS = (".jpg", ".jpeg", ".png", ".gif", ".tif", ".tiff", ".bmp", ".pdf", ".doc", ".docx")
@@ -28,33 +29,26 @@ def read_exports(spark: SparkSession, pattern: str, bron: str, loadtime: str, le
     """Rows of CSV files ``<project folder>/<database>/<table>.csv`` of any shape, one staging row each.
 
     Columns: _id, _seq, table, projectcd, bron, loadtime, mdbfile, data (map<string,string> without blank values). Files with
-    fewer than ``least_rows`` rows are left out. Each file is read as one record, so its header applies to its own rows and
-    values may hold line breaks in quotes; a file is one table of an office database, whose own format ends at 2 GB.
+    fewer than ``least_rows`` rows are left out. A file's header applies to its own rows; names that it repeats get a number
+    (``a``, ``a_2``). Values may hold line breaks in quotes, and a large file is read by many tasks (see ``csv_ranges``).
+    Values beyond the header are left out, missing ones are null; a mark of the byte order before a header is no part of it.
     """
-    read = spark.read.text(pattern, wholetext=True).select(source_path().alias("path"), guarded(F.replace("value", F.lit("\r\n"), F.lit("\n"))).alias("value"))
-    lines = F.filter(F.split("value", "\n", -1), lambda x: F.trim(x) != "")
-    # the header alone goes with each row, not the file
-    cut = read.select("path", lines.alias("lines")).select("path", F.get("lines", F.lit(0)).alias("header"), F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))).alias("rows"))
-    each = cut.where(F.size("rows") >= least_rows).select("path", "header", F.posexplode("rows").alias("at", "row")).withColumn("names", fields(F.col("header")))
+    read = csv_ranges.records(spark, pattern).where(F.col("n") > least_rows)
+    clean = guarded(F.rtrim(F.replace("text", F.lit("\r\n"), F.lit("\n")), F.lit("\r")))
+    heads = read.where("at = 0").select(F.col("path").alias("_of"), csv_ranges.numbered_names(fields(F.regexp_replace(clean, "^\ufeff", ""))).alias("names"))
+    each = read.where("at > 0").select("path", "file", "at", clean.alias("row")).join(heads, F.col("path") == F.col("_of"))
     project, database, table = file_parts(F.col("path"))
-    values = fields(F.col("row"))
-    pairs = F.filter(F.arrays_zip(F.col("names").alias("n"), values.alias("v")), lambda p: p.n.isNotNull() & (F.coalesce(F.trim(p.v), F.lit("")) != ""))
-    entries = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p.n, p.v)))
-    rows = each.select(
-        F.sha2(F.concat_ws("|", "path", F.col("at").cast("string")), 256).alias("_id"),
-        F.col("path").alias("_path"),
-        F.col("at").cast("bigint").alias("_at"),
+    pairs = F.filter(F.arrays_zip(F.col("names").alias("n"), fields(F.col("row")).alias("v")), lambda p: p.n.isNotNull() & (F.coalesce(F.trim(p.v), F.lit("")) != ""))
+    return each.select(
+        F.sha2(F.concat_ws("|", "path", (F.col("at") - 1).cast("string")), 256).alias("_id"),
+        (F.col("file") * F.lit(1 << 31) + F.col("at") - 1).alias("_seq"),
         table.alias("table"),
         project.alias("projectcd"),
         F.lit(bron).alias("bron"),
         F.lit(loadtime).cast("timestamp").alias("loadtime"),
         database.alias("mdbfile"),
-        entries.alias("data"),
+        F.map_from_entries(F.transform(pairs, lambda p: F.struct(p.n, p.v))).alias("data"),
     )
-    # files are numbered by their names: a listing is far smaller than what it lists
-    files = read.select("path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("path")).cast("bigint")).withColumnRenamed("path", "_of")
-    numbered = rows.join(files, F.col("_path") == F.col("_of")).withColumn("_seq", F.col("_file") * F.lit(1 << 31) + F.col("_at"))
-    return numbered.select("_id", "_seq", "table", "projectcd", "bron", "loadtime", "mdbfile", "data")
 
 
 #: Stand for commas and line breaks within quotes; private characters that exports don't hold.

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from potsherd.operators import search, writes
+from potsherd.operators import segments
+from potsherd.sources import buckets
 
 
 def file_queue(spark: SparkSession, folder: str, per_batch: int = 1000) -> DataFrame:
@@ -33,35 +34,23 @@ def counts(stream: DataFrame, by: list[str], time: str | None = None, window: st
     return timed.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
 
 
-def follow_changes(changes: DataFrame, table: str, keys: list[str], checkpoint: str, order: str) -> StreamingQuery:
-    """Upsert a stream of changed rows into a table of versions: batch n writes ``table/v=n``, which a rerun writes again."""
+def follow_changes(changes: DataFrame, table: str, keys: list[str], checkpoint: str, order: str, deleted: str | None = None, by: list[str] | None = None) -> StreamingQuery:
+    """Upsert a stream of changed rows into a table of buckets (``buckets.read``, ``buckets.counts``): batch n is version n, which comes into being once."""
 
     def upsert(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        older = latest_version(spark, table, before=n)
-        new = batch if older is None else writes.upsert(older, batch.drop("_none"), keys, order)
-        new.write.mode("overwrite").parquet(f"{table}/v={n}")
+        kept = batch.persist()
+        try:
+            buckets.apply(kept, table, keys, order, n, deleted, by)
+        finally:
+            kept.unpersist()
 
     return changes.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest_version(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
-    """The table's last version, or its last one before version ``before``; null if there is none."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(table)
-    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(where):
-        return None
-    found = [int(s.getPath().getName()[2:]) for s in files.listStatus(where) if s.getPath().getName().startswith("v=") and files.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    older = [n for n in found if before is None or n < before]
-    return spark.read.parquet(f"{table}/v={max(older)}") if older else None
-
-
-def follow_index(changes: DataFrame, index: str, pk: str, fields: list[str], checkpoint: str, table: str = "") -> StreamingQuery:
-    """Keep postings current as rows change: each batch replaces the postings of its rows."""
+def follow_index(changes: DataFrame, index: str, pk: str, fields: list[str], checkpoint: str, table: str = "", deleted: str | None = None) -> StreamingQuery:
+    """Keep an index of segments current as rows change: batch n is version n, and writes what it changes."""
 
     def reindex(batch: DataFrame, n: int) -> None:
-        older = latest_version(batch.sparkSession, index, before=n)
-        new = search.postings(batch, pk, fields, table) if older is None else search.reindexed(older, batch, pk, fields, table)
-        new.write.mode("overwrite").parquet(f"{index}/v={n}")
+        segments.apply(batch, index, pk, fields, n, table, deleted)
 
     return changes.writeStream.foreachBatch(reindex).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

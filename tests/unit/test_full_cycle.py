@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from potsherd.operators import segments
 from potsherd.operators.harmonise import Entity
 from potsherd.plans import full_cycle, model
+from potsherd.sources import buckets
 from potsherd.streaming import changes
 
 ENTITIES = [
@@ -84,8 +86,8 @@ def test_streams(spark, tmp_path):
     follow(), index()
     (new / "2.json").write_text('{"k":"a","text":"kom","at":3}\n')
     follow(), index()
-    assert sorted((r.k, r.text) for r in changes.latest_version(spark, f"{tmp_path}/t").collect()) == [("a", "kom"), ("b", "pot")]
-    assert sorted((r.pk, r.term) for r in changes.latest_version(spark, f"{tmp_path}/x").collect()) == [("a", "kom"), ("b", "pot")]
+    assert sorted((r.k, r.text) for r in buckets.read(spark, f"{tmp_path}/t").collect()) == [("a", "kom"), ("b", "pot")]
+    assert sorted((r.pk, r.term) for r in segments.postings(spark, f"{tmp_path}/x").collect()) == [("a", "kom"), ("b", "pot")]
     counted = changes.counts(spark.readStream.schema(schema).json(str(new)), ["k"])
     counted.writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
     assert sorted((r.k, r.n) for r in spark.table("counted").collect()) == [("a", 2), ("b", 1)]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +221,39 @@ def test_exports_of_many_quoted_rows(spark, tmp_path):
     assert out.select("_seq").distinct().count() == out.count() == 100_002
 
 
+@pytest.mark.parametrize("size", [37, 1000, 10**8])
+def test_exports_in_ranges_equal_a_plain_reader(spark, tmp_path, size):
+    rng = random.Random(size)
+    pieces = ['a', 'é,', '"', "\n", "\r\n", "x y", "", ", ", "😀", "''", "\n\n"]
+    told = {}
+    for name in ("A", "B", "C", "D"):
+        (tmp_path / f"DC1_x/{name}").mkdir(parents=True)
+        lines = [["n", "n", "tekst", "n_2", "n"]] + [[str(k), rng.choice(["", "p"]), "".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))), "q", "r"] for k in range(150 if name != "D" else 2)]
+        with (tmp_path / f"DC1_x/{name}/T.csv").open("w", newline="", encoding="utf-8-sig" if name == "B" else "utf-8") as f:
+            csv.writer(f, lineterminator="\r\n" if name == "C" else "\n\n" if name == "A" else "\n").writerows(lines)
+        names = ["n", "n_2", "tekst", "n_2_2", "n_3"]
+        told[name] = [{k: v.replace("\r\n", "\n") for k, v in zip(names, line, strict=True) if v.strip(" ")} for line in lines[1:]]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        out = staging.read_exports(spark, f"{tmp_path}/*/*/*.csv", "Oud", "2024-01-01 00:00:00")
+        got = {name: [r.data for r in out.where(F.col("mdbfile") == name).orderBy("_seq").collect()] for name in told}
+        ids = out.agg(F.countDistinct("_id"), F.countDistinct("_seq"), F.count("*")).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == told
+    assert set(ids) == {452}
+
+
+def test_exports_with_open_quotes_bytes_and_no_rows(spark, tmp_path):
+    (tmp_path / "DC1_x/d").mkdir(parents=True)
+    (tmp_path / "DC1_x/d/A.csv").write_bytes(b'a,b\n1,"open\n2,x\n')
+    (tmp_path / "DC1_x/d/B.csv").write_bytes(b"a,b\n1,caf\xe9\n2,x,y\n\n3\n")
+    (tmp_path / "DC1_x/d/C.csv").write_bytes(b"\n\n")
+    (tmp_path / "DC1_x/d/D.csv").write_bytes(b"")
+    out = staging.read_exports(spark, f"{tmp_path}/*/*/*.csv", "Oud", "2024-01-01 00:00:00", least_rows=1)
+    assert rows(out, "table", "data") == sorted([("A", {"a": "1", "b": '"open\n2,x\n'.strip("\n")}), ("B", {"a": "1", "b": "caf\ufffd"}), ("B", {"a": "2", "b": "x"}), ("B", {"a": "3"})], key=str)
+
+
 def test_files(spark, tmp_path):
     for name in ("a/x.jpg", "a/x.tif", "a/y.tif", "b/z.exe", "b/w.PDF"):
         (tmp_path / name).parent.mkdir(exist_ok=True)
