@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.functions import dating, files, geo, values
-from potsherd.operators import harmonise, hierarchy, keys, merge, references, reports, search, views, writes
+from potsherd.operators import harmonise, hierarchy, keys, merge, references, reports, search, segments, views, writes
 from potsherd.plans.oracles import ORACLES as ORACLES
-from potsherd.sources import staging, tables
+from potsherd.sources import buckets, staging, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -262,9 +262,9 @@ def range_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def generate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without a label."""
-    seen = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("nr"))
-    existing = read(spark, sf_dir, "labels").select(F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("key"), F.lit("Klant").alias("soort"))
+    """Orders that no line belongs to."""
+    seen = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("nr"))
+    existing = read(spark, sf_dir, "lineitem").select(F.concat(F.lit("C"), F.col("l_orderkey").cast("string")).alias("key"), F.lit("Klant").alias("soort"))
     return merge.generate_missing(seen, existing, ["nr"], keys.build(*keys.parse("C:nr")), "Klant", "nr")
 
 
@@ -469,6 +469,17 @@ def page_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.page(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), 3, 25, ("o_orderpriority", True), ("o_custkey", False), tie="o_orderkey")
 
 
+@query
+def key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of parties from a registry: the suppliers' run first, then customers and suppliers together, as they were and new."""
+    root = versions.scratch(spark, "registry")
+    supplier = read(spark, sf_dir, "supplier").select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("soort"), F.col("s_name").alias("key"), F.col("s_name").alias("_id"))
+    customer = read(spark, sf_dir, "customer").select(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("soort"), F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("key"), F.col("c_name").alias("_id"))
+    first = keys.with_registered(supplier, root, 0).select("soort", "_id", F.col("ID").alias("first"))
+    both = keys.with_registered(supplier.unionByName(customer), root, 1)
+    return both.join(first, ["soort", "_id"], "left").select("soort", "_id", F.col("ID").alias("nr"), "first")
+
+
 @query
 def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.keep_first(read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey")
@@ -486,7 +497,7 @@ def set_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("nr")).subtract(read(spark, sf_dir, "labels").select(F.col("doc_id").alias("nr")))
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("nr")).subtract(read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("nr")))
 
 
 @query
@@ -502,29 +513,69 @@ def file_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # writes
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, value) of the labels, and of the documents, only some of which have one."""
-    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("value"))
-    return labels, read(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("bigint").alias("value"))
+def totals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(nr, value) of the orders' lines together, and of the orders, some of which have no line."""
+    lines = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("nr")).agg(F.sum(F.col("l_quantity").cast("bigint")).alias("value"))
+    return lines, read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("nr"), F.floor("o_totalprice").alias("value"))
 
 
 @query
 def upsert_keep_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels, documents = labelled(spark, sf_dir)
-    return writes.keep_existing(labels, documents, ["doc_id"])
+    lines, orders = totals(spark, sf_dir)
+    return writes.keep_existing(lines, orders, ["nr"])
 
 
 @query
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels, documents = labelled(spark, sf_dir)
-    return writes.replace(documents, labels, ["doc_id"])
+    lines, orders = totals(spark, sf_dir)
+    return writes.replace(orders, lines, ["nr"])
 
 
 @query
 def upsert_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("bigint").alias("value"), F.col("toxic").cast("bigint").alias("toxic"))
-    new = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") != "en", F.col("n_chars").cast("bigint")).alias("value"), F.col("doc_id").alias("line"))
-    return writes.upsert(labels, new, ["doc_id"], "line").select("doc_id", "value", "toxic", "line")
+    """Orders with what their lines say last; returned lines say nothing."""
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("nr"), F.floor("o_totalprice").alias("value"), F.col("o_orderstatus").alias("status"))
+    new = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("nr"), F.when(F.col("l_returnflag") != "R", F.col("l_quantity").cast("bigint")).alias("value"), line_order().alias("line"))
+    return writes.upsert(orders, new, ["nr"], "line").select("nr", "value", "status", "line")
+
+
+@query
+def bucket_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in a table of buckets; then lines change them, returned ones delete them, and the first batch comes again. With the counts by status beside."""
+    root = versions.scratch(spark, "buckets")
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("nr"), F.floor("o_totalprice").alias("value"), F.col("o_orderstatus").alias("status"), F.lit(0).cast("bigint").alias("line"), F.lit(False).alias("gone"))
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("nr"), F.col("l_quantity").cast("bigint").alias("value"), F.when(F.col("l_linestatus") == "O", "L").alias("status"), line_order().alias("line"), (F.col("l_returnflag") == "R").alias("gone"))
+    for version, batch in enumerate((orders, lines)):
+        buckets.apply(batch, root, ["nr"], "line", version, "gone", ["status"])
+    buckets.apply(orders, root, ["nr"], "line", 0, "gone", ["status"])
+    counted = buckets.counts(spark, root).select(F.col("status").alias("s"), F.col("n").alias("status_rows"))
+    return buckets.read(spark, root).join(F.broadcast(counted), F.col("status").eqNullSafe(F.col("s")), "left").select("nr", "value", "status", "line", "status_rows")
+
+
+@query
+def published_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and the sums of their lines published together, the sums replaced by ones made from the version before."""
+    root = versions.scratch(spark, "published")
+    lines, orders = totals(spark, sf_dir)
+    versions.publish({"orders": orders, "lines": lines}, root)
+    versions.publish({"lines": versions.published(spark, root, "lines").select("nr", (F.col("value") * 2).alias("value"))}, root)
+    now, first = versions.published(spark, root, "lines"), versions.published(spark, root, "lines", 0)
+    return versions.published(spark, root, "orders").join(now.withColumnRenamed("value", "doubled"), "nr", "left").join(first.withColumnRenamed("value", "first"), "nr", "left")
+
+
+@query
+def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and orders written as CSV files, with quotes and line breaks in their texts, and read back as exports."""
+    root = versions.scratch(spark, "exports")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("text"), "o_orderstatus")
+    for name, df in (("DC1/documents", docs), ("DC2/orders", orders)):
+        plain = df.write.option("header", True).option("escape", '"').option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        plain.csv(f"{root}/{name}")
+    data = staging.read_exports(spark, f"{root}/*/*/*.csv", "Proef", "2024-01-01 00:00:00", least_rows=1).select("projectcd", "mdbfile", "data")
+    entry = lambda name: F.try_element_at("data", F.lit(name))
+    number = F.coalesce(entry("doc_id"), entry("o_orderkey")).cast("bigint")
+    return data.select("projectcd", "mdbfile", number.alias("nr"), F.size("data").cast("bigint").alias("n_values"), F.length(entry("text")).cast("bigint").alias("n_chars"), F.md5(entry("text").cast("binary")).alias("digest"))
 
 
 @query
@@ -690,10 +741,23 @@ def postings_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fulltext_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with a phrase beside another word: only words that stand one after the other are the phrase."""
+    """Parts with a phrase beside another word: only words that stand one after the other are the phrase, and it counts as often as they do."""
     part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     hits = search.search(part, "p_partkey", '"anodized steel" OR promo* -"plated tin"', ["p_type"], limit=None)
-    return hits.select("p_partkey", F.col("fulltext_score").isNotNull().alias("scored"))
+    return hits.select("p_partkey", F.round("fulltext_score", 6).alias("score"))
+
+
+@query
+def fulltext_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in an index of segments; a later batch changes those of one language, the next deletes junk ones. A phrase and a word ranked from it."""
+    root = versions.scratch(spark, "segments")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    labels = read(spark, sf_dir, "labels").where("quality = 0").select("doc_id", F.lit("").alias("text"), F.lit(True).alias("gone"))
+    batches = [docs.select("doc_id", "text", F.lit(False).alias("gone")), docs.where("lang <> 'en'").select("doc_id", F.concat(F.lit("the license "), "text").alias("text"), F.lit(False).alias("gone")), labels]
+    for version, batch in enumerate(batches):
+        segments.apply(batch, root, "doc_id", ["text"], version, "documents", "gone")
+    hits = segments.ranked(spark, root, '"the license" software')
+    return hits.select(F.col("pk").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
 # dates by context

@@ -134,7 +134,7 @@ ORACLES: dict[str, str] = {
         SELECT p_partkey, CASE WHEN p_size % 4 > 0 AND p_size % 3 > 0 THEN (p_size % 4) || ' - ' || (p_size % 3) WHEN p_size % 4 > 0 THEN (p_size % 4) || ' -' WHEN p_size % 3 > 0 THEN '- ' || (p_size % 3) ELSE '' END AS label FROM part
     """,
     "generate_missing": """
-        SELECT doc_id AS nr, 'C' || doc_id AS key, 'Klant' AS soort, 'Gegenereerd' AS herkomst FROM documents WHERE doc_id <> 0 AND doc_id NOT IN (SELECT doc_id FROM labels)
+        SELECT o_orderkey AS nr, 'C' || o_orderkey AS key, 'Klant' AS soort, 'Gegenereerd' AS herkomst FROM orders WHERE o_orderkey <> 0 AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
     """,
     "set_reference": """SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_nationkey END::BIGINT AS nationID FROM customer""",
     "unique_match_only": """
@@ -215,7 +215,7 @@ ORACLES: dict[str, str] = {
     "keep_first": "SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey",
     "union_missing_columns": "SELECT s_suppkey AS nr, s_name AS name, NULL AS segment FROM supplier UNION ALL SELECT c_custkey, NULL, c_mktsegment FROM customer",
     "set_intersect": "SELECT c_nationkey AS nr FROM customer INTERSECT SELECT s_nationkey FROM supplier",
-    "set_difference": "SELECT doc_id AS nr FROM documents EXCEPT SELECT doc_id FROM labels",
+    "set_difference": """SELECT o_orderkey AS nr FROM orders EXCEPT SELECT l_orderkey FROM lineitem""",
     "file_selection": """
         WITH p AS (SELECT '/d' || page_id // 6 || '/n' || page_id // 3 % 2 || CASE page_id % 3 WHEN 0 THEN '.tif' WHEN 1 THEN '.jpg' ELSE '.exe' END AS f FROM pages),
         a AS (SELECT f FROM p UNION ALL SELECT replace(f, 'n0.tif', 'n2.tif') FROM p WHERE f LIKE '%0.tif'),
@@ -224,14 +224,19 @@ ORACLES: dict[str, str] = {
         WHERE f NOT LIKE '%.exe' AND f NOT LIKE '%d1%' AND NOT (f LIKE '%.tif' AND replace(f, '.tif', '') IN (SELECT stem FROM j))
     """,
     "upsert_keep_existing": """
-        SELECT doc_id, quality::BIGINT AS value FROM labels UNION ALL SELECT doc_id, n_chars::BIGINT FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+        SELECT l_orderkey AS nr, sum(l_quantity::BIGINT)::BIGINT AS value FROM lineitem GROUP BY l_orderkey
+        UNION ALL SELECT o_orderkey, floor(o_totalprice)::BIGINT FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
     """,
     "upsert_replace": """
-        SELECT doc_id, quality::BIGINT AS value FROM labels UNION ALL SELECT doc_id, n_chars::BIGINT FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+        SELECT l_orderkey AS nr, sum(l_quantity::BIGINT)::BIGINT AS value FROM lineitem GROUP BY l_orderkey
+        UNION ALL SELECT o_orderkey, floor(o_totalprice)::BIGINT FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
     """,
     "upsert_set": """
-        SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, coalesce(CASE WHEN lang <> 'en' THEN n_chars END, quality)::BIGINT AS value, toxic::BIGINT AS toxic, d.doc_id AS line
-        FROM labels l FULL JOIN documents d ON l.doc_id = d.doc_id
+        WITH n AS (
+            SELECT l_orderkey AS nr, arg_max(l_quantity::BIGINT, l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey) FILTER (l_returnflag <> 'R') AS value, max(l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey) AS line
+            FROM lineitem GROUP BY l_orderkey
+        )
+        SELECT coalesce(o_orderkey, nr) AS nr, coalesce(value, floor(o_totalprice))::BIGINT AS value, o_orderstatus AS status, line FROM orders FULL JOIN n ON o_orderkey = nr
     """,
     "load_coercion": """
         SELECT c_custkey, trunc(c_acctbal)::BIGINT AS c_acctbal, CASE WHEN c_custkey % 5 <> 0 THEN substr(c_name, 1, 12) ELSE '' END AS c_name, c_mktsegment FROM customer
@@ -282,9 +287,66 @@ ORACLES: dict[str, str] = {
                c_nationkey::BIGINT AS spoordatering_vanaf, CASE WHEN c_custkey IS NOT NULL THEN 7 END::BIGINT AS spoordatering_tot, l_partkey AS datering_vanaf, l_suppkey AS datering_tot
         FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
     """,
-    "fulltext_phrase": """
-        WITH t AS (SELECT p_partkey, ' ' || lower(p_type) || ' ' AS t FROM part)
-        SELECT p_partkey, true AS scored FROM t WHERE NOT contains(t, ' plated tin ') AND (contains(t, ' anodized steel ') OR contains(t, ' promo'))
+    # a wildcard stands for each of its words; the phrase's rarity is the sum of its words'
+    "fulltext_phrase": r"""
+        WITH w AS (SELECT p_partkey AS id, list_filter(regexp_split_to_array(lower(p_type), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM part),
+        size AS (SELECT id, len(w) AS size FROM w WHERE len(w) > 0),
+        total AS (SELECT count(*) AS n, avg(size) AS mean FROM size),
+        t AS (SELECT id, unnest(w) AS term FROM w),
+        p AS (SELECT id, len(list_filter(range(1, len(w)), lambda i: w[i] = 'anodized' AND w[i + 1] = 'steel')) AS good, len(list_filter(range(1, len(w)), lambda i: w[i] = 'plated' AND w[i + 1] = 'tin')) AS bad FROM w),
+        tf AS (SELECT id, term, count(*) AS tf FROM t WHERE starts_with(term, 'promo') GROUP BY ALL UNION ALL SELECT id, '#', good FROM p WHERE good > 0),
+        df AS (SELECT term, count(DISTINCT id) AS df FROM t GROUP BY term),
+        rare AS (SELECT term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS r FROM df, total),
+        r AS (SELECT term, r FROM rare UNION ALL SELECT '#', sum(r) FROM rare WHERE term IN ('anodized', 'steel'))
+        SELECT id AS p_partkey, round(sum(r * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score
+        FROM tf JOIN r USING (term) JOIN size USING (id) JOIN p USING (id), total WHERE bad = 0 GROUP BY id
+    """,
+    "fulltext_segments": r"""
+        WITH d AS (
+            SELECT doc_id AS id, CASE WHEN lang <> 'en' THEN 'the license ' || text ELSE text END AS text FROM documents
+            WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)
+        ),
+        w AS (SELECT id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda t: t <> '') AS w FROM d),
+        size AS (SELECT id, len(w) AS size FROM w WHERE len(w) > 0),
+        total AS (SELECT count(*) AS n, avg(size) AS mean FROM size),
+        p AS (SELECT id, len(list_filter(range(1, len(w)), lambda i: w[i] = 'the' AND w[i + 1] = 'license')) AS good, len(list_filter(w, lambda x: x = 'software')) AS other FROM w),
+        tf AS (SELECT id, 'software' AS term, other AS tf FROM p WHERE other > 0 UNION ALL SELECT id, '#', good FROM p WHERE good > 0),
+        df AS (SELECT x.term, count(*) AS df FROM w, (VALUES ('the'), ('license'), ('software')) x(term) WHERE list_contains(w, x.term) GROUP BY x.term),
+        rare AS (SELECT term, ln(1 + (n - df + 0.5) / (df + 0.5)) AS r FROM df, total),
+        r AS (SELECT term, r FROM rare UNION ALL SELECT '#', sum(r) FROM rare WHERE term IN ('the', 'license'))
+        SELECT id AS doc_id, round(sum(r * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score FROM tf JOIN r USING (term) JOIN size USING (id), total GROUP BY id
+    """,
+    "bucket_upserts": """
+        WITH c AS (
+            SELECT o_orderkey AS nr, floor(o_totalprice)::BIGINT AS value, o_orderstatus AS status, 0::BIGINT AS line, false AS gone FROM orders
+            UNION ALL SELECT l_orderkey, l_quantity::BIGINT, CASE WHEN l_linestatus = 'O' THEN 'L' END, l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey, l_returnflag = 'R' FROM lineitem
+        ),
+        g AS (SELECT *, max(CASE WHEN gone THEN line END) OVER (PARTITION BY nr) AS until FROM c),
+        t AS (
+            SELECT nr, arg_max(value, line) FILTER (value IS NOT NULL) AS value, arg_max(status, line) FILTER (status IS NOT NULL) AS status, max(line) AS line
+            FROM g WHERE until IS NULL OR line > until GROUP BY nr
+        )
+        SELECT *, count(*) OVER (PARTITION BY status) AS status_rows FROM t
+    """,
+    "published_tables": """
+        WITH l AS (SELECT l_orderkey AS nr, sum(l_quantity::BIGINT)::BIGINT AS value FROM lineitem GROUP BY l_orderkey)
+        SELECT o_orderkey AS nr, floor(o_totalprice)::BIGINT AS value, value * 2 AS doubled, value AS first FROM orders LEFT JOIN l ON nr = o_orderkey
+    """,
+    "export_round_trip": """
+        WITH t AS (
+            SELECT 'DC1' AS projectcd, 'documents' AS mdbfile, doc_id AS nr, (CASE WHEN trim(coalesce(lang, '')) <> '' THEN 1 ELSE 0 END) + 1 AS n, replace(text, chr(13) || chr(10), chr(10)) AS text FROM documents
+            UNION ALL SELECT 'DC2', 'orders', o_orderkey, (CASE WHEN trim(coalesce(o_orderstatus, '')) <> '' THEN 1 ELSE 0 END) + 1, o_orderpriority FROM orders
+        ),
+        v AS (SELECT projectcd, mdbfile, nr, n, CASE WHEN trim(text) <> '' THEN text END AS text FROM t)
+        SELECT projectcd, mdbfile, nr, (n + (text IS NOT NULL)::INTEGER)::BIGINT AS n_values, length(text) AS n_chars, md5(text) AS digest FROM v
+    """,
+    "key_registry": """
+        WITH s AS (SELECT 'n' || s_nationkey AS soort, s_name AS _id, 'k' || s_name AS name FROM supplier),
+        a AS (SELECT *, row_number() OVER (PARTITION BY soort ORDER BY name) - 1 AS nr FROM s),
+        n AS (SELECT soort, count(*) AS n FROM a GROUP BY soort),
+        c AS (SELECT 'n' || c_nationkey AS soort, c_name AS _id, CASE WHEN c_acctbal >= 0 THEN 'k' ELSE 'i' END || c_name AS name FROM customer)
+        SELECT soort, _id, nr, nr AS first FROM a
+        UNION ALL SELECT c.soort, _id, row_number() OVER (PARTITION BY c.soort ORDER BY name) - 1 + coalesce(n, 0), NULL FROM c LEFT JOIN n USING (soort)
     """,
     "export_fields": """
         SELECT p_partkey, replace(p_name, 'e', '"') || ', ' AS c0, p_partkey::VARCHAR AS c1, 'a' || chr(10) || p_type AS c2, '' AS c3, 4::BIGINT AS n FROM part
