@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from potsherd.llm.common import col, whole_text
@@ -105,31 +105,6 @@ def digested(read: DataFrame) -> DataFrame:
     return read.withColumn("payload_digest", digest("payload")).withColumn("block_digest", digest("block"))
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of WARC files of text: ``fields`` (a map, names in small letters) and ``block``.
-
-    A record begins at a line with the version after two line breaks. One whose block's length isn't the Content-Length that
-    it names is no whole record, and reading it fails.
-    """
-    parts = spark.read.option("lineSep", f"{VERSION}{BREAK}").text(path).where("value != ''")
-    head = F.split(F.substring_index("value", BREAK * 2, 1), r"\r\n", -1)
-    entry = lambda x: F.struct(F.lower(F.substring_index(x, ":", 1)).alias("key"), F.trim(F.substr(x, F.instr(x, ":") + 1)).alias("value"))
-    fields = F.map_from_entries(F.transform(F.filter(head, lambda x: F.contains(x, F.lit(":"))), entry))
-    after = F.substr(F.col("value"), F.length(F.substring_index("value", BREAK * 2, 1)) + 5)
-    read = parts.select(fields.alias("fields"), F.regexp_replace(after, r"\r\n\r\n\z", "").alias("block"))
-    whole = F.octet_length("block") == F.try_element_at("fields", F.lit("content-length")).cast("long")
-    return read.select("fields", F.when(whole, F.col("block")).otherwise(F.raise_error(F.lit("a record's block hasn't its Content-Length"))).alias("block"))
-
-
-def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """The response records of WARC files, as ``responses`` gives them (page_id is null): with their own identifiers, dates and HTTP headers."""
-    field = lambda name: F.try_element_at("fields", F.lit(name))
-    kept = read_records(spark, path).where(field("warc-type") == "response")
-    payload = F.substr(F.col("block"), F.length(F.substring_index("block", BREAK * 2, 1)) + 5)
-    read = kept.select(F.lit(None).cast("long").alias("page_id"), field("warc-record-id").alias("record_id"), F.coalesce(field("warc-target-uri"), F.lit("")).alias("target_uri"), field("warc-date").alias("date"), payload.alias("payload"), "block")
-    return digested(read)
-
-
 def record_id(name: Column) -> Column:
     """``<urn:uuid:...>`` from the digest of a name."""
     h = F.sha2(name, 256)
@@ -148,7 +123,7 @@ def headers(block: Column) -> Column:
 def derivatives(found: DataFrame) -> DataFrame:
     """Two records per response: page_id, record_type, record_id, refers_to, target_uri, date, content_type, block, block_digest, source_payload_digest, source_block_digest.
 
-    ``found`` are responses as ``responses`` or ``read_responses`` give them. The metadata record holds the source's fields,
+    ``found`` are responses as ``responses`` or ``warc_files.read_responses`` give them. The metadata record holds the source's fields,
     those of its HTTP header among them, as ``application/warc-fields``; the conversion record is the plain text. What is
     hidden (comments, scripts and the like) and left open is hidden to the page's end; a tag ends before the next one.
     Null pages are empty: their conversion has an empty block. A null id stays null, repeated pages give repeated
@@ -187,8 +162,8 @@ def derivatives(found: DataFrame) -> DataFrame:
 
 
 def serialised(records: DataFrame) -> DataFrame:
-    """Each record as it stands in a file, without the two line breaks that end it: column ``value``."""
-    line = lambda key, value: F.concat(F.lit(f"{key}: "), value, F.lit(BREAK))
+    """Each record as it stands in a file, without the two line breaks that end it: column ``value``. A header whose value is null is left out."""
+    line = lambda key, value: F.coalesce(F.concat(F.lit(f"{key}: "), value, F.lit(BREAK)), F.lit(""))
     head = F.concat(
         F.lit(VERSION + BREAK),
         line("WARC-Type", F.col("record_type")),

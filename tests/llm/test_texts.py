@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from potsherd.llm import chat, decontamination, license_scan, packing, quality, warc
+from potsherd.llm import chat, decontamination, license_scan, packing, quality, warc, warc_files
 from potsherd.llm import queries as llm_queries
 from potsherd.llm.common import table
 
@@ -318,14 +318,51 @@ def test_responses_of_warc_files_keep_their_headers(spark, tmp_path):
     block = f"HTTP/1.1 404 Not Found\r\nContent-Type: text/html\r\nX-Powered-By: a: b\r\n\r\n{body}"
     record = lambda kind, name, text: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Target-URI: http://x/{name}\r\nWARC-Date: 2021-02-03T04:05:06Z\r\nContent-Length: {len(text.encode())}\r\n\r\n{text}\r\n\r\n"
     (tmp_path / "a.warc.gz").write_bytes(gzip.compress((record("warcinfo", 1, "software: x") + record("response", 2, block) + record("response", 3, "HTTP/1.1 200 OK\r\n\r\n")).encode()))
-    found = warc.read_responses(spark, str(tmp_path))
+    found = warc_files.read_responses(spark, str(tmp_path))
     assert sorted((r.record_id, r.target_uri, r.date, r.payload) for r in found.collect()) == [("<urn:uuid:2>", "http://x/2", "2021-02-03T04:05:06Z", body), ("<urn:uuid:3>", "http://x/3", "2021-02-03T04:05:06Z", "")]
     got = {(r.refers_to, r.record_type): r.block for r in warc.derivatives(found).collect()}
     assert got["<urn:uuid:2>", "conversion"] == "één & twee"
     assert got["<urn:uuid:2>", "metadata"].startswith("http-status: 404 Not Found\r\nhttp-content-type: text/html\r\nhttp-x-powered-by: a: b\r\ntitle: \r\n")
-    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(record("response", 2, block).replace("Length: ", "Length: 9").encode()))
-    with pytest.raises(Exception, match="Content-Length"):
-        warc.read_responses(spark, str(tmp_path)).collect()
+
+
+def test_warc_files_are_read_by_bytes(spark, tmp_path):
+    def record(kind, name, block, version="1.1", more=b"", length=None):
+        return b"WARC/%b\r\nWARC-Type: %b\r\nWARC-Record-ID: <%b>\r\n%bContent-Length: %d\r\n\r\n%b\r\n\r\n" % (version.encode(), kind.encode(), name.encode(), more, len(block) if length is None else length, block)
+
+    latin = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n<p>café</p>".encode("latin-1")
+    image = b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n\x89PNG\r\n\x1a\n\x00\xff\r\n\r\n"
+    quoting = b"HTTP/1.1 200 OK\r\n\r\n<p>a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc</p>"
+    twice = b"WARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\n <c>\r\nWARC-Payload-Digest: sha1:XYZ\r\n"
+    plain = [
+        record("warcinfo", "info", b"x: y", "1.0"), record("response", "latin", latin, "1.0"), record("response", "image", image), record("response", "quoting", quoting, more=twice),
+        record("response", "short", quoting, length=9), record("response", "long", b"ab", length=10), b"stray\n", record("response", "none", b"a").replace(b"Content-Length: 1\r\n", b""), record("response", "last", b"HTTP/1.1 204 No\r\n\r\n"), record("response", "cut", b"abc", length=10**9),
+    ]
+    want = {"<latin>": "<p>café</p>", "<quoting>": quoting.partition(b"\r\n\r\n")[2].decode(), "<last>": ""}
+    (tmp_path / "gz").mkdir()
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "gz/a.warc.gz").write_bytes(b"".join(map(gzip.compress, plain)))
+    (tmp_path / "gz/empty.warc.gz").write_bytes(gzip.compress(b""))
+    (tmp_path / "plain/a.warc").write_bytes(b"".join(plain))
+    (tmp_path / "plain/b.warc").write_bytes(record("response", "b", b"HTTP/1.0 200 OK\r\n\r\nb"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100)
+    try:
+        for folder in ("gz", "plain"):
+            records = warc_files.read_records(spark, f"{tmp_path}/{folder}").where("path LIKE '%a.warc%'").collect()
+            whole = {r.fields.get("warc-record-id", [""])[0]: bytes(r.block) for r in records if r.error is None}
+            assert {"<info>": b"x: y", "<latin>": latin, "<image>": image, "<quoting>": quoting, "<last>": b"HTTP/1.1 204 No\r\n\r\n"}.items() <= whole.items()
+            bad = [r.fields.get("warc-record-id", [""])[0] for r in records if r.error and r.fields]
+            assert {"<short>", "<long>", "<none>", "<cut>"} <= set(bad) and all(r.block is None for r in records if r.error)
+            concurrent = next(r for r in records if r.fields and r.fields.get("warc-record-id") == ["<quoting>"])
+            assert concurrent.fields["warc-concurrent-to"] == ["<a>", "<b> <c>"] and concurrent.version == "WARC/1.1"
+            got = {r.record_id: r for r in warc_files.read_responses(spark, f"{tmp_path}/{folder}").collect()}
+            assert {k: got[k].payload for k in want} == want and ("<b>" in got) == (folder == "plain")
+            assert got["<quoting>"].payload_digest == "sha1:XYZ" and got["<image>"].payload_digest == "sha256:" + hashlib.sha256(image.partition(b"\r\n\r\n")[2]).hexdigest()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    records = warc.derivatives(warc_files.read_responses(spark, f"{tmp_path}/gz"))
+    warc.write(records, f"{tmp_path}/out")
+    back = warc_files.read_records(spark, f"{tmp_path}/out").collect()
+    assert sorted(bytes(r.block).decode() for r in back) == sorted(r.block for r in records.collect()) and {r.error for r in back} == {None}
 
 
 # license scan
