@@ -14,7 +14,7 @@ import numpy as np
 from potsherd.llm import chars
 
 #: Pieces, and words within them, that a worker remembers at most; beyond that it starts anew.
-PIECES, WORDS = 800_000, 300_000
+PIECES, WORDS = 500_000, 100_000
 #: Pieces of these letters only and of common marks are taken apart here, by the tokenizer's own pattern; all others go through it whole.
 PLAIN = re.compile(r"[!-;=-~À-ÖØ-öø-įĲ-ſ]*")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įĲ-ſ]+|[0-9]|[^a-zß-öø-įĲ-ſ0-9]+")
@@ -47,7 +47,7 @@ class Pieces:
         self.values = np.zeros(self.room, np.int32)
         self.flat = np.empty(1 << 16, np.uint32)
         self.used = self.n = 0
-        self.starts, self.sizes = np.empty(PIECES * 2, np.int64), np.empty(PIECES * 2, np.int64)
+        self.starts, self.sizes = np.empty(PIECES, np.int32), np.empty(PIECES, np.int32)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each piece, -1 if unknown."""
@@ -95,7 +95,7 @@ class Pieces:
 
     def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         if self.n + len(pieces) > len(self.starts):
-            grown = np.empty((2, 2 * (self.n + len(pieces))), np.int64)
+            grown = np.empty((2, 2 * (self.n + len(pieces))), np.int32)
             grown[0, : self.n], grown[1, : self.n] = self.starts[: self.n], self.sizes[: self.n]
             self.starts, self.sizes = grown
         if len(self.words) > WORDS:
@@ -137,7 +137,7 @@ def encode(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray, np.ndar
         where = lost[first]
         known.learn(new, [joined[a:b] for a, b in zip(begins[where].tolist(), ends[where].tolist(), strict=True)])
         at[lost] = known.find(hashes[lost])
-    sizes = known.sizes[at]
+    sizes = known.sizes[at].astype(np.int64)
     over = np.cumsum(sizes)
     flat = known.flat[np.repeat(known.starts[at] - (over - sizes), sizes) + np.arange(int(over[-1]) if len(over) else 0)]
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
