@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from potsherd.operators.hierarchy import written
+
 
 def parents_by_key(parents: DataFrame, key: str = "key", number: str = "ID", order: str = "_seq") -> DataFrame:
     """(ref_key, ref_id, ref_n): one parent for each key, the last by ``order``, and how many there are."""
@@ -35,6 +39,46 @@ def set_reference_fallback(children: DataFrame, parents: DataFrame, ref_keys: li
     return out
 
 
+@dataclass(frozen=True)
+class Rule:
+    """A reference: the child's key column, the parents' kind and key column, the column that gets the parent's number."""
+
+    child_key: str
+    kind: str
+    parent_key: str
+    target: str
+    unique_only: bool = False
+
+
+def set_all(rows: DataFrame, rules: list[Rule], kind: str = "soort", number: str = "ID", order: str = "_seq") -> DataFrame:
+    """All references of a store in one pass, as ``set_reference`` would set them one rule after the other.
+
+    Keys of all rules leave their rows as (row, rule, key), meet the parents' (kind, key, number) in one join, and come back
+    to their rows together: the store itself is shuffled once, whatever the number of rules, and each key once. A key that
+    very many rows refer to is one large partition of narrow rows, which Spark's skew join splits. Rows of a kind don't
+    refer to their own kind. Of several rules of a target the first that meets a parent counts; numbers that a row has stay.
+    """
+    rules = [r for r in rules if r.child_key in rows.columns and r.parent_key in rows.columns]
+    if not rules:
+        return rows
+    store = written(rows.withColumn("_row", F.monotonically_increasing_id()))
+    ways = sorted({(r.kind, r.parent_key) for r in rules})
+    asks = [F.struct(F.lit(n).alias("rule"), F.lit(ways.index((r.kind, r.parent_key))).alias("way"), F.col(r.child_key).cast("string").alias("key"), (F.col(kind) != r.kind).alias("may")) for n, r in enumerate(rules)]
+    asked = store.select("_row", F.inline(F.array(*asks))).where("key IS NOT NULL AND may").drop("may")
+    gives = [F.struct(F.lit(n).alias("way"), F.when(F.col(kind) == k, F.col(c).cast("string")).alias("key")) for n, (k, c) in enumerate(ways)]
+    last = F.struct(order, number) if order in rows.columns else F.struct(number)
+    given = store.select(last.alias("last"), F.inline(F.array(*gives))).where("key IS NOT NULL")
+    parents = given.groupBy("way", "key").agg(F.max("last").getField(number).alias("number"), F.count(F.lit(1)).alias("n"))
+    several = [n for n, r in enumerate(rules) if not r.unique_only]
+    met = asked.join(parents, ["way", "key"]).where(F.col("number").isNotNull() & ((F.col("n") == 1) | F.col("rule").isin(several)))
+    targets = list(dict.fromkeys(r.target for r in rules))
+    best = [F.min_by("number", F.when(F.col("rule").isin([n for n, r in enumerate(rules) if r.target == t]), F.col("rule"))).cast("bigint").alias(f"_to_{t}") for t in targets]
+    found = met.groupBy("_row").agg(*best)
+    joined = store.join(found, "_row", "left")
+    new = {t: F.coalesce(F.col(t), F.col(f"_to_{t}")) if t in rows.columns else F.col(f"_to_{t}") for t in targets}
+    return joined.select(*[new.pop(c).alias(c) if c in new else F.col(c) for c in rows.columns], *[c.alias(t) for t, c in new.items()])
+
+
 def update_join(rows: DataFrame, updates: DataFrame, keys: list[str], values: list[str], order: str = "_seq") -> DataFrame:
     """``rows`` with ``values`` of the matching update, nulls included; of several updates the last one counts. Null keys match none."""
     last = updates.groupBy(*[F.col(k).alias(f"_u_{k}") for k in keys]).agg(F.max_by(F.struct(*values), F.struct(order, *values)).alias("_new"))

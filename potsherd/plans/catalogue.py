@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.functions import dating, files, geo, values
-from potsherd.operators import harmonise, hierarchy, keys, merge, references, reports, search, segments, views, writes
+from potsherd.operators import harmonise, hierarchy, keys, merge, photos, references, reports, search, segments, views, writes
 from potsherd.plans.oracles import ORACLES as ORACLES
 from potsherd.sources import buckets, staging, tables, versions
 
@@ -276,6 +276,33 @@ def set_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.set_reference(customer, nation, "key_nation", "nationID").select("c_custkey", "nationID")
 
 
+@query
+def references_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations, customers, suppliers, parts, orders and lines as one store, all their references set at once; parts of a brand and size only where there is one."""
+    label = F.concat_ws("|", "p_brand", F.col("p_size").cast("string"))
+
+    def kind(name: str, table: str, number: str, **columns: Column) -> DataFrame:
+        return read(spark, sf_dir, table).select(F.lit(name).alias("soort"), F.col(number).cast("bigint").alias("ID"), F.col(number).cast("bigint").alias("_seq"), *[c.cast("string").alias(n) for n, c in columns.items()])
+
+    line = read(spark, sf_dir, "lineitem")
+    parts = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), label.alias("label"))
+    lines = line.join(parts, "l_partkey", "left").select(F.lit("L").alias("soort"), line_order().alias("ID"), line_order().alias("_seq"), F.col("l_orderkey").cast("string").alias("to_order"), F.col("l_suppkey").cast("string").alias("to_supplier"), F.col("label").alias("to_part"))
+    rows = [
+        kind("N", "nation", "n_nationkey", key=F.col("n_nationkey")),
+        kind("C", "customer", "c_custkey", key=F.col("c_custkey"), to_nation=F.col("c_nationkey")),
+        kind("S", "supplier", "s_suppkey", key=F.col("s_suppkey"), to_nation=F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey"))),
+        kind("P", "part", "p_partkey", label=label),
+        kind("O", "orders", "o_orderkey", key=F.col("o_orderkey"), to_customer=F.col("o_custkey")),
+        lines,
+    ]
+    store = rows[0]
+    for other in rows[1:]:
+        store = store.unionByName(other, allowMissingColumns=True)
+    rules = [("to_nation", "N", "key", "nationID"), ("to_customer", "C", "key", "customerID"), ("to_order", "O", "key", "orderID"), ("to_supplier", "S", "key", "supplierID"), ("to_part", "P", "label", "partID", True)]
+    out = references.set_all(store, [references.Rule(*r) for r in rules])
+    return out.select("soort", F.col("ID").alias("nr"), *[r[3] for r in rules])
+
+
 @query
 def unique_match_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part").select(F.concat_ws("|", "p_brand", F.col("p_size").cast("string")).alias("key"), F.col("p_partkey").alias("ID"), F.col("p_partkey").alias("_seq"))
@@ -296,6 +323,16 @@ def fallback_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return references.set_reference_fallback(orders, line, [("want_a", "key_a", False), ("want_b", "key_b", True)], "partID").select("o_orderkey", "partID")
 
 
+@query
+def folder_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as photos in folders that name one or two customers as projects, not all of which are known."""
+    customers = read(spark, sf_dir, "customer").select(F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("C"), F.col("c_custkey").cast("string"))).alias("projectcd"))
+    below = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("H Objectfotos/"), "o_orderpriority")).when(F.col("o_orderstatus") == "O", "Opgravingsfotos").otherwise("Velddocumenten")
+    path = F.concat(F.lit("/f/C"), F.col("o_custkey").cast("string"), F.lit("/jaar "), F.year("o_orderdate").cast("string"), F.lit(" C"), (F.col("o_custkey") % 100).cast("string"), F.lit("/"), below)
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", path.alias("directory"), F.when(F.col("o_custkey") % 7 == 0, "eigen").alias("projectcd"))
+    return photos.with_folder_facts(orders, customers).select("o_orderkey", "projectcd", "fotosoort", "materiaal")
+
+
 @query
 def update_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")

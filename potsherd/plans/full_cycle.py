@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.functions import dating, geo, values
-from potsherd.operators import harmonise, keys, merge, references
+from potsherd.operators import harmonise, keys, merge, photos, references
 from potsherd.plans import model
-from potsherd.sources import tables
+from potsherd.sources import tables, versions
 
 
 def column(df: DataFrame, name: str) -> Column:
@@ -58,6 +58,15 @@ def enhance(store: DataFrame, parser: dating.Phrases | None = None, strict_refer
     return df
 
 
+def with_folders(store: DataFrame) -> DataFrame:
+    """Photos with what their folders tell, if the store has folders and projects."""
+    if not {"directory", "projectcd"} <= set(store.columns):
+        return store
+    photo = F.coalesce(F.col("soort") == "Foto", F.lit(False))
+    placed = photos.with_folder_facts(store.where(photo), store.where("soort = 'Project'"))
+    return store.where(~photo).unionByName(placed, allowMissingColumns=True)
+
+
 def with_key_flags(store: DataFrame, strict_reference: bool = False) -> DataFrame:
     """Projects that use a find number in several pits get ``vondstkey_met_putnr``."""
     if not {"projectcd", "vondstnr", "putnr"} <= set(store.columns):
@@ -115,20 +124,21 @@ def with_missing(clean: DataFrame, store: DataFrame, strict_reference: bool = Fa
     return out
 
 
-def numbered(clean: DataFrame) -> DataFrame:
-    """``ID`` of every row: its place within its soort, from 0 on; entries of a thesaurus keep their own number."""
+def numbered(clean: DataFrame, registry: str | None = None, load: int = 0) -> DataFrame:
+    """``ID`` of every row: its place within its soort, from 0 on; entries of a thesaurus keep their own number.
+
+    With a ``registry`` keys keep the number that an earlier ``load`` gave them, and only new ones get one.
+    """
     own = "primary_key" if "primary_key" in clean.columns else None
-    return keys.with_surrogates(clean, "soort", "_seq", own)
+    if registry is None:
+        return keys.with_surrogates(clean, "soort", "_seq", own)
+    known = keys.with_registered(clean, registry, load)
+    return known.withColumn("ID", F.coalesce(F.col(own).cast("bigint"), F.col("ID"))) if own else known
 
 
 def linked(clean: DataFrame) -> DataFrame:
-    """All references resolved; those to an artefact first by pit, find and subnr, then by subnr where that is unique."""
-    out = clean
-    for child_key, soort, parent_key, target, unique_only in model.REFERENCES:
-        if child_key in clean.columns:
-            parents = clean.where((F.col("soort") == soort) & F.col(parent_key).isNotNull()).select(parent_key, "ID", "_seq")
-            out = references.set_reference(out, parents, child_key, target, unique_only, parent_key, candidates=F.col("soort") != soort)
-    return out
+    """All references resolved in one pass; those to an artefact first by pit, find and subnr, then by subnr where that is unique."""
+    return references.set_all(clean, [references.Rule(*r) for r in model.REFERENCES])
 
 
 def published(clean: DataFrame, declared: dict[str, str] | None = None) -> dict[str, DataFrame]:
@@ -136,18 +146,21 @@ def published(clean: DataFrame, declared: dict[str, str] | None = None) -> dict[
     return {soort: tables.conformed(clean.where(F.col("soort") == soort), ddl) for soort, ddl in (declared or model.DECLARED).items()}
 
 
-def run(spark: SparkSession, staging: DataFrame, entities: Iterable[harmonise.Entity], path: str, start: str = "harmonise", stop: str = "load", strict_reference: bool = False) -> DataFrame:
-    """Run the phases from ``start`` to ``stop``; each reads what the one before it wrote below ``path``, and the last store is returned."""
+def run(spark: SparkSession, staging: DataFrame, entities: Iterable[harmonise.Entity], path: str, start: str = "harmonise", stop: str = "load", strict_reference: bool = False, registry: str | None = None, load: int = 0) -> DataFrame:
+    """Run the phases from ``start`` to ``stop``; each reads what the one before it wrote below ``path``, and the last store is returned.
+
+    The typed tables are published together below ``path/load`` (``versions.published``). For ``registry`` and ``load`` see ``numbered``.
+    """
 
     def stored(name: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{name}")
 
     phases: list[tuple[str, Callable[[], DataFrame]]] = [
         ("harmonise", lambda: harmonise.store(staging, entities)),
-        ("enhance", lambda: enhance(stored("harmonise"), strict_reference=strict_reference)),
+        ("enhance", lambda: with_folders(enhance(stored("harmonise"), strict_reference=strict_reference))),
         ("keys", lambda: with_all_keys(with_key_flags(stored("enhance"), strict_reference))),
         ("merge", lambda: with_missing(move_and_merge(stored("keys"), null_keys=strict_reference), stored("keys"), strict_reference)),
-        ("references", lambda: linked(numbered(stored("merge")))),
+        ("references", lambda: linked(numbered(stored("merge"), registry, load))),
     ]
     names = [n for n, _ in phases] + ["load"]
     if start not in names or stop not in names:
@@ -159,6 +172,5 @@ def run(spark: SparkSession, staging: DataFrame, entities: Iterable[harmonise.En
             out = out.drop(*[c for c, kind in out.dtypes if kind == "void"])
             out.write.mode("overwrite").partitionBy("soort").parquet(f"{path}/{name}")
     if stop == "load":
-        for soort, df in published(stored("references")).items():
-            tables.publish(df, f"{path}/load/Def_{soort}")
+        versions.publish({f"Def_{soort}": df for soort, df in published(stored("references")).items()}, f"{path}/load")
     return stored(min(stop, "references", key=names.index))

@@ -340,6 +340,22 @@ ORACLES: dict[str, str] = {
         v AS (SELECT projectcd, mdbfile, nr, n, CASE WHEN trim(text) <> '' THEN text END AS text FROM t)
         SELECT projectcd, mdbfile, nr, (n + (text IS NOT NULL)::INTEGER)::BIGINT AS n_values, length(text) AS n_chars, md5(text) AS digest FROM v
     """,
+    "references_one_pass": """
+        WITH one AS (SELECT p_brand || '|' || p_size AS label, min(p_partkey) AS partID FROM part GROUP BY label HAVING count(*) = 1)
+        SELECT 'N' AS soort, n_nationkey::BIGINT AS nr, NULL::BIGINT AS nationID, NULL::BIGINT AS customerID, NULL::BIGINT AS orderID, NULL::BIGINT AS supplierID, NULL::BIGINT AS partID FROM nation
+        UNION ALL SELECT 'C', c_custkey, n_nationkey, NULL, NULL, NULL, NULL FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+        UNION ALL SELECT 'S', s_suppkey, n_nationkey, NULL, NULL, NULL, NULL FROM supplier LEFT JOIN nation ON s_acctbal >= 0 AND s_nationkey = n_nationkey
+        UNION ALL SELECT 'P', p_partkey, NULL, NULL, NULL, NULL, NULL FROM part
+        UNION ALL SELECT 'O', o_orderkey, NULL, c_custkey, NULL, NULL, NULL FROM orders LEFT JOIN customer ON o_custkey = c_custkey
+        UNION ALL SELECT 'L', l_linenumber::BIGINT * 1000000000000000 + l_partkey * 100000000 + l_suppkey, NULL, NULL, o_orderkey, s_suppkey, one.partID
+        FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN one ON one.label = p_brand || '|' || p_size
+    """,
+    "folder_facts": """
+        WITH p AS (SELECT c_custkey AS k FROM customer WHERE c_acctbal >= 0)
+        SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 THEN 'eigen' WHEN b.k IS NOT NULL THEN 'C' || b.k ELSE 'C' || a.k END AS projectcd,
+               CASE o_orderstatus WHEN 'F' THEN 'Objectfoto' WHEN 'O' THEN 'Opgravingsfoto' ELSE 'Velddocument' END AS fotosoort, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS materiaal
+        FROM orders LEFT JOIN p a ON a.k = o_custkey LEFT JOIN p b ON b.k = o_custkey % 100
+    """,
     "key_registry": """
         WITH s AS (SELECT 'n' || s_nationkey AS soort, s_name AS _id, 'k' || s_name AS name FROM supplier),
         a AS (SELECT *, row_number() OVER (PARTITION BY soort ORDER BY name) - 1 AS nr FROM s),

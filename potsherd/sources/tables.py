@@ -52,7 +52,7 @@ def column_report(df: DataFrame, ddl: str) -> dict[str, list[str]]:
 
 
 def publish(df: DataFrame, path: str, ddl: str | None = None, partition: str | None = None) -> None:
-    """Write a table over its older version, all or nothing."""
+    """Write a table over its older version, which goes first; ``versions.publish`` keeps it until the new one is whole."""
     out = conformed(df, ddl) if ddl else df
     writer = out.write.mode("overwrite")
     (writer.partitionBy(partition) if partition else writer).parquet(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
-from potsherd.operators import segments
+from potsherd.operators import references, segments
 from potsherd.operators.harmonise import Entity
 from potsherd.plans import full_cycle, model
-from potsherd.sources import buckets
+from potsherd.sources import buckets, versions
 from potsherd.streaming import changes
 
 ENTITIES = [
@@ -52,12 +54,52 @@ def test_cycle(spark, tmp_path):
     for target, soort in (("projectID", "Project"), ("putID", "Put"), ("vondstID", "Vondst")):
         have = {r.ID for r in out.where(F.col("soort") == soort).collect()}
         assert {r[0] for r in out.where(f"{target} IS NOT NULL").select(target).collect()} <= have
-    typed = spark.read.parquet(f"{tmp_path}/load/Def_Artefact")
+    typed = versions.published(spark, f"{tmp_path}/load", "Def_Artefact")
     assert dict(typed.dtypes)["aantal"] == "int" and typed.count() == 2
     n = out.count()
     assert full_cycle.run(spark, staging(spark), ENTITIES, str(tmp_path), start="references").count() == n
 
 
+def test_numbers_last_from_load_to_load(spark, tmp_path):
+    more = spark.createDataFrame([("i0", 0, "PUTTEN", "DC27", "Oud", {"PUT": "0"}), ("i01", 1, "VONDSTEN", "DC27", "Oud", {"PUT": "0", "VONDST": "1"})], staging(spark).schema)
+    numbers = []
+    for load, rows in enumerate((staging(spark), more.unionByName(staging(spark)))):
+        out = full_cycle.run(spark, rows, ENTITIES, f"{tmp_path}/{load}", registry=f"{tmp_path}/registry", load=load)
+        numbers.append({(r.soort, r.key): r.ID for r in out.where("key IS NOT NULL").collect()})
+        finds = {r.key: r.putID for r in out.where("soort = 'Vondst'").collect()}
+        assert finds["PDC027V7"] == numbers[-1]["Put", "PDC027P1"]
+    assert numbers[0].items() <= numbers[1].items() and len(numbers[1]) == len(numbers[0]) + 2
+    assert finds["PDC027V1"] == numbers[1]["Put", "PDC027P0"]
+
+
+def test_one_pass_equals_one_rule_after_the_other(spark):
+    rng = random.Random(4)
+    data = [(rng.choice("ABC"), rng.choice([None, *"klmnop"]), rng.choice([None, *"klmnop"]), rng.choice([None, *"klmnopq"]), rng.choice([None, *"klmnopq"]), rng.choice([None, 99]), n, n) for n in range(300)]
+    df = spark.createDataFrame(data, "soort string, key string, other string, to_a string, to_b string, aID long, ID long, _seq long")
+    rules = [references.Rule("to_a", "A", "key", "aID"), references.Rule("to_b", "B", "other", "bID", True), references.Rule("to_a", "B", "key", "bID"), references.Rule("to_b", "C", "key", "cID"), references.Rule("none", "C", "key", "dID")]
+    want = df
+    for r in rules[:-1]:
+        parents = df.where((F.col("soort") == r.kind) & F.col(r.parent_key).isNotNull()).select(r.parent_key, "ID", "_seq")
+        want = references.set_reference(want, parents, r.child_key, r.target, r.unique_only, r.parent_key, candidates=F.col("soort") != r.kind)
+    got = references.set_all(df, rules)
+    assert {*got.columns} == {*want.columns} and sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.select(*got.columns).collect()), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = references.set_all(df, rules)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 4  # keys, parents, what they give by row, and the store by row
+    assert references.set_all(df, rules[-1:]) is df
+
+
+def test_folders_tell_projects(spark):
+    rows = [("Project", "DC001", None, "p"), ("Project", "DC002", None, "p"), ("Foto", None, "/x/DC001/DC002 put/H Objectfotos/Glas", "a"), ("Foto", "", "/DC002/DC001/Opgravingsfoto", "b"), ("Foto", "Q1", "/DC001", "c"), ("Foto", None, "/DC0011", "d"), ("Foto", None, None, "e"), ("Put", None, "/DC001", "f")]
+    out = full_cycle.with_folders(spark.createDataFrame(rows, "soort string, projectcd string, directory string, _id string"))
+    got = {r._id: (r.projectcd, r.fotosoort, r.materiaal) for r in out.where("_id <> 'p'").collect()}
+    assert got == {"a": ("DC002", "Objectfoto", "Glas"), "b": ("DC001", "Opgravingsfoto", None), "c": ("Q1", "Overige_afbeelding", None), "d": (None, "Overige_afbeelding", None), "e": (None, None, None), "f": (None, None, None)}
+    assert out.count() == len(rows)
+
+
 def test_specs_are_whole():
     assert len(model.SPECS) == len(model.BY_SOORT)
     for child_key, soort, parent_key, _, _ in model.REFERENCES:
