@@ -34,7 +34,7 @@ PERIODS = {
 #: A value with such a part is no code, whatever numbers it has.
 ERA = r"(?i)v\.? ?chr|voor chr|\b(bc|bp)\b|±|\+ ?/ ?-|jaar geleden"
 MARGIN = re.compile(r"([0-9][0-9 .,]*?) *(?:±|\+ ?/? ?-) *([0-9]+)")
-#: Parts of a century: the words, years off its begin and years off its end.
+#: Parts of a century: the words, years off its begin and years off its end.
 PARTS = (
     (("eerste helft", "1e helft"), 0, 50),
     (("laatste helft", "tweede helft", "2e helft"), 50, 0),
