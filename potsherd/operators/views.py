@@ -46,10 +46,13 @@ def related(df: DataFrame, pk: str, links: DataFrame, own: str, other: str, valu
     return df.join(wanted, F.col(pk) == F.col("_own"), "left_semi")
 
 
+def sorting(*keys: tuple[str, bool], tie: str) -> list[Column]:
+    return [*[F.asc_nulls_last(c) if ascending else F.desc_nulls_first(c) for c, ascending in keys], F.asc(tie)]
+
+
 def ordered(df: DataFrame, *keys: tuple[str, bool], tie: str) -> DataFrame:
     """Sorted by (column, ascending); nulls are last when ascending and first when descending. ``tie`` decides between equal rows."""
-    by = [F.asc_nulls_last(c) if ascending else F.desc_nulls_first(c) for c, ascending in keys]
-    return df.orderBy(*by, tie)
+    return df.orderBy(*sorting(*keys, tie=tie))
 
 
 def page(df: DataFrame, number: int, size: int, *keys: tuple[str, bool], tie: str) -> DataFrame:

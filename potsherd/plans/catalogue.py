@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from potsherd.functions import dating, files, geo, values
-from potsherd.operators import harmonise, hierarchy, keys, merge, photos, references, reports, search, segments, views, writes
+from potsherd.operators import harmonise, hierarchy, intervals, keys, merge, outline, photos, profiles, references, reports, search, segments, views, writes
 from potsherd.plans.oracles import ORACLES as ORACLES
-from potsherd.sources import buckets, staging, tables, versions
+from potsherd.sources import buckets, paged, staging, tables, versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -450,6 +450,14 @@ def data_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.profile(read(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
 
 
+@query
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different values, quartiles and frequent values of all lines, merged from sketches of each flag's lines."""
+    columns = ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
+    parts = profiles.sketches(read(spark, sf_dir, "lineitem"), columns, "l_returnflag")
+    return profiles.told(profiles.merged(parts, columns), columns)
+
+
 @query
 def pushed_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = reports.pushed(read(spark, sf_dir, "part"), "p_brand", "p_size")
@@ -506,6 +514,15 @@ def page_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.page(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), 3, 25, ("o_orderpriority", True), ("o_custkey", False), tie="o_orderkey")
 
 
+@query
+def page_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page from far within all orders, from a table that is kept in the view's order."""
+    root, by = versions.scratch(spark, "paged"), (("o_orderpriority", True), ("o_custkey", False))
+    paged.store(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), root, *by, tie="o_orderkey", rows=10_000)
+    middle = paged.total(spark, root) // 2 // 25
+    return paged.page(spark, root, middle, 25, *by, tie="o_orderkey").withColumn("page", F.lit(middle).cast("bigint"))
+
+
 @query
 def key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of parties from a registry: the suppliers' run first, then customers and suppliers together, as they were and new."""
@@ -724,6 +741,22 @@ def hierarchy_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.below(customer, "ref", tree_of(spark, sf_dir), F.col("concept") == "EUROPE")
 
 
+@query
+def hierarchy_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole tree with the places of its nodes."""
+    return intervals.numbered(tree_of(spark, sf_dir)).select("primary_key", "first", "last", F.col("depth").cast("bigint").alias("depth"))
+
+
+@query
+def hierarchy_range_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose supplier lies below two regions, by ranges of places."""
+    numbers = hierarchy.written(intervals.numbered(tree_of(spark, sf_dir)))
+    line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") + 1000).cast("bigint").alias("ref"))
+    placed = intervals.located(line, "ref", numbers)
+    below = intervals.below(placed, "place", numbers, F.col("concept").isin("EUROPE", "ASIA"))
+    return below.groupBy("ref").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orders"))
+
+
 @query
 def hierarchy_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hierarchy.children(tree_of(spark, sf_dir), 2).select("primary_key", "concept")
@@ -739,10 +772,20 @@ def outline_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as an indented list of brands: every tenth part opens a group, every third a group within it."""
     k = F.col("p_partkey")
     listed = read(spark, sf_dir, "part").select("p_partkey", "p_brand", F.when(k % 10 == 0, k.cast("string")).alias("l0"), F.when((k % 10 != 0) & (k % 3 == 0), k.cast("string")).alias("l1"), F.when((k % 10 != 0) & (k % 3 != 0), k.cast("string")).alias("l2"))
-    out = hierarchy.outline_paths(listed, ["l0", "l1", "l2"], "p_partkey", "p_brand")
+    out = outline.outline_paths(listed, ["l0", "l1", "l2"], "p_partkey", "p_brand")
     return out.select("p_partkey", F.array_join("uris", "/").alias("uris"), "parent_uri")
 
 
+@query
+def outline_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as one indented list without schemes: every 500th key opens a group, every tenth a group within it."""
+    k = F.col("o_orderkey")
+    name = k.cast("string")
+    listed = read(spark, sf_dir, "orders").select("o_orderkey", F.when(k % 500 == 0, name).alias("l0"), F.when((k % 500 != 0) & (k % 10 == 0), name).alias("l1"), F.when(k % 10 != 0, name).alias("l2"))
+    out = outline.outline_paths(listed, ["l0", "l1", "l2"], "o_orderkey", rows=10_000)
+    return out.select("o_orderkey", F.array_join("uris", "/").alias("uris"), "parent_uri")
+
+
 # search
 
 

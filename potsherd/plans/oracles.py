@@ -254,6 +254,29 @@ ORACLES: dict[str, str] = {
         WITH RECURSIVE t AS ({TREE}), b AS (SELECT primary_key FROM t WHERE concept = 'EUROPE' UNION SELECT t.primary_key FROM t JOIN b ON t.parentID = b.primary_key)
         SELECT c_custkey, c_nationkey::BIGINT + 100 AS ref FROM customer WHERE c_nationkey + 100 IN (SELECT primary_key FROM b)
     """,
+    "hierarchy_intervals": f"""
+        WITH RECURSIVE t AS ({TREE}),
+        p AS (SELECT primary_key AS k, [primary_key] AS path FROM t WHERE parentID NOT IN (SELECT primary_key FROM t)
+              UNION ALL SELECT primary_key, list_append(path, primary_key) FROM t JOIN p ON parentID = k),
+        n AS (SELECT k, path, row_number() OVER (ORDER BY path) AS first FROM p),
+        below AS (SELECT unnest(path) AS k, count(*) AS size FROM p GROUP BY 1)
+        SELECT k AS primary_key, first::BIGINT AS first, (first + size - 1)::BIGINT AS last, (len(path) - 1)::BIGINT AS depth FROM n JOIN below USING (k)
+    """,
+    "hierarchy_range_filter": """
+        SELECT l_suppkey + 1000 AS ref, count(*) AS n, sum(l_orderkey)::BIGINT AS orders FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey
+        WHERE r_name IN ('EUROPE', 'ASIA') GROUP BY l_suppkey
+    """,
+    "page_stored": """
+        WITH p AS (SELECT (count(*) // 2 // 25)::BIGINT AS page FROM orders), o AS (SELECT o_orderkey, o_custkey, o_orderpriority, row_number() OVER (ORDER BY o_orderpriority ASC NULLS LAST, o_custkey DESC NULLS FIRST, o_orderkey) - 1 AS place FROM orders)
+        SELECT o_orderkey, o_custkey, o_orderpriority, page FROM o, p WHERE place // 25 = page
+    """,
+    "outline_ranges": """
+        WITH a AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 500 = 0 THEN 0 WHEN o_orderkey % 10 = 0 THEN 1 ELSE 2 END AS level FROM orders),
+        b AS (SELECT *, max(CASE WHEN level = 0 THEN k END) OVER w AS l0, max(CASE WHEN level = 1 THEN k END) OVER w AS l1 FROM a WINDOW w AS (ORDER BY k)),
+        c AS (SELECT k, level, l0, CASE WHEN level > 0 AND l1 > coalesce(l0, -1) THEN l1 END AS l1 FROM b),
+        d AS (SELECT k, list_filter([l0, l1, CASE WHEN level = 2 THEN k END], lambda x: x IS NOT NULL) AS path FROM c)
+        SELECT k AS o_orderkey, array_to_string(path, '/') AS uris, CASE WHEN len(path) > 1 THEN path[-2] END::VARCHAR AS parent_uri FROM d
+    """,
     "hierarchy_children": f"SELECT primary_key, concept FROM ({TREE}) WHERE parentID = 2",
     "hierarchy_parent": f"WITH t AS ({TREE}) SELECT t.primary_key, t.concept, p.concept AS parent_concept FROM t LEFT JOIN t p ON t.parentID = p.primary_key",
     "outline_ancestors": """

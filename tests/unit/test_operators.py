@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from potsherd.operators import harmonise, hierarchy, keys, merge, references, reports, search, views, writes
+from potsherd.operators import harmonise, hierarchy, keys, merge, outline, references, reports, search, views, writes
 from potsherd.sources import staging, tables
 
 
@@ -116,7 +116,7 @@ def test_deep_tree(spark):
 
 def test_outline(spark):
     df = spark.createDataFrame([(1, "S", None, None), (2, None, "a", None), (3, None, None, "x"), (4, None, "b", None), (5, None, None, "y"), (6, "T", None, None), (7, None, None, "z")], "o long, l0 string, l1 string, l2 string")
-    got = {r.o: (r.uris, r.parent_uri) for r in hierarchy.outline_paths(df, ["l0", "l1", "l2"], "o").collect()}
+    got = {r.o: (r.uris, r.parent_uri) for r in outline.outline_paths(df, ["l0", "l1", "l2"], "o").collect()}
     assert got == {1: (["S"], None), 2: (["S", "a"], "S"), 3: (["S", "a", "x"], "a"), 4: (["S", "b"], "S"), 5: (["S", "b", "y"], "b"), 6: (["T"], None), 7: (["T", "z"], "T")}
 
 
