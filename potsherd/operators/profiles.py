@@ -44,7 +44,7 @@ def sketches(df: DataFrame, columns: list[str], *by: str) -> DataFrame:
 
 
 def merged(parts: DataFrame, columns: list[str], *by: str) -> DataFrame:
-    """Rows of ``sketches`` merged into one for each value of ``by``, or one in all."""
+    """Rows of ``sketches`` merged into one for each value of ``by``, or one in all; no rows give none."""
 
     def of(c: str) -> Column:
         x = lambda f: F.col(f"{PROFILE}.`{c}`.{f}")
@@ -52,14 +52,16 @@ def merged(parts: DataFrame, columns: list[str], *by: str) -> DataFrame:
         bounds = [F.sum(x("n_rows")).alias("n_rows"), F.sum(x("nulls")).alias("nulls"), F.min(x("low")).alias("low"), F.max(x("high")).alias("high")]
         return F.struct(*bounds, F.hll_union_agg(x("distinct")).alias("distinct"), F.kll_merge_agg_double(x("ranks"), F.lit(RANKS)).alias("ranks"), frequent.alias("frequent")).alias(c)
 
-    return parts.groupBy(*by).agg(F.struct(*[of(c) for c in columns]).alias(PROFILE))
+    # grouped in any case: frequent values don't merge with what an ungrouped aggregate gives for an empty partition
+    return parts.groupBy(*(by or [F.lit(0).alias("_all")])).agg(F.struct(*[of(c) for c in columns]).alias(PROFILE)).drop("_all")
 
 
 def told(parts: DataFrame, columns: list[str], *by: str, most: int = 10) -> DataFrame:
     """(by,) attribute, n_rows, nulls, n_distinct, low, high, quantiles, frequent.
 
     ``quantiles`` (of numbers, null for other columns and for none but nulls) are the least value, the quartiles and the
-    greatest; ``frequent`` holds up to ``most`` (item, count), more frequent ones first, equal ones by item.
+    greatest; ``frequent`` holds up to ``most`` (item, count), more frequent ones first, equal ones by item. Of a column with
+    more values than are counted exactly, only those that are surely frequent stand there, so it may be empty.
     """
     asked = F.array(*[F.lit(q) for q in QUANTILES])
 

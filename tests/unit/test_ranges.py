@@ -128,6 +128,12 @@ def test_profile_by_sketches(spark):
         assert got["w"].quantiles is None and got["none"].quantiles is None and got["none"].frequent == []
         counts = Counter(r[2] for r in rows)
         assert [(f["item"], f["count"]) for f in got["w"].frequent] == sorted(counts.items(), key=lambda p: (-p[1], p[0]))[:10]
+    few = df.where("id < 8")
+    spread = profiles.sketches(few.repartition(30), columns, "part")
+    for parts in (profiles.merged(spread.repartition(30), columns), profiles.sketches(few.repartition(30), columns)):  # most partitions are empty
+        got = {r.attribute: r for r in profiles.told(parts, columns).collect()}
+        assert (got["id"].n_rows, got["id"].n_distinct, got["x"].nulls, got["none"].frequent) == (8, 8, 2, [])
+    assert profiles.told(profiles.merged(spread.where("part > 9"), columns), columns).count() == 0
     by = {(r.part, r.attribute): r.n_rows for r in profiles.told(profiles.sketches(df, columns, "part"), columns, "part").collect()}
     assert by[(0, "id")] == 5000
     assert [r.n_rows for r in profiles.told(profiles.sketches(df.limit(0), columns), columns).collect()] == [0, 0, 0, 0]
