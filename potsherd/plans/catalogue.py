@@ -87,6 +87,37 @@ def ui_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return picked.select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
+#: A filter of a search form by each of its kinds: column and value.
+ASKED = {
+    "equal": ("o_orderstatus", "O"),
+    "not_equal": ("known_priority", "1-URGENT"),
+    "starts_with": ("known_priority", "2-h"),
+    "not_starts_with": ("known_priority", "2-h"),
+    "ends_with": ("known_priority", "HIGH"),
+    "not_ends_with": ("known_priority", "high"),
+    "contains": ("known_priority", "edi"),
+    "not_contains": ("known_priority", "EDI"),
+    "greater": ("o_totalprice", 200000.0),
+    "smaller": ("o_totalprice", 200000.0),
+    "in": ("known_priority", ["2-HIGH", "3-MEDIUM"]),
+    "not_in": ("known_priority", ["2-HIGH", "3-MEDIUM"]),
+    "not_in_or_missing": ("known_priority", ["2-HIGH", "3-MEDIUM"]),
+    "exists": ("known_priority", True),
+    "relation": ("o_custkey", 7),
+    "not_relation": ("o_custkey", 7),
+    "function": ("o_orderstatus", lambda: "F"),
+    "matches": ("known_priority", "^[23]-.*m$"),
+}
+
+
+@query
+def ui_filters_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many orders fit each kind of filter, in one pass; priorities are missing for some orders."""
+    orders = read(spark, sf_dir, "orders").withColumn("known_priority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    fits = [F.count_if(views.FILTERS[kind](F.col(column), value)).alias(kind) for kind, (column, value) in ASKED.items()]
+    return orders.agg(*fits).unpivot([], list(ASKED), "filter", "n")
+
+
 @query
 def relation_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts that a given supplier has sold: a relation of many to many."""
@@ -161,6 +192,32 @@ def rd_to_wgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "customer").select("c_custkey", F.round(latitude, 6).alias("lat"), F.round(longitude, 6).alias("lon"))
 
 
+@query
+def located_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as points of a map: missing coordinates and those that stand for none give no point."""
+    k = F.col("c_custkey")
+    x = F.when(k % 5 == 0, F.lit(None)).when(k % 7 == 0, F.lit(1)).otherwise(20000 + k % 250000)
+    placed = read(spark, sf_dir, "customer").select("c_custkey", geo.valid(x, 310000 + k * 7 % 300000).alias("valid"), geo.location(x, 310000 + k * 7 % 300000).alias("at"))
+    made = placed.withColumn("point", F.when(F.col("at").isNotNull(), geo.point(F.col("at.lon"), F.col("at.lat"))))
+    return made.select("c_custkey", "valid", F.col("point.type").alias("type"), *[F.round(F.get("point.coordinates", F.lit(i)), 6).alias(n) for i, n in enumerate(("lon", "lat"))])
+
+
+@query
+def toponym_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts by name; a missing or blank one is replaced by the type, in title case."""
+    k = F.col("p_partkey")
+    name = F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, F.lit("  ")).otherwise(F.col("p_name"))
+    return read(spark, sf_dir, "part").select("p_partkey", harmonise.toponym_name(name, F.col("p_type")).alias("name"))
+
+
+@query
+def default_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of each priority, where missing and empty ones got a default."""
+    k = F.col("o_orderkey")
+    orders = read(spark, sf_dir, "orders").select("o_totalprice", F.when(k % 4 == 0, F.lit(None)).when(k % 4 == 1, F.lit("")).otherwise(F.col("o_orderpriority")).alias("priority"))
+    return merge.with_default(orders, "priority", "Onbekend").groupBy("priority").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def wgs_to_rd(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, y = geo.wgs_to_rd(F.lit(51.0) + F.col("c_custkey") % 1000 / 500, F.lit(4.0) + F.col("c_custkey") % 900 / 400)

@@ -53,6 +53,16 @@ ORACLES: dict[str, str] = {
         SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
         WHERE o_orderstatus IN ('O', 'F') AND o_orderpriority NOT LIKE '1-%' AND lower(o_orderpriority) LIKE '%h%' AND o_totalprice > 1000 AND o_custkey <> 1
     """,
+    "ui_filters_each": """
+        WITH o AS (SELECT *, nullif(o_orderpriority, '5-LOW') AS p FROM orders),
+        n AS (SELECT {'equal': count(*) FILTER (o_orderstatus = 'O'), 'not_equal': count(*) FILTER (p <> '1-URGENT'), 'starts_with': count(*) FILTER (p ILIKE '2-h%'), 'not_starts_with': count(*) FILTER (p NOT ILIKE '2-h%'),
+                      'ends_with': count(*) FILTER (p ILIKE '%high'), 'not_ends_with': count(*) FILTER (p NOT ILIKE '%high'), 'contains': count(*) FILTER (p ILIKE '%edi%'), 'not_contains': count(*) FILTER (p NOT ILIKE '%edi%'),
+                      'greater': count(*) FILTER (o_totalprice > 200000), 'smaller': count(*) FILTER (o_totalprice < 200000), 'in': count(*) FILTER (p IN ('2-HIGH', '3-MEDIUM')), 'not_in': count(*) FILTER (p NOT IN ('2-HIGH', '3-MEDIUM')),
+                      'not_in_or_missing': count(*) FILTER (p IS NULL OR p NOT IN ('2-HIGH', '3-MEDIUM')), 'exists': count(p), 'relation': count(*) FILTER (o_custkey = 7), 'not_relation': count(*) FILTER (o_custkey <> 7),
+                      'function': count(*) FILTER (o_orderstatus = 'F'), 'matches': count(*) FILTER (p = '3-MEDIUM')} AS s FROM o),
+        w AS (SELECT unnest(s) FROM n)
+        SELECT name AS filter, value AS n FROM (UNPIVOT w ON COLUMNS(*) INTO NAME name VALUE value)
+    """,
     "relation_filter": "SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_suppkey = 3)",
     "discriminator_view": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'P'",
     "material_validation": """
@@ -86,6 +96,15 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey, round(({polynomial(geo.TO_PHI, "dx", "dy")}) / 3600 + {geo.PHI0}::DOUBLE, 6) AS lat,
                round(({polynomial(geo.TO_LAMBDA, "dx", "dy")}) / 3600 + {geo.LAMBDA0}::DOUBLE, 6) AS lon FROM c
     """,
+    "located_points": f"""
+        WITH c AS (SELECT c_custkey, c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AS valid, ((20000 + c_custkey % 250000)::DOUBLE - {geo.X0}) * 1e-5::DOUBLE AS dx, ((310000 + c_custkey * 7 % 300000)::DOUBLE - {geo.Y0}) * 1e-5::DOUBLE AS dy FROM customer)
+        SELECT c_custkey, valid, CASE WHEN valid THEN 'Point' END AS type, CASE WHEN valid THEN round(({polynomial(geo.TO_PHI, "dx", "dy")}) / 3600 + {geo.PHI0}::DOUBLE, 6) END AS lat,
+               CASE WHEN valid THEN round(({polynomial(geo.TO_LAMBDA, "dx", "dy")}) / 3600 + {geo.LAMBDA0}::DOUBLE, 6) END AS lon FROM c
+    """,
+    "toponym_names": f"SELECT p_partkey, CASE WHEN p_partkey % 3 = 2 THEN p_name ELSE {TITLE.format('p_type')} END AS name FROM part",
+    "default_values": """
+        SELECT CASE WHEN o_orderkey % 4 IN (0, 1) THEN 'Onbekend' ELSE coalesce(nullif(o_orderpriority, ''), 'Onbekend') END AS priority, count(*) AS n FROM orders GROUP BY 1
+    """,
     "wgs_to_rd": f"""
         WITH c AS (SELECT c_custkey, (51.0::DOUBLE + (c_custkey % 1000)::DOUBLE / 500 - {geo.PHI0}::DOUBLE) * 0.36::DOUBLE AS a, (4.0::DOUBLE + (c_custkey % 900)::DOUBLE / 400 - {geo.LAMBDA0}::DOUBLE) * 0.36::DOUBLE AS b FROM customer)
         SELECT c_custkey, round({polynomial(geo.TO_X, "a", "b")} + {geo.X0}, 2) AS x, round({polynomial(geo.TO_Y, "a", "b")} + {geo.Y0}, 2) AS y FROM c
