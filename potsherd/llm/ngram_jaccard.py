@@ -1,13 +1,16 @@
 """Similarity join of word n-gram sets by chosen paths.
 
 Each run samples about BRANCH tokens that two similar sets can be expected to share, by one hash for all sets, and puts a
-set into the bucket of each token it samples. Buckets with too many sets are split again on freshly sampled tokens; what
-is still large after DEPTH splits is dealt into tiles, so that each pair of its blocks meets. Small buckets are compared
+set into the bucket of each token it samples. Buckets with too many sets are split again on freshly sampled tokens. In what
+is still large after DEPTH splits all sets are compared with one of them: those linked with it need no further links among
+themselves, and what is further from it than two links can reach meets none of these. What then is left is dealt into
+tiles, so that each pair of its blocks meets. Small buckets are compared
 by brute force: first by sketches, then by the sets themselves. Runs repeat until the target recall.
 
 Sets that are equal are one node. A bucket gives a spanning forest of its links and never all pairs, connected
-components of these are the classes, and links are counted within the classes, tile by tile, on the sets' differences from
-one set of their class.
+components of these are the classes, and links are counted within the classes, on the sets' differences from one set of
+their class. Sets within half a link's distance of that one are linked with each other and need only be counted; the
+others are compared tile by tile.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ NGRAM, SIMILARITY = 5, 0.8
 BRANCH, RECALL = 2.0, 0.99999
 #: A bucket of more sets is split again, so often at most; and sets of a block of the tiles.
 LEAF, DEPTH, BLOCK = 4096, 4, 1024
+#: Sets that all others of a crowded bucket are compared with, one after the other, before the rest is dealt into tiles.
+HEADS = 3
 #: Tokens of a block at most, unless one set has more.
 BLOCK_TOKENS = 1_000_000
 #: Bits of a sketch, and standard deviations below the expected agreement at which a pair is still compared.
@@ -379,10 +384,61 @@ def tiled(large: DataFrame, counts: DataFrame) -> DataFrame:
     return other.select(F.xxhash64("path", F.least("block", "other"), F.greatest("block", "other")).alias("path"), "node", "size", "s0", "s1")
 
 
-def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> DataFrame:
-    """(meet, node) of all small buckets, those of split ones included."""
+def within(reach: int, similarity: float) -> Column:
+    """Whether a set, given by its differences from another, is at most ``reach`` halves of a link's distance from it.
+
+    One less the Jaccard similarity is a distance, so sets within one half of the same set are linked, and those of more
+    than four are linked with no set within two. All in whole numbers.
+    """
+    f = Fraction(similarity).limit_denominator(10_000)
+    apart = F.size("tokens").cast("long")
+    return 2 * f.denominator * apart <= reach * (f.denominator - f.numerator) * (F.col("base") + apart - F.col("lost"))
+
+
+def by_heads(large: DataFrame, texts: DataFrame, n: int, similarity: float, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each crowded bucket against its smallest node: links with that, buckets of linked and nearly linked sets, and the sets that aren't linked."""
+    firsts = scratch.keep(large.groupBy(F.col("path").alias("p")).agg(F.min("node").alias("root")))
+    own = scratch.keep(large.join(joinable(firsts), F.col("path") == F.col("p")).drop("p"))
+    pairs = own.select("root", "node").distinct()
+    wholes = scratch.keep(texts.join(joinable(firsts.select("root").distinct()), F.col("node") == F.col("root"), "left_semi").select(F.col("node").alias("head"), F.col("text").alias("whole")))
+    apart = differences(pairs, texts, n, joinable(wholes)).select(F.col("root").alias("r"), F.col("node").alias("k"), within(2, similarity).alias("linked"), within(4, similarity).alias("near"))
+    told = scratch.keep(own.join(apart, (F.col("root") == F.col("r")) & (F.col("node") == F.col("k"))).drop("r", "k"))
+    links = told.where("linked AND node != root").select(F.col("root").alias("a"), F.col("node").alias("b")).distinct()
+
+    blocks = lambda which: F.ceil(F.count(F.when(which, 1)) / BLOCK).cast("int")
+    ring = F.col("near") & ~F.col("linked")
+    counts = scratch.keep(told.groupBy(F.col("path").alias("p")).agg(blocks(F.col("linked")).alias("inner"), blocks(ring).alias("outer")).where("outer > 0"))
+    both = told.where("near").join(joinable(counts), F.col("path") == F.col("p"))
+    mine, theirs = F.when(F.col("linked"), F.col("inner")).otherwise(F.col("outer")), F.when(F.col("linked"), F.col("outer")).otherwise(F.col("inner"))
+    dealt = both.withColumn("block", F.pmod(F.xxhash64("node", "path"), mine).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), theirs - 1)))
+    low, high = F.when(F.col("linked"), F.col("block")).otherwise(F.col("other")), F.when(F.col("linked"), F.col("other")).otherwise(F.col("block"))
+    between = dealt.select(F.xxhash64("path", "root", low, high).alias("path"), "node", "size", "s0", "s1")
+    return links, between, told.where("NOT linked").select("path", "node", "size", "s0", "s1")
+
+
+def crowded(large: DataFrame, texts: DataFrame, n: int, similarity: float, leaf: int, scratch: Scratch) -> tuple[list[DataFrame], DataFrame]:
+    """Lists of (meet, node) of buckets that were split often enough, and the links (a, b) that were found on the way."""
+    found, links = [], None
+    for _ in range(HEADS):
+        more, between, rest = by_heads(large, texts, n, similarity, scratch)
+        more, rest = scratch.keep(more), scratch.keep(rest)
+        links = more if links is None else links.unionByName(more)
+        found.append(scratch.keep(plausible(between, similarity)))
+        counts = scratch.keep(rest.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf))
+        hot = joinable(counts.select(F.col("path").alias("p")))
+        is_hot = F.col("path") == F.col("p")
+        found.append(scratch.keep(plausible(rest.join(hot, is_hot, "left_anti"), similarity)))
+        large = scratch.keep(rest.join(hot, is_hot, "left_semi"))
+        if counts.isEmpty():
+            return found, links
+    found.append(scratch.keep(plausible(tiled(large, counts), similarity)))
+    return found, links
+
+
+def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(meet, node) of all small buckets, those of split ones included, and the links (a, b) that crowded ones gave already."""
     rows = reps.where("size > 0").select(F.explode("paths").alias("path"), "node", "size", "s0", "s1")
-    texts, found = None, []
+    texts, found, links = None, [], None
     for level in range(depth + 1):
         counts = scratch.keep(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf))
         if counts.isEmpty():
@@ -392,16 +448,17 @@ def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, bran
         is_hot = F.col("path") == F.col("p")
         found.append(scratch.keep(plausible(rows.join(hot, is_hot, "left_anti"), similarity)))
         large = scratch.keep(rows.join(hot, is_hot, "left_semi"))
-        if level == depth:
-            found.append(scratch.keep(plausible(tiled(large, counts), similarity)))
-            break
         if texts is None:  # the sets of deeper buckets are among these
             texts = with_texts(docs, reps, large.select("node").distinct(), scratch)
+        if level == depth:
+            more, links = crowded(large, texts, n, similarity, leaf, scratch)
+            found += more
+            break
         rows = scratch.keep(split_again(large, texts, n, branch, similarity))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out if len(found) == 1 else out.distinct()
+    return out if len(found) == 1 else out.distinct(), links
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -428,13 +485,14 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep(pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
 
 
-def differences(classes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+def differences(classes: DataFrame, texts: DataFrame, n: int, heads: DataFrame | None = None) -> DataFrame:
     """(root, node, base, lost, tokens): how each set differs from its class's root, a set of ``base`` tokens, of which it lacks ``lost``.
 
     Near copies differ in few tokens, so these lists are short whatever the texts' length. Two sets share ``base`` less
-    what either lacks, and what both lists of differences hold.
+    what either lacks, and what both lists of differences hold. ``heads`` are the roots' texts (head, whole), if known.
     """
-    heads = classes.where("node = root").select(F.col("node").alias("head")).join(texts.withColumnRenamed("text", "whole"), F.col("head") == F.col("node")).select("head", "whole")
+    if heads is None:
+        heads = classes.where("node = root").select(F.col("node").alias("head")).join(texts.withColumnRenamed("text", "whole"), F.col("head") == F.col("node")).select("head", "whole")
     both = classes.join(texts, "node").join(heads, F.col("root") == F.col("head")).select("root", "node", "text", "whole")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,15 +513,29 @@ def differences(classes: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
 
 def count_links(classes: DataFrame, texts: DataFrame, n: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """(node, links): the linked nodes of each node, counted within its class; large classes are dealt into tiles of their differences."""
-    apart = scratch.keep(differences(classes, texts, n))
-    sizes = apart.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("tokens")).alias("total"))
-    sizes = scratch.keep(sizes.select(F.col("root").alias("r"), F.ceil(F.greatest(F.col("n") / BLOCK, F.col("total") / BLOCK_TOKENS)).cast("int").alias("many")))
-    dealt = apart.join(joinable(sizes), F.col("root") == F.col("r")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("many")).cast("int"))
-    each = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+    """(node, links): the linked nodes of each node, counted within its class.
+
+    Nodes so close to the root that any two of them are linked (a class's core) are counted and not compared with each
+    other. Others meet each other and the core in tiles of their differences.
+    """
+    apart = scratch.keep(differences(classes, texts, n).withColumn("core", within(1, similarity)))
+    blocks = lambda which: F.ceil(F.greatest(F.count(F.when(which, 1)) / BLOCK, F.coalesce(F.sum(F.when(which, F.size("tokens"))), F.lit(0)) / BLOCK_TOKENS)).cast("int")
+    core = F.col("core")
+    sizes = apart.groupBy(F.col("root").alias("r")).agg(F.count(F.when(core, 1)).alias("n_core"), blocks(core).alias("inner"), blocks(~core).alias("outer"))
+    dealt = apart.join(joinable(scratch.keep(sizes)), F.col("root") == F.col("r"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.when(core, F.col("inner")).otherwise(F.col("outer"))).cast("int"))
+    kept = ["node", "base", "lost", "tokens"]
+    upto = lambda many: F.explode(F.when(F.col(many) > 0, F.sequence(F.lit(0), F.col(many) - 1)))
+
+    outside = dealt.where(~core)
+    each = outside.withColumn("other", upto("outer"))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     side = F.when(low == high, 2).otherwise((F.col("block") == high).cast("int")).alias("side")
-    rows = each.select(F.xxhash64("root", low, high).alias("meet"), side, "node", "base", "lost", "tokens")
+    rows = each.select(F.xxhash64("root", low, high).alias("meet"), side, *kept)
+    inner = dealt.where(core).withColumn("other", upto("outer")).select(F.xxhash64("root", F.lit("core"), "block", "other").alias("meet"), F.lit(0).alias("side"), *kept)
+    outer = outside.withColumn("other", upto("inner")).select(F.xxhash64("root", F.lit("core"), "other", "block").alias("meet"), F.lit(1).alias("side"), *kept)
+    rows = rows.unionByName(inner).unionByName(outer)
+    certain = dealt.where(core).select("node", (F.col("n_core") - 1).alias("links"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in grouped(batches, "meet"):
@@ -483,7 +555,8 @@ def count_links(classes: DataFrame, texts: DataFrame, n: int, similarity: float,
                         counts[a:b] += linked
             yield pa.RecordBatch.from_arrays([table.column("node").combine_chunks(), pa.array(counts)], ["node", "links"])
 
-    return sorted_by(rows, "meet").mapInArrow(thrifty(run), "node binary, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    compared = sorted_by(rows, "meet").mapInArrow(thrifty(run), "node binary, links long")
+    return compared.unionByName(certain).groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -498,9 +571,13 @@ def connected(docs: DataFrame, n: int, similarity: float, recall: float, branch:
     reps = told.where("size > 0").groupBy("node").agg(smallest, F.count(F.lit(1)).alias("copies"), *same)
     reps = scratch.keep(reps.select("node", "best.doc_id", "best.text_key", "copies", "size", "s0", "s1", "paths"))
 
-    meets = candidates(docs, reps, n, similarity, branch, leaf, depth, scratch)
-    texts = with_texts(docs, reps, scratch.keep(meets.select("node").distinct()), scratch)
+    meets, known = candidates(docs, reps, n, similarity, branch, leaf, depth, scratch)
+    nodes = meets.select("node")
+    if known is not None:
+        nodes = nodes.unionByName(known.select(F.explode(F.array("a", "b")).alias("node")))
+    texts = with_texts(docs, reps, scratch.keep(nodes.distinct()), scratch)
     links = scratch.keep(verified(meets.join(texts, "node"), n, similarity))
+    links = links if known is None else links.unionByName(known)
     return told, reps, texts, components(links, scratch)
 
 

@@ -101,6 +101,39 @@ def test_split_and_tiled_buckets_lose_no_link(spark, monkeypatch, leaf, depth):
     assert found(ngram_jaccard.annotate(docs, leaf=leaf, depth=depth)) == brute_force(rows)
 
 
+def test_crowded_buckets_and_classes_grow_with_their_rows(spark, monkeypatch):
+    """Sets that are all alike meet one of them, and neither each other nor the texts of each other."""
+    rng = random.Random(6)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 50)
+    base = prose(rng, 400)
+    rows = list(enumerate(near_copies(rng, base, 2000, 1)))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    made = []
+    verified = ngram_jaccard.verified
+    monkeypatch.setattr(ngram_jaccard, "verified", lambda r, *a: made.append(r.count()) or verified(r, *a))
+    got = ngram_jaccard.annotate(docs, leaf=100, depth=1).collect()
+    assert {(r.class_id, r.links) for r in got} == {(0, 1999)} and len(got) == 2000
+    assert made[0] < 2000
+
+
+@pytest.mark.parametrize("heads", [1, 3])
+def test_sets_around_a_head_lose_no_link(spark, monkeypatch, heads):
+    """Chains in which each set is linked with the next ones only, so that linked, nearly linked and far sets stand in one bucket."""
+    rng = random.Random(7)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 8)
+    monkeypatch.setattr(ngram_jaccard, "HEADS", heads)
+    texts = []
+    for _ in range(3):
+        words = prose(rng, 120)
+        for _ in range(30):
+            texts.append(" ".join(words))
+            words = words[2:] + prose(rng, 2)
+    texts += near_copies(rng, prose(rng, 100), 30, 2)
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert found(ngram_jaccard.annotate(spark.createDataFrame(rows, SCHEMA).repartition(3), leaf=4, depth=1)) == brute_force(rows)
+
+
 def test_tiles_bring_each_pair_together(monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 3)
     monkeypatch.setattr(ngram_jaccard, "BLOCK_TOKENS", 40)
