@@ -18,6 +18,7 @@ from potsherd.llm.common import Scratch, col, fresh, joinable, small, whole_text
 WINDOW, LITERALS = 8, 5
 #: A document holds an item if its consistent windows cover so great a share of the item's words, or so many words.
 SHARE, COVERED = 0.5, 13
+ENOUGH = f"share >= {SHARE} OR covered >= {COVERED}"
 #: Windows of the benchmark that are broadcast at most; beyond that both sides are shuffled by hash.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -112,10 +113,13 @@ def benchmark_windows(benchmark: DataFrame, text: str, item_id: str, scratch: Sc
 def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """One row for each document that holds a benchmark item: doc_id, text_key, item_id, covered, item_words, share, verbatim.
 
-    ``covered`` counts the item's words in consistent windows, ``verbatim`` is false if a slot differs, text_key is the text's
-    64-bit hash. Null or empty texts hold nothing and null or empty items are held by nothing. Items of
-    placeholders only are held where their words stand as they are. Repeated rows count once, as do repeated items; several items in a document give several rows, a
-    null doc_id or item_id stays null. Extra columns play no part. Empty tables give no rows.
+    ``covered`` counts the item's words in consistent windows, text_key is the text's 64-bit hash. ``verbatim`` tells
+    whether all these words stand in alignments of document and item no slot of which differs, be it in a window that is
+    evidence or in one that contradicts another. Texts are read whole, however long, in time that grows with their length.
+    Null or empty texts hold nothing and null or empty items are held by nothing. Items of placeholders only, and windows
+    with more than WINDOW - LITERALS placeholders, are held where their words stand as they are. Repeated rows count once,
+    as do repeated items; several items in a document give several rows, also where they tie, and a null doc_id or item_id
+    stays null. Extra columns play no part, whatever their names. Empty tables give no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
@@ -128,24 +132,51 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
     kinds = {"hashes": hashed(template(mark)), "plain": hashed(spoken(mark), 1)}
     words = read.select("doc_id", "text_key", *[kinds[k].alias(k) for k in sorted({k for k, _ in wanted})])
     seen = windowed(words, ["doc_id", "text_key"], wanted)
-    lookup = known.select("item_id", F.col("at").alias("item_at"), F.col("size").alias("item_size"), F.col("window").alias("item_window"), "slots")
-    lookup = F.broadcast(lookup) if small(known, BROADCAST_WINDOWS) else lookup
-    met = seen.join(lookup, (F.col("window") == F.col("item_window")) & (F.col("size") == F.col("item_size")))
-    met = scratch.keep(met.select("doc_id", "text_key", "item_id", F.col("at").cast("long").alias("at"), F.col("item_at").cast("long").alias("item_at"), "size", "slots").distinct())
-
-    plain = met.where("slots = 0").withColumn("same", F.lit(True))
-    slotted = met.where("slots > 0")
-    evidence = plain if slotted.isEmpty() else plain.unionByName(consistent(slotted, read, items))
-    covered = F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)))))
-    held = evidence.groupBy("doc_id", "text_key", "item_id").agg(covered.cast("long").alias("covered"), F.min("same").alias("verbatim"))
-    lengths = items.groupBy(F.col("item_id").alias("own_id")).agg(F.max("n_words").cast("long").alias("item_words"))
+    on = (F.col("window") == F.col("item_window")) & (F.col("size") == F.col("item_size"))
+    asked = known.select(F.col("size").alias("item_size"), F.col("window").alias("item_window")).distinct()
+    asked = F.broadcast(asked) if small(known, BROADCAST_WINDOWS) else asked
+    met = scratch.keep(seen.join(asked, on).select("doc_id", "text_key", F.col("at").cast("long").alias("at"), "size", "window").distinct())
+    lengths = scratch.keep(items.groupBy(F.col("item_id").alias("own_id")).agg(F.max("n_words").cast("long").alias("item_words")))
+    lookup = known.select("item_id", F.col("at").cast("long").alias("item_at"), F.col("size").alias("item_size"), F.col("window").alias("item_window"), "slots")
+    likely = possible(met, lookup, lengths, scratch)
+    pairs = joinable(likely.select(F.col("doc_id").alias("p_id"), F.col("text_key").alias("p_key"), F.col("item_id").alias("p_item")))
+    chosen = met.join(pairs, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("text_key") == F.col("p_key")))
+    placed = chosen.join(lookup, on & F.col("item_id").eqNullSafe(F.col("p_item")))
+    placed = scratch.keep(placed.select("doc_id", "text_key", "item_id", "at", "item_at", "size", "slots").distinct())
+
+    shift = (F.col("at") - F.col("item_at")).alias("shift")
+    plain = placed.where("slots = 0").select("doc_id", "text_key", "item_id", "item_at", "size", shift, F.lit(True).alias("fits"), F.lit(True).alias("same"))
+    slotted = placed.where("slots > 0")
+    told = plain if slotted.isEmpty() else plain.unionByName(slots_compared(slotted, read, items))
+    places = F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)
+    aligned = told.groupBy("doc_id", "text_key", "item_id", "shift").agg(F.min("same").alias("clean"), F.collect_set(F.when(F.col("fits"), places)).alias("places"))
+    aligned = aligned.withColumn("places", F.array_sort(F.array_distinct(F.flatten("places"))))
+    n_places = lambda which: F.size(F.array_distinct(F.flatten(F.collect_set(which)))).cast("long")
+    held = aligned.groupBy("doc_id", "text_key", "item_id").agg(n_places(F.col("places")).alias("covered"), n_places(F.when(F.col("clean"), F.col("places"))).alias("kept"))
     shared = held.join(joinable(lengths), F.col("item_id").eqNullSafe(F.col("own_id"))).withColumn("share", F.col("covered") / F.col("item_words"))
-    enough = (F.col("share") >= SHARE) | (F.col("covered") >= COVERED)
-    return shared.where(enough).select("doc_id", "text_key", "item_id", "covered", "item_words", "share", "verbatim")
+    return shared.where(ENOUGH).select("doc_id", "text_key", "item_id", "covered", "item_words", "share", (F.col("kept") == F.col("covered")).alias("verbatim"))
 
 
-def consistent(slotted: DataFrame, read: DataFrame, items: DataFrame) -> DataFrame:
-    """The windows with slots that hold one document value for each item value, along one alignment of document and item."""
+def possible(met: DataFrame, lookup: DataFrame, lengths: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, text_key, item_id): the items that a document would hold if the slots of all its windows fitted.
+
+    Documents that meet the same windows are asked once. So a window that many items share meets these once for each
+    different set of windows, and not for each document.
+    """
+    sets = met.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("size", "window"))).alias("windows"))
+    told = F.array_join(F.transform("windows", lambda w: F.concat_ws(":", w["size"], w["window"])), ",")
+    sets = scratch.keep(sets.withColumn("own", F.sha2(told, 256)))
+    each = sets.groupBy("own").agg(F.first("windows").alias("windows")).select("own", F.explode("windows").alias("w")).select("own", "w.size", "w.window")
+    each = each.join(lookup, (F.col("window") == F.col("item_window")) & (F.col("size") == F.col("item_size")))
+    places = F.sequence(F.col("item_at"), F.col("item_at") + F.col("size") - 1)
+    most = each.groupBy("own", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set(places)))).alias("covered"))
+    most = most.join(joinable(lengths), F.col("item_id").eqNullSafe(F.col("own_id"))).withColumn("share", F.col("covered") / F.col("item_words"))
+    fits = scratch.keep(most.where(ENOUGH).select(F.col("own").alias("of"), "item_id"))
+    return scratch.keep(sets.select("doc_id", "text_key", "own").join(joinable(fits), F.col("own") == F.col("of")).select("doc_id", "text_key", "item_id"))
+
+
+def slots_compared(slotted: DataFrame, read: DataFrame, items: DataFrame) -> DataFrame:
+    """The windows with slots: ``fits`` if they hold one document value for each item value along one alignment of document and item, ``same`` if these are equal."""
     keys = slotted.select(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text")).distinct()
     said = read.join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("text_key") == F.col("k_text")), "left_semi").dropDuplicates(["doc_id", "text_key"])
     said = said.select(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text"), values(marked(F.col("text"))).alias("doc_words"))
@@ -160,8 +191,9 @@ def consistent(slotted: DataFrame, read: DataFrame, items: DataFrame) -> DataFra
     clash = bound.where(F.col("low") != F.col("high")).groupBy("doc_id", "text_key", "item_id", "shift").agg(F.collect_set("asked").alias("clashes"))
     c = clash.select(*[F.col(n).alias(f"c_{n}") for n in clash.columns])
     on = F.col("doc_id").eqNullSafe(F.col("c_doc_id")) & (F.col("text_key") == F.col("c_text_key")) & F.col("item_id").eqNullSafe(F.col("c_item_id")) & (F.col("shift") == F.col("c_shift"))
-    kept = named.join(c, on, "left").where(F.col("c_clashes").isNull() | ~F.exists("pairs", lambda p: F.array_contains(F.col("c_clashes"), p.asked)))
-    return kept.select("doc_id", "text_key", "item_id", "at", "item_at", "size", "slots", (~F.exists("pairs", lambda p: p.asked != p.told)).alias("same"))
+    fits = F.col("c_clashes").isNull() | ~F.exists("pairs", lambda p: F.array_contains(F.col("c_clashes"), p.asked))
+    same = ~F.exists("pairs", lambda p: p.asked != p.told)
+    return named.join(c, on, "left").select("doc_id", "text_key", "item_id", "item_at", "size", "shift", fits.alias("fits"), same.alias("same"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **more: str) -> DataFrame:

@@ -244,6 +244,71 @@ def test_plain_coverage_equals_brute_force(spark):
     assert {(r.doc_id, r.item_id): r.covered for r in found.collect()} == expected
 
 
+def brute_slots(doc, item):
+    """(covered, verbatim) of one item in one document, both of small words and numbers only."""
+    doc, item = doc.split(), item.split()
+    size = min(8, len(item))
+    slot = [w.isdigit() for w in item]
+    alike = lambda at, k: item[k] == doc[at] or (slot[k] and doc[at].isdigit())
+    by_shift = defaultdict(list)
+    for k in range(len(item) - size + 1):
+        few = size - sum(slot[k : k + size]) < min(5, size)
+        for at in range(len(doc) - size + 1):
+            if doc[at : at + size] == item[k : k + size] if few else all(alike(at + i, k + i) for i in range(size)):
+                by_shift[at - k].append((k, few))
+    covered, kept = set(), set()
+    for shift, found in by_shift.items():
+        told = defaultdict(set)
+        for k, few in found:
+            for i in range(k, k + size):
+                if slot[i] and not few:
+                    told[item[i]].add(doc[i + shift])
+        places = set()
+        for k, few in found:
+            if few or all(len(told[item[i]]) == 1 for i in range(k, k + size) if slot[i]):
+                places |= set(range(k, k + size))
+        covered |= places
+        if all(v == {w} for w, v in told.items()):
+            kept |= places
+    return len(covered), kept == covered
+
+
+def test_slots_equal_brute_force(spark):
+    """Copies with other numbers, some of which contradict each other, windows that all items share, and slots that stand close together."""
+    rng = random.Random(14)
+    shared = sentence(rng, 9)
+    items = [(k, " ".join([shared, *(str(rng.randrange(10, 15)) if rng.random() < 0.3 else sentence(rng, 1) for _ in range(rng.randrange(3, 30)))])) for k in range(8)]
+    items.append((8, "12 and 13 make 25"))
+    docs = []
+    for i in range(120):
+        words = items[i % 9][1].split()
+        other = {str(n): str(n + 50) for n in range(10, 15)} if rng.random() < 0.6 else {}
+        words = [other.get(w, w) for w in words]
+        if rng.random() < 0.5:
+            at = rng.randrange(len(words))
+            words[at] = "77" if words[at].isdigit() else words[at]
+        a = rng.randrange(0, max(1, len(words) // 3))
+        docs.append((i, " ".join([sentence(rng, 12), *words[a:], sentence(rng, 12), shared])))
+    expected = {}
+    for i, t in docs:
+        for k, q in items:
+            covered, verbatim = brute_slots(t, q)
+            if covered >= 13 or covered >= 0.5 * len(q.split()):
+                expected[i, k] = (covered, verbatim)
+    got = decontamination.find(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): (r.covered, r.verbatim) for r in got.collect()} == expected
+    assert {v for _, v in expected.values()} == {True, False}
+
+
+def test_contradicting_slots_are_not_verbatim_and_long_texts_are_read_whole(spark):
+    item = "the first of 12 boats sails with ropes and masts while the last of 12 boats waits in the harbour for better wind to come"
+    far = "word " * 150_000
+    docs = [(1, item), (2, item.replace("12", "40", 1)), (3, item.replace("12", "40")), (4, far + item + " " + far)]
+    named = spark.createDataFrame([(*d, 0, 0, 0, "k", True) for d in docs], "doc_id long, text string, at int, size int, window long, own string, fits boolean")
+    found = decontamination.find(named, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r.doc_id: r.verbatim for r in found.collect()} == {1: True, 2: False, 3: False, 4: True}
+
+
 def test_decontamination_edges(spark):
     docs = edge_docs(spark)
     benchmark = spark.createDataFrame([(1, None, "q"), (None, "x y z", "q"), (3, "", "q"), (4, "12 34 km", "q"), (None, "x y z", "q")], "item_id long, text string, share string")
