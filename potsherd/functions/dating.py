@@ -143,9 +143,9 @@ def resolved(parts: Column, none: Column) -> Column:
 
 def ranged(df: DataFrame, column: str, vanaf: str = "vanaf", tot: str = "tot", strict_reference: bool = False) -> DataFrame:
     """``df`` with the years of the codes in a column. Datings repeat, so each different one is read once."""
+    # no filter on what is read: it would move below the distinct, and every row be read
     known = df.select(F.col(column).alias("_code")).distinct().withColumn("_span", code_range(F.col("_code"), strict_reference))
-    told = known.where("_span IS NOT NULL")
-    return df.join(told, F.col(column) == F.col("_code"), "left").withColumns({vanaf: F.col("_span.vanaf"), tot: F.col("_span.tot")}).drop("_code", "_span")
+    return df.join(known, F.col(column) == F.col("_code"), "left").withColumns({vanaf: F.col("_span.vanaf"), tot: F.col("_span.tot")}).drop("_code", "_span")
 
 
 def code_range(value: Column, strict_reference: bool = False) -> Column:
