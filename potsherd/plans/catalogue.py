@@ -250,7 +250,7 @@ def dating_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def filename_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
-    number = F.lpad(F.col("o_custkey").cast("string"), 5, "0")
+    number = values.padded(F.col("o_custkey").cast("string"), 5)
     name = (
         F.when(k % 7 == 0, F.concat(F.lit("DB10_P02_H"), number, F.lit("_7_"), F.lit("01.JPG")))
         .when(k % 7 == 1, F.concat(F.lit("DC"), (k % 90 + 10).cast("string"), F.lit("_C"), (k % 50).cast("string"), F.lit(".jpg")))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from potsherd.functions import dating, files, geo, values
+from potsherd.plans import catalogue
 
 
 def one(spark, make, *texts, kinds=None):
@@ -90,6 +91,13 @@ def test_file_names(spark, name, directory, expected):
     assert {k: found[k] for k in expected} == expected
 
 
+def test_long_numbers_in_file_names_stay_whole(spark, tmp_path):
+    rows = [(7, 42), (7, 99999), (7, 100000), (7, 1234567), (9, 42), (9, 1234567)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    out = catalogue.filename_classifier(spark, str(tmp_path)).collect()
+    assert sorted((r.o_orderkey, r.vondstnr or r.fotonr) for r in out) == [(7, "100000"), (7, "1234567"), (7, "42"), (7, "99999"), (9, "1234567b"), (9, "42b")]
+
+
 def test_materials(spark):
     paths = {"/a/Bouwaardewerk/x": "Bouwaardewerk", "/a/Aardewerk/x": "Aardewerk", "/bot menselijk/x": "Menselijk_Bot", "/hout/x": "Hout", "/munt/x": "Munt", "/x": None}
     assert {p: one(spark, files.material, p) for p in paths} == paths
