@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from potsherd.functions.values import bind
+
 #: Ranking parameters, and columns that are never searched.
 K1, B = 1.2, 0.75
 SKIPPED = ("_id", "herkomst", "key", "brondata", "vindplaats")
@@ -25,12 +28,40 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def postings(df: DataFrame, pk: str, fields: list[str], table: str = "") -> DataFrame:
-    """(tbl, pk, field, term, tf, size, places): one row for each term of each field; size is the number of terms of the field, places are where this one stands, from 0 on."""
+def placed(words: Column, **more: Callable[[Column], Column]) -> Column:
+    """array<struct<more, term, place>> of a field's words and their places, from 0 on, in this order of columns. ``more``: values made of the word."""
+    return F.sort_array(F.transform(words, lambda t, i: F.struct(*[make(t).alias(n) for n, make in more.items()], t.alias("term"), i.alias("place"))))
+
+
+def runs(items: Column, of: str) -> Column:
+    """An array of structs cut where the field ``of`` changes."""
+
+    def cut(a: Column) -> Column:
+        first = F.transform(a, lambda x, i: F.when((i == 0) | (x[of] != F.get(a, i - 1)[of]), i))
+        starts = F.filter(first, lambda i: i.isNotNull())
+        return bind(F.concat(starts, F.array(F.size(a))), lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), lambda at, k: F.slice(a, at + 1, F.get(s, k + 1) - at)))
+
+    return bind(items, cut)
+
+
+def fields_read(df: DataFrame, pk: str, fields: list[str]) -> DataFrame:
+    """(pk, field, terms, size): a row for each field."""
     each = F.explode(F.array(*[F.struct(F.lit(f.lower()).alias("field"), terms(F.col(f)).alias("terms")) for f in fields]))
-    read = df.select(F.col(pk).alias("pk"), each.alias("f")).select("pk", "f.field", F.size("f.terms").cast("bigint").alias("size"), F.posexplode("f.terms").alias("place", "term"))
-    counted = read.groupBy("pk", "field", "term", "size").agg(F.count(F.lit(1)).alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
-    return counted.select(F.lit(table).alias("tbl"), "pk", "field", "term", "tf", "size", "places")
+    return df.select(F.col(pk).alias("pk"), each.alias("f")).select("pk", "f.field", "f.terms", F.size("f.terms").cast("bigint").alias("size"))
+
+
+def by_term(rows: DataFrame, sorted_words: Column, table: str) -> DataFrame:
+    """The postings of rows (pk, field, size), from an array<struct<term, place>> in this order."""
+    run = rows.select("pk", "field", "size", F.explode(runs(sorted_words, "term")).alias("run"))
+    return run.select(F.lit(table).alias("tbl"), "pk", "field", F.get("run", F.lit(0))["term"].alias("term"), F.size("run").cast("bigint").alias("tf"), "size", F.col("run.place").alias("places"))
+
+
+def postings(df: DataFrame, pk: str, fields: list[str], table: str = "") -> DataFrame:
+    """(tbl, pk, field, term, tf, size, places): one row for each term of each field of each row; size is the number of terms of the field, places are where this one stands, from 0 on.
+
+    A row's words are sorted within the row, so nothing is shuffled.
+    """
+    return by_term(fields_read(df, pk, fields), placed(F.col("terms")), table)
 
 
 def lengths(df: DataFrame, pk: str, fields: list[str], table: str = "") -> DataFrame:

@@ -3,11 +3,17 @@
 Each version adds a segment: the postings of its rows in buckets by a hash of the term, their lengths, and the keys whose
 older postings hold no more. When four segments of a level have come together, they are merged to one of the next level, so
 that a row is written again as often only as the number of levels grows. A query reads the buckets of its terms.
+
+A row's words travel to their buckets together, as one text and its places; postings are made where they are written. The
+number of words of a batch, which its lengths tell, gives the number of tasks: a bucket of many words is dealt to several by
+the rows' keys, so that no task sorts more than memory holds.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +22,44 @@ from potsherd.operators import search
 from potsherd.sources import versions
 
 BUCKETS, FAN = 32, 4
+#: Words of a task that writes postings, on average, and into how many pieces a row is dealt at most.
+WORDS, PIECES = 2_000_000, 16
 
 
 def bucket_of(term: Column) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
+@dataclass(frozen=True)
+class Tasks:
+    """The tasks that write ``words`` words: one, or ``slices``, for each group of buckets."""
+
+    words: int
+
+    @property
+    def groups(self) -> int:
+        return max(1, min(PIECES, -(-self.words // WORDS)))
+
+    @property
+    def slices(self) -> int:
+        return max(1, -(-self.words // (WORDS * PIECES)))
+
+    def group(self, term: Column) -> Column:
+        return bucket_of(term) % self.groups
+
+    def dealt(self, rows: DataFrame, group: Column) -> DataFrame:
+        return rows.repartitionById(self.groups * self.slices, group * self.slices + F.pmod(F.xxhash64("pk"), F.lit(self.slices)).cast("int"))
+
+
+def _postings(rows: DataFrame, pk: str, fields: list[str], table: str, tasks: Tasks) -> DataFrame:
+    """The rows' postings, each in its task."""
+    words = search.runs(search.placed(F.col("terms"), at=tasks.group), "at")  # the words of each group of buckets
+    parts = search.fields_read(rows, pk, fields).select("pk", "field", "size", F.explode(words).alias("part"))
+    packed = parts.select("pk", "field", "size", F.get("part", F.lit(0))["at"].alias("at"), F.array_join("part.term", " ").alias("words"), F.col("part.place").alias("places"))
+    there = tasks.dealt(packed, F.col("at"))
+    return search.by_term(there, F.arrays_zip(F.split("words", " ").alias("term"), F.col("places").alias("place")), table)
+
+
 def apply(rows: DataFrame, root: str, pk: str, fields: list[str], version: int, table: str = "", deleted: str | None = None) -> bool:
     """Index changed rows as version ``version``; false if it, or a later one, is there already. Rows with ``deleted`` true go.
 
@@ -35,7 +73,7 @@ def apply(rows: DataFrame, root: str, pk: str, fields: list[str], version: int,
     there = rows.where(F.col(pk).isNotNull())
     kept = there.where(~F.coalesce(F.col(deleted), F.lit(False))) if deleted else there
     name = f"{version}-0"
-    _write(spark, root, name, search.postings(kept, pk, fields, table), search.lengths(kept, pk, fields, table), there.select(F.lit(table).alias("tbl"), F.col(pk).alias("pk")).distinct())
+    _write(spark, root, name, lambda tasks: _postings(kept, pk, fields, table, tasks), search.lengths(kept, pk, fields, table), there.select(F.lit(table).alias("tbl"), F.col(pk).alias("pk")).distinct())
     segments = [*told["segments"], {"name": name, "level": 0}]
     while len(last := [s for s in segments if s["level"] == segments[-1]["level"]]) >= FAN:
         # the last ones of a level stand together, for levels fall from the oldest to the newest
@@ -43,17 +81,19 @@ def apply(rows: DataFrame, root: str, pk: str, fields: list[str], version: int,
         merged = {"name": f"{version}-{last[0]['level'] + 1}", "level": last[0]["level"] + 1}
         part = told | {"segments": last}
         gone = _gone(spark, root, part).select("tbl", "pk").distinct() if first else None  # the oldest segment has nothing older to take back
-        _write(spark, root, merged["name"], _live(spark, root, part, "postings").drop("bucket"), _live(spark, root, part, "lengths"), gone)
+        live = _live(spark, root, part, "postings").drop("bucket")
+        _write(spark, root, merged["name"], lambda tasks, live=live: tasks.dealt(live, tasks.group(F.col("term"))), _live(spark, root, part, "lengths"), gone)
         segments = [*segments[:first], merged]
     versions.commit(spark, root, version, told | {"segments": segments})
     return True
 
 
-def _write(spark: SparkSession, root: str, name: str, postings: DataFrame, lengths: DataFrame, gone: DataFrame | None) -> None:
+def _write(spark: SparkSession, root: str, name: str, postings: Callable[[Tasks], DataFrame], lengths: DataFrame, gone: DataFrame | None) -> None:
     place = f"{root}/segments/{name}"
-    bucketed = postings.withColumn("bucket", bucket_of(F.col("term")))
-    bucketed.repartition("bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{place}/postings")
     lengths.write.mode("overwrite").parquet(f"{place}/lengths")
+    words = spark.read.schema(lengths.schema).parquet(f"{place}/lengths").agg(F.sum("size")).first()[0]
+    bucketed = postings(Tasks(words or 0)).withColumn("bucket", bucket_of(F.col("term")))
+    bucketed.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{place}/postings")
     if gone is not None:
         gone.write.mode("overwrite").parquet(f"{place}/gone")
 

@@ -166,6 +166,28 @@ def test_segments_equal_a_rebuild(spark, tmp_path, monkeypatch):
     assert len(versions.folders(spark, f"{root}/segments")) == len(levels)
 
 
+def test_words_of_a_row_travel_together(spark, tmp_path, monkeypatch):
+    """One shuffle of packed rows, none to make postings; a bucket of many words is dealt to several tasks, whether a batch or a merge writes it."""
+    rng = random.Random(3)
+    some = ["de", "Pot", "pot", "ÉÉN", "één", "x", "12", "🏺", "漢字", "-", "ij\u0133", *[f"w{k}" for k in range(40)]]
+    rows = {k: " ".join(rng.choice(some) for _ in range(rng.randint(0, 15))) for k in range(300)} | {300: None, 301: "", 302: " -- ", 303: "pot " * 500}
+    df = spark.createDataFrame(list(rows.items()), "k long, text string")
+    assert "Exchange" not in search.postings(df, "k", ["text"])._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(segments, "WORDS", 20)
+    monkeypatch.setattr(segments, "FAN", 2)
+    want = []
+    for k, text in rows.items():
+        words = words_of(text)
+        want += [("", k, "text", w, words.count(w), len(words), [i for i, x in enumerate(words) if x == w]) for w in set(words)]
+    assert sorted(map(tuple, search.postings(df, "k", ["text"]).collect())) == sorted(want)
+    for version, batch in enumerate((df, df.where("k % 2 = 0"))):
+        segments.apply(batch, f"{tmp_path}/x", "k", ["text"], version)
+        assert sorted(map(tuple, segments.postings(spark, f"{tmp_path}/x").collect())) == sorted(want)
+        last = versions.content(spark, f"{tmp_path}/x")["segments"][-1]["name"]
+        files = [list(b.glob("*.parquet")) for b in (tmp_path / f"x/segments/{last}/postings").glob("bucket=*")]
+        assert max(map(len, files)) > 2
+
+
 def test_a_small_batch_writes_little(spark, tmp_path):
     root = f"{tmp_path}/x"
     rows = spark.range(4000).select("id", F.concat_ws(" ", *[F.sha2((F.col("id") * k).cast("string"), 256) for k in range(5)]).alias("text"))
