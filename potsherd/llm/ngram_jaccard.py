@@ -2,10 +2,11 @@
 
 Each run samples about BRANCH tokens that two similar sets can be expected to share, by one hash for all sets, and puts a
 set into the bucket of each token it samples. Buckets with too many sets are split again on freshly sampled tokens. In what
-is still large after DEPTH splits all sets are compared with one of them: those linked with it need no further links among
+is still large after DEPTH splits all sets are compared with a central one: those linked with it need no further links among
 themselves, and what is further from it than two links can reach meets none of these. What then is left is dealt into
-tiles, so that each pair of its blocks meets. Small buckets are compared
-by brute force: first by sketches, then by the sets themselves. Runs repeat until the target recall.
+tiles, so that each pair of its blocks meets. Small buckets are compared by brute force: first by sketches, which give
+groups, then by the sets themselves. Near copies meet in many buckets, so groups with the same central set are put together
+and compared once, as large buckets are if they become too large. Runs repeat until the target recall.
 
 Sets that are equal are one node. A bucket gives a spanning forest of its links and never all pairs, connected
 components of these are the classes, and links are counted within the classes, on the sets' differences from one set of
@@ -34,7 +35,7 @@ NGRAM, SIMILARITY = 5, 0.8
 #: Tokens that two linked sets are expected to share among those sampled in a run, at least; and the share of links to be found.
 BRANCH, RECALL = 2.0, 0.99999
 #: A bucket of more sets is split again, so often at most; and sets of a block of the tiles.
-LEAF, DEPTH, BLOCK = 4096, 4, 1024
+LEAF, DEPTH, BLOCK = 4096, 4, 2048
 #: Sets that all others of a crowded bucket are compared with, one after the other, before the rest is dealt into tiles.
 HEADS = 3
 #: Tokens of a block at most, unless one set has more.
@@ -213,10 +214,18 @@ def sketch_groups(s0: np.ndarray, s1: np.ndarray, sizes: np.ndarray, similarity:
     return out
 
 
-def plausible(rows: DataFrame, similarity: float) -> DataFrame:
-    """(meet, node): the sets of small buckets that may have a link there, in the groups that are compared exactly.
+def central(s0: np.ndarray, s1: np.ndarray, marks: np.ndarray) -> np.uint64:
+    """The mark of the set whose sketch is nearest to what most of a group's sketches say; of several, the smallest."""
+    bits = np.unpackbits(np.stack([s0, s1], axis=1).view(np.uint8), axis=1)
+    agree = (bits == (2 * bits.sum(axis=0, dtype=np.int64) > len(bits))).sum(axis=1)
+    return marks[agree == agree.max()].min()
 
-    A group's number is a hash of its members, so that sets that meet in many buckets are compared once.
+
+def plausible(rows: DataFrame, similarity: float, merged: bool = True) -> DataFrame:
+    """(meet, node, times): the sets of small buckets that may have a link there, in the groups that are compared exactly.
+
+    A group's number is that of its central set, so that near copies, which meet in many buckets, are compared once;
+    ``times`` tells in how many buckets. Unless ``merged``, it is a hash of its members, and no group outgrows two blocks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +241,10 @@ def plausible(rows: DataFrame, similarity: float) -> DataFrame:
                 groups = sketch_groups(s0[a:b], s1[a:b], sizes[a:b], similarity)
                 for g in range(groups.max() + 1):
                     own = np.flatnonzero(groups == g) + a
+                    if merged:
+                        meet.append(np.full(len(own), central(s0[own], s1[own], marks[own]).view(np.int64)))
+                        at.append(own)
+                        continue
                     for part in tiles(sizes[own]):
                         number = chars.mix(marks[own[part]].sum(keepdims=True, dtype=np.uint64) + np.uint64(len(part)))
                         meet.append(np.repeat(number.view(np.int64), len(part)))
@@ -239,7 +252,7 @@ def plausible(rows: DataFrame, similarity: float) -> DataFrame:
             if at:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(meet)), nodes.take(pa.array(np.concatenate(at)))], ["meet", "node"])
 
-    return sorted_by(rows, "path").mapInArrow(thrifty(run), "meet long, node binary").distinct()
+    return sorted_by(rows, "path").mapInArrow(thrifty(run), "meet long, node binary").groupBy("meet", "node").agg(F.count(F.lit(1)).alias("times"))
 
 
 def tiles(sizes: np.ndarray) -> Iterator[np.ndarray]:
@@ -259,45 +272,62 @@ class Compared:
     """Sets side by side, for exact comparisons of one with many.
 
     With ``base`` and ``lost``, the sets are differences from one of ``base`` tokens, of which each lacks ``lost``.
+
+    Each is held by how it differs from what more than half of them list. Near copies differ in few tokens, and only
+    those that several sets have in their differences are looked up, in lists of the sets that have them.
     """
 
     def __init__(self, tokens: np.ndarray, starts: np.ndarray, similarity: float, base: np.ndarray | None = None, lost: np.ndarray | None = None):
-        self.starts, listed = starts, np.diff(np.append(starts, len(tokens)))
-        self.listed = listed
-        self.whole = np.zeros(len(starts), np.int64) if base is None else base - lost.astype(np.int64)  # of the base, what each set has
-        self.sizes = listed if base is None else base + listed - 2 * lost.astype(np.int64)
-        self.lost = np.zeros(len(starts), np.int64) if lost is None else lost
-        vocabulary, self.codes = np.unique(tokens, return_inverse=True)
-        self.marks = np.zeros(len(vocabulary) + 1, bool)
-        self.codes = np.append(self.codes, len(vocabulary))  # ends the last set, which may be empty
+        n, listed = len(starts), np.diff(np.append(starts, len(tokens)))
+        self.n, self.sizes = n, listed if base is None else base + listed - 2 * lost.astype(np.int64)
+        vocabulary, codes, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(n), listed)
+        common = 2 * counts > n
+        usual = common[codes]
+        lacking = np.ones((n, int(common.sum())), bool)
+        lacking[owner[usual], (np.cumsum(common) - 1)[codes[usual]]] = False
+        sets, places = np.nonzero(lacking)
+        owner, codes = np.append(owner[~usual], sets), np.append(codes[~usual], np.flatnonzero(common)[places])
+        self.apart = np.bincount(owner, minlength=n)
+        several = np.where(common, n - counts, counts)[codes] > 1
+        owner, codes = owner[several], codes[several]
+        order = np.argsort(codes, kind="stable")
+        self.having = owner[order]
+        self.edges = np.searchsorted(codes[order], np.arange(len(vocabulary) + 1))
+        order = np.argsort(owner, kind="stable")
+        self.codes = codes[order]
+        self.bounds = np.searchsorted(owner[order], np.arange(n + 1))
         f = Fraction(similarity).limit_denominator(10_000)
         self.upper, self.lower = f.numerator + f.denominator, f.numerator
 
     def linked(self, k: int) -> np.ndarray:
         """Whether each set is linked with set k (which itself counts as linked)."""
-        own = self.codes[self.starts[k] : self.starts[k] + self.listed[k]]
-        self.marks[own] = True
-        met = np.add.reduceat(self.marks[self.codes].view(np.uint8), self.starts, dtype=np.int64)
-        met[self.listed == 0] = 0
-        self.marks[own] = False
-        shared = met + self.whole - self.lost[k]
-        return shared * self.upper >= self.lower * (self.sizes + self.sizes[k])
+        own = self.codes[self.bounds[k] : self.bounds[k + 1]]
+        first, many = self.edges[own], self.edges[own + 1] - self.edges[own]
+        ends = np.cumsum(many)
+        places = np.repeat(first - (ends - many), many) + np.arange(int(ends[-1]) if len(ends) else 0)
+        both = self.sizes + self.sizes[k]
+        apart = self.apart + self.apart[k] - 2 * np.bincount(self.having[places], minlength=self.n)
+        out = (both - apart) * self.upper >= 2 * self.lower * both
+        out[k] = True
+        return out
 
     def forest(self) -> list[tuple[int, int]]:
-        """Links that connect what is connected."""
-        left = np.ones(len(self.starts), bool)
-        out: list[tuple[int, int]] = []
-        for root in range(len(self.starts)):
-            if not left[root]:
-                continue
-            left[root] = False
-            todo = [root]
-            while todo and left.any():
-                k = todo.pop()
-                met = np.flatnonzero(self.linked(k) & left).tolist()
-                left[met] = False
-                out += [(k, m) for m in met]
-                todo += met
+        """Links that connect what is connected.
+
+        Sets that are linked with the most usual one are connected by it, so only the others look for their links.
+        """
+        root = int(np.argmin(self.apart))
+        near = self.linked(root)
+        label = np.where(near, root, np.arange(self.n))
+        out = [(root, m) for m in np.flatnonzero(near).tolist() if m != root]
+        for k in np.flatnonzero(~near).tolist():
+            met = np.flatnonzero(self.linked(k))
+            met = met[label[met] != label[k]]
+            if len(met):
+                labels, first = np.unique(label[met], return_index=True)
+                out += [(k, m) for m in met[first].tolist()]
+                label[np.isin(label, labels)] = label[k]
         return out
 
 
@@ -396,8 +426,12 @@ def within(reach: int, similarity: float) -> Column:
 
 
 def by_heads(large: DataFrame, texts: DataFrame, n: int, similarity: float, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Each crowded bucket against its smallest node: links with that, buckets of linked and nearly linked sets, and the sets that aren't linked."""
-    firsts = scratch.keep(large.groupBy(F.col("path").alias("p")).agg(F.min("node").alias("root")))
+    """Each crowded bucket against its head: links with that, buckets of linked and nearly linked sets, and the sets that aren't linked.
+
+    The head is the node of most ``times``. Sets that differ from it in little stand in most of the buckets that it is in,
+    so buckets of near copies share their head, and what is linked meets what is nearly linked once for each head.
+    """
+    firsts = scratch.keep(large.groupBy(F.col("path").alias("p")).agg(F.max(F.struct("times", "node"))["node"].alias("root")))
     own = scratch.keep(large.join(joinable(firsts), F.col("path") == F.col("p")).drop("p"))
     pairs = own.select("root", "node").distinct()
     wholes = scratch.keep(texts.join(joinable(firsts.select("root").distinct()), F.col("node") == F.col("root"), "left_semi").select(F.col("node").alias("head"), F.col("text").alias("whole")))
@@ -407,38 +441,39 @@ def by_heads(large: DataFrame, texts: DataFrame, n: int, similarity: float, scra
 
     blocks = lambda which: F.ceil(F.count(F.when(which, 1)) / BLOCK).cast("int")
     ring = F.col("near") & ~F.col("linked")
-    counts = scratch.keep(told.groupBy(F.col("path").alias("p")).agg(blocks(F.col("linked")).alias("inner"), blocks(ring).alias("outer")).where("outer > 0"))
-    both = told.where("near").join(joinable(counts), F.col("path") == F.col("p"))
+    close = scratch.keep(told.where("near").select("root", "node", "size", "s0", "s1", "near", "linked").distinct())
+    counts = scratch.keep(close.groupBy(F.col("root").alias("p")).agg(blocks(F.col("linked")).alias("inner"), blocks(ring).alias("outer")).where("outer > 0"))
+    both = close.join(joinable(counts), F.col("root") == F.col("p"))
     mine, theirs = F.when(F.col("linked"), F.col("inner")).otherwise(F.col("outer")), F.when(F.col("linked"), F.col("outer")).otherwise(F.col("inner"))
-    dealt = both.withColumn("block", F.pmod(F.xxhash64("node", "path"), mine).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), theirs - 1)))
+    dealt = both.withColumn("block", F.pmod(F.xxhash64("node", "root"), mine).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), theirs - 1)))
     low, high = F.when(F.col("linked"), F.col("block")).otherwise(F.col("other")), F.when(F.col("linked"), F.col("other")).otherwise(F.col("block"))
-    between = dealt.select(F.xxhash64("path", "root", low, high).alias("path"), "node", "size", "s0", "s1")
-    return links, between, told.where("NOT linked").select("path", "node", "size", "s0", "s1")
+    between = dealt.select(F.xxhash64("root", low, high).alias("path"), "node", "size", "s0", "s1")
+    return links, between, told.where("NOT linked").select("path", "node", "size", "s0", "s1", "times")
 
 
-def crowded(large: DataFrame, texts: DataFrame, n: int, similarity: float, leaf: int, scratch: Scratch) -> tuple[list[DataFrame], DataFrame]:
-    """Lists of (meet, node) of buckets that were split often enough, and the links (a, b) that were found on the way."""
-    found, links = [], None
+def crowded(large: DataFrame, texts: DataFrame, n: int, similarity: float, leaf: int, scratch: Scratch, merged: bool) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
+    """Of (path, node, size, s0, s1, times), what is crowded and can't be split: lists of (meet, node, times) of what heads leave small, of tiles, and the links (a, b) that were found on the way."""
+    small, dealt, links = [], [], None
     for _ in range(HEADS):
         more, between, rest = by_heads(large, texts, n, similarity, scratch)
         more, rest = scratch.keep(more), scratch.keep(rest)
         links = more if links is None else links.unionByName(more)
-        found.append(scratch.keep(plausible(between, similarity)))
+        dealt.append(scratch.keep(plausible(between, similarity, merged=False)))
         counts = scratch.keep(rest.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf))
         hot = joinable(counts.select(F.col("path").alias("p")))
         is_hot = F.col("path") == F.col("p")
-        found.append(scratch.keep(plausible(rest.join(hot, is_hot, "left_anti"), similarity)))
+        small.append(scratch.keep(plausible(rest.join(hot, is_hot, "left_anti"), similarity, merged)))
         large = scratch.keep(rest.join(hot, is_hot, "left_semi"))
         if counts.isEmpty():
-            return found, links
-    found.append(scratch.keep(plausible(tiled(large, counts), similarity)))
-    return found, links
+            return small, dealt, links
+    dealt.append(scratch.keep(plausible(tiled(large, counts), similarity, merged=False)))
+    return small, dealt, links
 
 
-def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
-    """(meet, node) of all small buckets, those of split ones included, and the links (a, b) that crowded ones gave already."""
+def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, branch: float, leaf: int, depth: int, scratch: Scratch) -> tuple[DataFrame, list[DataFrame], DataFrame | None]:
+    """(meet, node, times) of all small buckets, those of split ones included; lists of tiles of crowded ones, and the links (a, b) that these gave already."""
     rows = reps.where("size > 0").select(F.explode("paths").alias("path"), "node", "size", "s0", "s1")
-    texts, found, links = None, [], None
+    texts, found, dealt, links = None, [], [], None
     for level in range(depth + 1):
         counts = scratch.keep(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf))
         if counts.isEmpty():
@@ -451,14 +486,30 @@ def candidates(docs: DataFrame, reps: DataFrame, n: int, similarity: float, bran
         if texts is None:  # the sets of deeper buckets are among these
             texts = with_texts(docs, reps, large.select("node").distinct(), scratch)
         if level == depth:
-            more, links = crowded(large, texts, n, similarity, leaf, scratch)
-            found += more
+            times = large.groupBy(F.col("node").alias("k")).agg(F.count(F.lit(1)).alias("times"))
+            small, dealt, links = crowded(scratch.keep(large.join(times, F.col("node") == F.col("k")).drop("k")), texts, n, similarity, leaf, scratch, merged=True)
+            found += small
             break
         rows = scratch.keep(split_again(large, texts, n, branch, similarity))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out if len(found) == 1 else out.distinct(), links
+    return out if len(found) == 1 else scratch.keep(out.groupBy("meet", "node").agg(F.sum("times").alias("times"))), dealt, links
+
+
+def without_large(meets: DataFrame, reps: DataFrame, texts: DataFrame, n: int, similarity: float, leaf: int, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """(meet, node) of (meet, node, times), groups of more than two blocks as crowded buckets, and the links (a, b) that these gave."""
+    weights = meets.join(reps.select("node", "size"), "node").groupBy(F.col("meet").alias("m")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("weight"))
+    many = scratch.keep(weights.where((F.col("n") > 2 * BLOCK) | (F.col("weight") > 2 * BLOCK_TOKENS)).select("m"))
+    if many.isEmpty():
+        return meets.select("meet", "node"), None
+    lookup, same = joinable(many), F.col("meet") == F.col("m")
+    rows = meets.join(lookup, same, "left_semi").join(reps.select("node", "size", "s0", "s1"), "node")
+    small, dealt, links = crowded(scratch.keep(rows.withColumnRenamed("meet", "path")), texts, n, similarity, leaf, scratch, merged=False)
+    out = meets.join(lookup, same, "left_anti").select("meet", "node")
+    for more in [*small, *dealt]:
+        out = out.unionByName(more.select("meet", "node"))
+    return out, links
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -544,13 +595,14 @@ def count_links(classes: DataFrame, texts: DataFrame, n: int, similarity: float,
             counts = np.zeros(table.num_rows, np.int64)
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 compared = Compared(tokens[offsets[a] : offsets[b]], offsets[a:b] - offsets[a], similarity, base[a:b], lost[a:b])
-                inside = sides[a] == 2
-                for k in range(b - a) if inside else np.flatnonzero(sides[a:b] == 0).tolist():
+                inside, low = sides[a] == 2, sides[a:b] == 0
+                few = low if 2 * low.sum() <= b - a else ~low
+                for k in range(b - a) if inside else np.flatnonzero(few).tolist():
                     linked = compared.linked(k)
                     if inside:
                         counts[a + k] = linked.sum() - 1
                     else:
-                        linked &= sides[a:b] == 1
+                        linked &= ~few
                         counts[a + k] = linked.sum()
                         counts[a:b] += linked
             yield pa.RecordBatch.from_arrays([table.column("node").combine_chunks(), pa.array(counts)], ["node", "links"])
@@ -571,13 +623,19 @@ def connected(docs: DataFrame, n: int, similarity: float, recall: float, branch:
     reps = told.where("size > 0").groupBy("node").agg(smallest, F.count(F.lit(1)).alias("copies"), *same)
     reps = scratch.keep(reps.select("node", "best.doc_id", "best.text_key", "copies", "size", "s0", "s1", "paths"))
 
-    meets, known = candidates(docs, reps, n, similarity, branch, leaf, depth, scratch)
+    meets, dealt, known = candidates(docs, reps, n, similarity, branch, leaf, depth, scratch)
+    known = [] if known is None else [known]
     nodes = meets.select("node")
-    if known is not None:
-        nodes = nodes.unionByName(known.select(F.explode(F.array("a", "b")).alias("node")))
+    for more in [*(d.select("node") for d in dealt), *(k.select(F.explode(F.array("a", "b")).alias("node")) for k in known)]:
+        nodes = nodes.unionByName(more)
     texts = with_texts(docs, reps, scratch.keep(nodes.distinct()), scratch)
-    links = scratch.keep(verified(meets.join(texts, "node"), n, similarity))
-    links = links if known is None else links.unionByName(known)
+    meets, more = without_large(meets, reps, texts, n, similarity, leaf, scratch)
+    known += [] if more is None else [more]
+    for more in dealt:
+        meets = meets.unionByName(more.select("meet", "node"))
+    links = scratch.keep(verified(meets.distinct().join(texts, "node"), n, similarity))
+    for more in known:
+        links = links.unionByName(more)
     return told, reps, texts, components(links, scratch)
 
 

@@ -134,6 +134,51 @@ def test_sets_around_a_head_lose_no_link(spark, monkeypatch, heads):
     assert found(ngram_jaccard.annotate(spark.createDataFrame(rows, SCHEMA).repartition(3), leaf=4, depth=1)) == brute_force(rows)
 
 
+def cloud(rng: random.Random, copies: int, edits: int, words: int = 200) -> list[str]:
+    """A text and copies of it with none to ``edits`` words changed, so that many are linked with the first and few with each other."""
+    base = prose(rng, words)
+    return [t for k in range(copies) for t in near_copies(rng, base, 1, k % (edits + 1))]
+
+
+def test_forest_compares_only_sets_that_are_not_linked_with_the_most_usual_one(monkeypatch):
+    """Sets that differ too much to be linked with anything don't make all the others look for links."""
+    rng = random.Random(8)
+    texts = cloud(rng, 120, 12) + cloud(rng, 9, 4) + [" ".join(prose(rng, 150)) for _ in range(5)]
+    rng.shuffle(texts)
+    tokens, bounds = ngram_jaccard.token_sets(texts, 5)
+    compared = ngram_jaccard.Compared(tokens, bounds[:-1], 0.8)
+    sets = [frozenset(tokens[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    whole = [[9 * len(a & b) >= 4 * (len(a) + len(b)) for b in sets] for a in sets]
+    assert [compared.linked(k).tolist() for k in range(len(sets))] == whole
+    linked, asked = ngram_jaccard.Compared.linked, []
+    monkeypatch.setattr(ngram_jaccard.Compared, "linked", lambda self, k: asked.append(k) or linked(self, k))
+    links = compared.forest()
+    assert all(whole[a][b] for a, b in links)
+    assert len(asked) <= 1 + len(sets) - max(map(sum, whole))
+
+    def classes(pairs) -> list[int]:
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        return [label.index(x) for x in label]
+
+    assert classes(links) == classes((a, b) for a in range(len(sets)) for b in range(a) if whole[a][b])
+
+
+@pytest.mark.parametrize("block", [2048, 24])
+def test_near_copies_are_compared_once_not_in_each_bucket(spark, monkeypatch, block):
+    """A class's sets meet in some twenty buckets, whose members differ a little; groups that grow too large go by their heads."""
+    rng = random.Random(9)
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", block)
+    texts = cloud(rng, 150, 9) + cloud(rng, 40, 9)
+    rows = list(enumerate(texts))
+    made = []
+    verified = ngram_jaccard.verified
+    monkeypatch.setattr(ngram_jaccard, "verified", lambda r, *a: made.append(r.count()) or verified(r, *a))
+    assert found(ngram_jaccard.annotate(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute_force(rows)
+    assert made[0] < (3 if block == 2048 else 8) * len(rows)
+
+
 def test_tiles_bring_each_pair_together(monkeypatch):
     monkeypatch.setattr(ngram_jaccard, "BLOCK", 3)
     monkeypatch.setattr(ngram_jaccard, "BLOCK_TOKENS", 40)
